@@ -3,20 +3,555 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.plans.corpus import QUESTIONS, Question
+from lakemart.functions import text
+from lakemart.functions.calendar import day, month_start
+from lakemart.functions.money import half_up_average, price
+from lakemart.operators import charts, checks, stats
+from lakemart.operators.lattice import lattice_count
+from lakemart.operators.profile import date_share, profile, result_flags
+from lakemart.operators.steps import SQL_TOOL, last_query
+from lakemart.operators.upsert import insert_absent
+from lakemart.plans.corpus import BY_KEY, QUESTIONS, Question
 from lakemart.plans.marts import Marts
+from lakemart.plans.querylog import query_log
+from lakemart.session import new_dir
+from lakemart.sources import bronze, series
+from lakemart.sources.federated import query_sources
+from lakemart.sources.results import save_results, write_counted
+from lakemart.sources.tables import read_table, row_counts, run_sql, sample_rows
+from lakemart.sources.versioned import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TABLES = [
+    "region",
+    "nation",
+    "customer",
+    "supplier",
+    "part",
+    "orders",
+    "lineitem",
+    "events",
+    "documents",
+    "embeddings",
+    "pages",
+    "benchmark",
+    "labels",
+    "conversations",
+]
+
+# Results whose profile and chart are registered: one per branch the data can reach.
+PROFILED = [
+    "q01_sales_rows",
+    "q08_low_stock",
+    "q12_top_products",
+    "q13_top_days",
+    "q16_segment_value",
+    "q17_products_per_category",
+    "q20_segment_distribution",
+    "q32_compare_months",
+    "q44_all_sales",
+]
+
+# Synonyms registered on the test documents, which are not in the language of the shipped ones.
+DOCUMENT_SYNONYMS = {
+    "license": ["license", "copyright"],
+    "contact": ["@", "http"],
+    "article": ["the ", "der ", "los "],
+}
+
+EVENT_DIFFICULTY = {
+    "click": "easy",
+    "view": "easy",
+    "purchase": "medium",
+    "signup": "medium",
+    "error": "hard",
+}
+
 
 def _question(question: Question) -> Query:
     return lambda spark, sf_dir: question.run(Marts(spark, sf_dir))
 
 
+# bronze load
+
+
+def _raw_copy(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """A data folder whose ``raw`` part holds one table as CSV files."""
+    data_dir = new_dir(spark, f"data-{table}")
+    read_table(spark, sf_dir, table).write.option("header", True).csv(f"{data_dir}/raw")
+    return data_dir
+
+
+def _ingest(spark: SparkSession, sf_dir: str, table: str, target: str, data_dir: str) -> DataFrame:
+    schema = read_table(spark, sf_dir, table).schema
+    return bronze.ingest_csv(
+        spark, data_dir, target, {table: ("*.csv", schema)}, {"dataset": table}
+    )
+
+
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_dir(spark, "bronze")
+    _ingest(spark, sf_dir, "orders", target, _raw_copy(spark, sf_dir, "orders"))
+    return bronze.read_bronze(spark, target, "orders").drop(
+        "original_filename", "file_size_bytes", "upload_timestamp"
+    )
+
+
+def file_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data_dir = _raw_copy(spark, sf_dir, "customer")
+    return bronze.content_hashes(spark, f"{data_dir}/raw").select("size_bytes", "md5hash")
+
+
+def change_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load takes every row, a second one of the same files none."""
+    target = new_dir(spark, "bronze")
+    data_dir = _raw_copy(spark, sf_dir, "customer")
+    first = _ingest(spark, sf_dir, "customer", target, data_dir)
+    second = _ingest(spark, sf_dir, "customer", target, data_dir)
+    rows = bronze.read_bronze(spark, target, "customer").groupBy("original_filename").count()
+
+    def loaded(batch: DataFrame, number: int) -> DataFrame:
+        taken = batch.where("status <> 'skip'").join(rows, "original_filename")
+        return taken.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("row_count")).select(
+            F.lit(number).alias("load_number"), "row_count"
+        )
+
+    return loaded(first, 1).unionByName(loaded(second, 2))
+
+
+def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_dir(spark, "bronze")
+    _ingest(spark, sf_dir, "customer", target, _raw_copy(spark, sf_dir, "customer"))
+    files = bronze.loaded_files(spark, target)
+    rows = bronze.read_bronze(spark, target, "customer").join(files, "original_filename")
+    tags = [F.col("metadata")[key].alias(key) for key in ("dataset", "layer", "format", "source")]
+    same_size = F.col("file_size_bytes") == F.col("size_bytes")
+    return (
+        rows.select(same_size.alias("same_size"), *tags)
+        .groupBy("dataset", "layer", "format", "source")
+        .agg(F.count("*").alias("row_count"), F.count_if("same_size").alias("traced_rows"))
+    )
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_dir(spark, "bronze")
+    data_dir = _raw_copy(spark, sf_dir, "customer")
+    _ingest(spark, sf_dir, "customer", target, data_dir)
+    bronze.save_manifest(spark, target)
+    listed = bronze.content_hashes(spark, f"{data_dir}/raw").agg(F.sum("size_bytes")).scalar()
+    files = spark.read.json(f"{target}/manifest/files").agg(
+        F.sum("size_bytes").alias("size_bytes"), F.count("*").alias("file_count")
+    )
+    header = spark.read.json(f"{target}/manifest/header")
+    return header.join(files, "file_count").select(
+        "status", "bronze_bucket", (F.col("size_bytes") == listed).alias("complete")
+    )
+
+
+def load_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_dir(spark, "bronze")
+    data_dir = _raw_copy(spark, sf_dir, "customer")
+    _ingest(spark, sf_dir, "customer", target, data_dir)
+    listed = bronze.content_hashes(spark, f"{data_dir}/raw").agg(
+        F.count("*").alias("file_count"), (F.sum("size_bytes") / 1048576).alias("size_mb")
+    )
+    return bronze.verify_load(spark, target).join(listed, ["file_count", "size_mb"]).select(
+        F.lit(True).alias("verified")
+    )
+
+
+# versioned table
+
+
+def _sales_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    """Two appends: the regular events, then the error events that came late."""
+    table = VersionedTable.create_if_absent(
+        spark,
+        new_dir(spark, "sales"),
+        "id bigint, product string, amount double, date date",
+        "date",
+    )
+    events = read_table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"),
+        F.col("event_type").alias("product"),
+        F.col("value").alias("amount"),
+        day("ts").alias("date"),
+    )
+    table.append(events.where("product <> 'error'"))
+    table.append(events.where("product = 'error'"))
+    return table
+
+
+def table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per partition value of the created table."""
+    return _sales_table(spark, sf_dir).current().groupBy("date").agg(
+        F.count("*").alias("row_count")
+    )
+
+
+def rows_per_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _sales_table(spark, sf_dir)
+    ids = [row.snapshot_id for row in table.snapshots().take(2)]
+    frames = [
+        table.as_of(i).agg(F.lit(i).alias("snapshot_id"), F.count("*").alias("row_count"))
+        for i in ids
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def current_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sales_table(spark, sf_dir).current()
+
+
+def snapshot_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sales_table(spark, sf_dir).snapshots().select("snapshot_id", "operation")
+
+
+def first_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _sales_table(spark, sf_dir)
+    return table.as_of(table.snapshots().first().snapshot_id)
+
+
+def cross_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake rows by market segment; the segments come from landed CSV files."""
+    target = new_dir(spark, "bronze")
+    _ingest(spark, sf_dir, "customer", target, _raw_copy(spark, sf_dir, "customer"))
+    return query_sources(
+        spark,
+        """SELECT c_mktsegment AS segment, count(*) AS row_count,
+                  sum(CAST(amount AS DECIMAL(12,2))) AS amount
+           FROM {lake_sales} JOIN {landed_customer} ON id = c_custkey GROUP BY c_mktsegment""",
+        {
+            "lake": {"sales": _sales_table(spark, sf_dir).current()},
+            "landed": {"customer": bronze.read_bronze(spark, target, "customer")},
+        },
+    )
+
+
+# rows, series, inserts and sinks
+
+
+def date_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounds = read_table(spark, sf_dir, "orders").agg(
+        F.min("o_orderdate").cast("date").alias("first"),
+        F.max("o_orderdate").cast("date").alias("last"),
+    )
+    return series.date_series(bounds, "first", "last")
+
+
+def integer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.integer_series(spark, 1, read_table(spark, sf_dir, "customer").count())
+
+
+def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Urgent orders do not come every day; the days between are filled with zeros."""
+    high = read_table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    daily = high.groupBy(day("o_orderdate").alias("sale_date")).agg(
+        F.sum(price("o_totalprice")).alias("total_amount"), F.count("*").alias("order_count")
+    )
+    return series.daily_spine(daily, "sale_date", ["total_amount", "order_count"])
+
+
+def inserted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship days without an order day join the daily mart; existing days stay as they are."""
+    target = Marts(spark, sf_dir).sales.select("sale_date", "total_amount")
+    incoming = read_table(spark, sf_dir, "lineitem").select(
+        day("l_shipdate").alias("sale_date"),
+        price("l_extendedprice").alias("total_amount"),
+    )
+    return insert_absent(target, incoming, ["sale_date"], [F.desc("total_amount")])
+
+
+def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return row_counts({name: read_table(spark, sf_dir, name) for name in TABLES})
+
+
+def bound_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_sql(
+        spark,
+        "SELECT o_orderstatus, count(*) AS order_count FROM {orders} "
+        "WHERE o_totalprice > :limit GROUP BY o_orderstatus",
+        {"limit": 200_000},
+        orders=read_table(spark, sf_dir, "orders"),
+    )
+
+
+def bound_sql_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_sql(
+        spark,
+        "SELECT o_orderkey, o_totalprice FROM {orders} WHERE o_orderstatus = :status "
+        "ORDER BY o_totalprice DESC, o_orderkey",
+        {"status": "F"},
+        fetch_all=False,
+        orders=read_table(spark, sf_dir, "orders"),
+    )
+
+
+def affected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_dir(spark, "written")
+    rows = write_counted(read_table(spark, sf_dir, "events"), lambda df: df.write.parquet(target))
+    return spark.range(1).select(F.lit(rows).cast("bigint").alias("rowcount"))
+
+
+def saved_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_dir(spark, "results")
+    log = query_log(spark, sf_dir)
+    save_results(log.select("question", "sql", "execution_time", "success"), target)
+    records = spark.read.schema("success boolean").json(f"{target}/results")
+    saved = records.agg(F.count("*").alias("saved")).scalar()
+    return spark.read.json(f"{target}/statistics").select(
+        "total_queries", "successful", "failed", saved.alias("saved")
+    )
+
+
+# checks
+
+
+def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    labels = read_table(spark, sf_dir, "labels")
+    return checks.null_counts(documents.join(labels, "doc_id", "left"))
+
+
+def keys_of(table: str, keys: list[str]) -> Query:
+    return lambda s, d: checks.key_violations(read_table(s, d, table), keys)
+
+
+def few_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["o_orderstatus", "o_orderpriority", "o_orderkey"]
+    values = checks.possible_values(read_table(spark, sf_dir, "orders"), columns)
+    return values.select("column_name", F.array_join("possible_values", "|").alias("values"))
+
+
+def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = text.synonym_tags(F.col("text"), DOCUMENT_SYNONYMS)
+    return read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.array_join(found, "|").alias("terms")
+    )
+
+
+def question_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.array_join(text.synonym_tags(F.col("question")), "|")
+    return query_log(spark, sf_dir).groupBy(found.alias("terms")).agg(
+        F.count("*").alias("questions")
+    )
+
+
+# profiles and charts
+
+
+def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marts = Marts(spark, sf_dir)
+    frames = [profile(BY_KEY[key].run(marts), key) for key in PROFILED]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _chart_log(spark: SparkSession) -> DataFrame:
+    """Question and SQL of the profiled results: a catalogue, one row each."""
+    rows = [(key, BY_KEY[key].text, BY_KEY[key].sql) for key in PROFILED]
+    return spark.createDataFrame(rows, "result_id string, question string, sql string")
+
+
+def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same profile on whole base tables."""
+    tables = ["orders", "customer", "documents", "events", "part"]
+    frames = [profile(read_table(spark, sf_dir, name), name) for name in tables]
+    return reduce(DataFrame.unionByName, frames).drop("label_length")
+
+
+def date_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = day("o_orderdate").cast("string")
+    values = read_table(spark, sf_dir, "orders").select(
+        written.alias("all_dates"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("open")).otherwise(written).alias("mostly"),
+        F.col("o_orderpriority").alias("none"),
+    )
+    return values.agg(*[date_share(name).alias(name) for name in values.columns])
+
+
+def chart_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = result_flags(_profiles(spark, sf_dir))
+    return charts.recommend_charts(flags, _chart_log(spark))
+
+
+def distribution_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A distribution question over repeated labels, and one over distinct labels."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    shares = lines.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("line_count"))
+    segments = BY_KEY["q20_segment_distribution"].run(Marts(spark, sf_dir))
+    flags = result_flags(profile(shares, "shares").unionByName(profile(segments, "segments")))
+    asked = [("shares", "Доля строк по статусам", ""), ("segments", "распределение", "")]
+    log = spark.createDataFrame(asked, "result_id string, question string, sql string")
+    return charts.recommend_charts(flags, log)
+
+
+def label_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return result_flags(_profiles(spark, sf_dir)).select(
+        "result_id", "first_category", "first_text", "label_length"
+    )
+
+
+def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = Marts(spark, sf_dir).sales
+    written = sales.select(F.col("sale_date").cast("string").alias("sale_date"), "total_amount")
+    return charts.line_frame(written, "sale_date", "total_amount")
+
+
+def _ranked_products(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, str, list]:
+    products = Marts(spark, sf_dir).products.select("product_id", "product_name", "total_revenue")
+    return products, "product_name", "total_revenue", [F.desc("total_revenue"), "product_id"]
+
+
+def pie_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    categories = BY_KEY["q39_category_revenue"].run(Marts(spark, sf_dir))
+    return charts.pie_frame(categories, "category", "revenue", [F.desc("revenue"), "category"])
+
+
+def scatter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return charts.scatter_frame(Marts(spark, sf_dir).sales, "order_count", "total_amount")
+
+
+# query log
+
+
+def _log_columns(**columns: Callable[[], object]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made = [build().alias(name) for name, build in columns.items()]
+        return query_log(spark, sf_dir).select("event_id", *made)
+
+    return run
+
+
+def last_turn_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last non-empty assistant turn of each conversation."""
+    turns = read_table(spark, sf_dir, "conversations").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("role") == "assistant", F.lit(SQL_TOOL)).alias("tool"),
+        F.col("text").alias("tool_input"),
+    )
+    return last_query(turns, "conv_id", "turn")
+
+
+def expected_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Does the turn that follows a question contain the first word of that question?"""
+    turns = read_table(spark, sf_dir, "conversations")
+    asked = turns.where("role = 'user'").select(
+        "conv_id", "turn", F.substring_index("text", " ", 1).alias("expected")
+    )
+    answered = turns.where("role = 'assistant'").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
+    )
+    matches = text.matches_expected(F.col("answer"), F.col("expected"))
+    return asked.join(answered, ["conv_id", "turn"]).select(
+        "conv_id", "turn", "expected", matches.alias("matches_expected")
+    )
+
+
+# scalar expressions
+
+
+def casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        price("l_extendedprice").alias("price"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        day("l_shipdate").alias("ship_date"),
+    )
+
+
+def concatenated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey").cast("string")
+    return read_table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.concat(F.lit("customer"), key, F.lit("@example.com")).alias("email"),
+        F.concat("c_mktsegment", F.lit(" "), key).alias("label"),
+    )
+
+
+def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size")
+    band = (
+        F.when(size <= 10, F.lit("small"))
+        .when(size <= 30, F.lit("medium"))
+        .otherwise(F.lit("large"))
+    )
+    return read_table(spark, sf_dir, "part").groupBy(band.alias("band")).agg(
+        F.count("*").alias("part_count")
+    )
+
+
+def date_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = day("o_orderdate")
+    return read_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.date_add(ordered, 30).alias("due_date"),
+        F.date_sub(ordered, 7).alias("week_before"),
+        F.add_months(ordered, -1).alias("month_before"),
+        month_start("o_orderdate").alias("month"),
+    )
+
+
+def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both bounds are included; they reach the scan as bounds on the raw column."""
+    orders = read_table(spark, sf_dir, "orders")
+    wanted = day("o_orderdate").between(
+        F.lit("1999-02-01").cast("date"), F.lit("1999-02-28").cast("date")
+    )
+    return orders.where(wanted).select("o_orderkey", day("o_orderdate").alias("order_date"))
+
+
+def arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    x = (key % 317) / F.lit(100.0)
+    return read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", x.alias("x"), (x * x).alias("x_square"), (x * x < F.lit(1.0)).alias("inside")
+    )
+
+
+def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.col("text")
+    return read_table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.lower(F.substring(body, 1, 20)).alias("start"),
+        F.contains(F.lower(body), F.lit("license")).alias("has_license"),
+        F.startswith(body, F.lit("E")).alias("starts_with_e"),
+        F.size(F.split(body, "\n", -1)).alias("line_count"),
+        F.length(text.strip(body)).alias("char_count"),
+    )
+
+
+def parsed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text that is not a time becomes null."""
+    orders = read_table(spark, sf_dir, "orders")
+    written = F.when(
+        F.col("o_orderstatus") == "O", day("o_orderdate").cast("string")
+    ).otherwise(F.col("o_orderpriority"))
+    return orders.select("o_orderkey", written.try_cast("timestamp_ntz").alias("parsed"))
+
+
+def averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half-up averages per clerk-free group of priority and status."""
+    grouped = (
+        read_table(spark, sf_dir, "orders")
+        .groupBy("o_orderpriority", "o_orderstatus")
+        .agg(F.sum(price("o_totalprice")).alias("total"), F.count("*").alias("n"))
+    )
+    return grouped.select(
+        "o_orderpriority", "o_orderstatus", half_up_average("total", "n").alias("average")
+    )
+
+
 def all_queries() -> dict[str, Query]:
+    log = F.col
     queries: dict[str, Query] = {
         "a01_sales_summary": lambda s, d: Marts(s, d).sales,
         "a02_customer_stats": lambda s, d: Marts(s, d).customers,
@@ -24,4 +559,104 @@ def all_queries() -> dict[str, Query]:
         "a04_as_of": lambda s, d: Marts(s, d).as_of,
     }
     queries.update({question.key: _question(question) for question in QUESTIONS})
+    queries.update(
+        {
+            "s01_csv_ingest": csv_ingest,
+            "s02_file_hashes": file_hashes,
+            "s03_change_detection": change_detection,
+            "s04_lineage": lineage,
+            "s05_manifest": manifest,
+            "s06_load_check": load_check,
+            "s07_partitioned_table": table_columns,
+            "s08_rows_per_snapshot": rows_per_snapshot,
+            "s09_current_rows": current_rows,
+            "s10_snapshot_list": snapshot_list,
+            "s11_first_snapshot": first_snapshot,
+            "s13_cross_source": cross_source,
+            "s14_date_series": date_rows,
+            "s14_integer_series": integer_rows,
+            "s15_daily_spine": spine,
+            "s16_insert_if_absent": inserted_days,
+            "s17_row_counts": table_counts,
+            "s18_sample": lambda s, d: sample_rows(read_table(s, d, "customer"), ["c_custkey"]),
+            "s19_bound_sql": bound_sql,
+            "s19_bound_sql_first": bound_sql_first,
+            "s20_affected_rows": affected_rows,
+            "s21_saved_results": saved_results,
+            "c01_domain_check": lambda s, d: checks.outside_domain(
+                read_table(s, d, "events").select("event_id", "event_type"),
+                "event_type",
+                ["click", "view", "purchase", "signup"],
+            ),
+            "c01_segment_domain": lambda s, d: checks.outside_domain(
+                Marts(s, d).customers.select("customer_id", "customer_segment"),
+                "customer_segment",
+                ["VIP", "New"],
+            ),
+            "c02_key_check_lines": keys_of("lineitem", ["l_orderkey", "l_linenumber"]),
+            "c02_key_check_turns": keys_of("conversations", ["conv_id", "turn"]),
+            "c03_not_null": not_null,
+            "c04_possible_values": few_values,
+            "c05_data_range": lambda s, d: checks.data_range(
+                Marts(s, d).sales, ["sale_date", "total_amount", "order_count"]
+            ),
+            "c06_synonym_tags": tags,
+            "c06_question_tags": question_tags,
+            "v01_column_profile": _profiles,
+            "v02_column_class": table_profile,
+            "v03_date_share": date_shares,
+            "v04_result_flags": lambda s, d: result_flags(_profiles(s, d)),
+            "v05_chart_choice": chart_choice,
+            "v06_label_length": label_lengths,
+            "v07_distribution": distribution_choice,
+            "v08_line_frame": line_rows,
+            "v09_bar_frame": lambda s, d: charts.bar_frame(*_ranked_products(s, d)),
+            "v10_horizontal_bar_frame": lambda s, d: charts.horizontal_bar_frame(
+                *_ranked_products(s, d)
+            ),
+            "v11_pie_frame": pie_rows,
+            "v12_scatter_frame": scatter_rows,
+            "l01_aggregated_sql": _log_columns(
+                is_aggregated=lambda: text.is_aggregated(log("sql"))
+            ),
+            "l02_top_n": _log_columns(
+                is_top_n=lambda: text.is_top_n(log("question"), log("sql"))
+            ),
+            "l03_distribution": _log_columns(
+                is_distribution=lambda: text.is_distribution(log("question"))
+            ),
+            "l04_fenced_sql": _log_columns(sql=lambda: text.fenced_sql(log("response"))),
+            "l05_last_query": lambda s, d: last_query(query_log(s, d), "user_id", "event_id"),
+            "l05_last_answer": last_turn_query,
+            "l06_before_hint": _log_columns(
+                message=lambda: text.before_hint(log("message")),
+                request=lambda: text.repair_request(log("sql"), log("message")),
+            ),
+            "l07_error_kind": _log_columns(
+                kind=lambda: text.error_kind(log("message")),
+                reported=lambda: text.query_error(log("failure"), log("message")),
+            ),
+            "l08_matches_expected": expected_answers,
+            "l09_title": _log_columns(title=lambda: text.title(log("question"), "Динамика")),
+            "t01_suite_statistics": lambda s, d: stats.suite_statistics(query_log(s, d)),
+            "t02_difficulty_statistics": lambda s, d: stats.difficulty_statistics(
+                query_log(s, d), "event_type", EVENT_DIFFICULTY
+            ),
+            "t03_session_counters": lambda s, d: stats.session_counters(
+                query_log(s, d), "user_id"
+            ),
+            "n01_lattice_count": lambda s, d: lattice_count(
+                read_table(s, d, "orders").select((F.col("o_orderkey") + 1).alias("id"))
+            ),
+            "f01_casts": casts,
+            "f02_concat": concatenated,
+            "f03_case": cases,
+            "f04_date_arithmetic": date_arithmetic,
+            "f05_date_range": date_range,
+            "f06_arithmetic": arithmetic,
+            "f07_text": text_functions,
+            "f08_parsed_times": parsed_times,
+            "f09_half_up_average": averages,
+        }
+    )
     return queries
