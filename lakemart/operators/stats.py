@@ -47,9 +47,10 @@ def difficulty_statistics(
     difficulty = F.lit(None).cast("string")
     for name, level in difficulty_of.items():
         difficulty = F.when(F.col(group) == name, F.lit(level)).otherwise(difficulty)
-    levels = F.array_compact(F.array(difficulty, F.lit("all")))
+    levels = F.explode(F.array(difficulty, F.lit("all")))
     return (
-        results.select("success", "execution_time", F.explode(levels).alias("difficulty"))
+        results.select("success", "execution_time", levels.alias("difficulty"))
+        .where(F.col("difficulty").isNotNull())
         .groupBy("difficulty")
         .agg(*_statistics())
     )

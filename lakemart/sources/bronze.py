@@ -15,7 +15,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from fnmatch import translate
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -193,14 +194,18 @@ def ingest_csv(
         if table in datasets:
             reader = reader.schema(datasets[table][1]).option("enforceSchema", False)
         rows = reader.csv(files)
-        rows.select(
+        traced = rows.select(
             *rows.columns,
             F.col("_metadata.file_size").alias("file_size_bytes"),
             F.current_timestamp().alias("upload_timestamp"),
             F.col("_metadata.file_name").alias("original_filename"),
-        ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "original_filename"
-        ).parquet(f"{bronze}/raw/{table}")
+        )
+        try:
+            traced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "original_filename"
+            ).parquet(f"{bronze}/raw/{table}")
+        except (PySparkException, Py4JJavaError) as error:
+            raise IngestError(f"{table}: not every file could be loaded") from error
 
     if paths:
         to_load.drop("path").write.mode("append").parquet(f"{bronze}/files")
