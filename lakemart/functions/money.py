@@ -1,8 +1,8 @@
 """Exact money arithmetic.
 
-Prices arrive as doubles. Summing them as decimals makes every total independent of
-the order in which partitions are merged; ``decimal(22,2)`` is the natural result of
-summing ``decimal(12,2)`` and leaves room for 10^20 per group.
+Prices arrive as doubles. A total must not depend on the order in which partitions are
+merged, so prices are summed as whole cents. Casting each double to a decimal first would
+be exact too, but goes through text for every row and takes three times as long.
 """
 
 from __future__ import annotations
@@ -21,6 +21,25 @@ def price(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast(PRICE)
 
 
+def units(column: str | Column, scale: int = 2) -> Column:
+    """The amount in whole units of ``10 ** -scale``, rounded half up."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.floor(value * F.lit(10**scale) + F.lit(0.5))
+
+
+def exact_sum(whole: Column, scale: int, kind: str = TOTAL) -> Column:
+    """Sum of whole units as a decimal of the given scale.
+
+    The low 20 bits and the rest are added up apart, each in a 64-bit number: one group
+    can then hold 2^43 rows of any realistic price before either sum is full, and the
+    engine raises an error rather than wrap around.
+    """
+    high = F.sum(F.shiftright(whole, 20)).cast("decimal(20,0)")
+    low = F.sum(whole.bitwiseAND((1 << 20) - 1)).cast("decimal(20,0)")
+    total = high * F.lit(Decimal(1 << 20)) + low
+    return (total * F.lit(Decimal(1).scaleb(-scale))).cast(kind)
+
+
 def half_up_average(total: str, count: str) -> Column:
     """``total / count`` rounded half up to cents, in whole-number arithmetic.
 

@@ -7,15 +7,17 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.money import percent
+from lakemart.functions.money import exact_sum, percent, units
 
-EXACT_TIME = "decimal(18,6)"
+
+def _total_time() -> Column:
+    """Seconds summed as whole microseconds, so the total does not depend on the merge order."""
+    return exact_sum(units("execution_time", 6), 6, "decimal(28,6)").cast("double")
 
 
 def _statistics() -> list[Column]:
-    """Times are summed as decimals, so the mean does not depend on the merge order."""
     time = F.col("execution_time")
-    seconds = F.sum(time.cast(EXACT_TIME)).cast("double") / F.nullif(F.count(time), F.lit(0))
+    seconds = _total_time() / F.nullif(F.count(time), F.lit(0))
     good = F.count_if(F.col("success"))
     return [
         F.count("*").alias("total_queries"),
@@ -58,12 +60,12 @@ def difficulty_statistics(
 
 def session_counters(results: DataFrame, session: str) -> DataFrame:
     """Queries, successes, failures, total and mean time per session."""
-    time = F.coalesce(F.col("execution_time").cast(EXACT_TIME), F.lit(0))
+    total = F.coalesce(_total_time(), F.lit(0.0))
     good = F.count_if(F.col("success"))
     return results.groupBy(session).agg(
         F.count("*").alias("total_queries"),
         good.alias("successful_queries"),
         (F.count("*") - good).alias("failed_queries"),
-        F.sum(time).cast("double").alias("total_time"),
-        (F.sum(time).cast("double") / F.count("*")).alias("avg_time"),
+        total.alias("total_time"),
+        (total / F.count("*")).alias("avg_time"),
     )

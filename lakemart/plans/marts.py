@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.calendar import day
-from lakemart.functions.money import PRICE, TOTAL, half_up_average, price
+from lakemart.functions.money import TOTAL, exact_sum, half_up_average, price, units
 from lakemart.operators.percentiles import exact_percentiles
 from lakemart.sources.tables import read_table
 
@@ -19,7 +19,7 @@ REGULAR_FRACTION = 0.24
 def sales_summary(orders: DataFrame) -> DataFrame:
     """One row per order day. Partial sums leave each task, so a hot day costs nothing extra."""
     daily = orders.groupBy(day("o_orderdate").alias("sale_date")).agg(
-        F.sum(price("o_totalprice")).cast(TOTAL).alias("total_amount"),
+        exact_sum(units("o_totalprice"), 2).alias("total_amount"),
         F.count("*").alias("order_count"),
     )
     return daily.withColumn("avg_order_value", half_up_average("total_amount", "order_count"))
@@ -38,7 +38,7 @@ def customer_totals(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """
     totals = orders.groupBy("o_custkey").agg(
         F.count("*").alias("total_orders"),
-        F.sum(price("o_totalprice")).cast(TOTAL).alias("lifetime_value"),
+        exact_sum(units("o_totalprice"), 2).alias("lifetime_value"),
         F.min("o_orderdate").cast("date").alias("first_order_date"),
         F.max("o_orderdate").cast("date").alias("last_order_date"),
     )
@@ -79,13 +79,13 @@ def product_performance(lineitem: DataFrame, orders: DataFrame, part: DataFrame)
     Only five columns of the two fact tables are read. An order holding very many
     lines is split by the adaptive skew join; parts are summed before their shuffle.
     """
-    net = price("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    net = units("l_extendedprice") * (F.lit(100) - units("l_discount"))
     sold = (
         lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
         .groupBy("l_partkey")
         .agg(
-            F.sum(F.col("l_quantity").cast(PRICE)).alias("quantity"),
-            F.sum(net).alias("revenue"),
+            exact_sum(units("l_quantity"), 2).alias("quantity"),
+            exact_sum(net, 4).alias("revenue"),
             F.max("o_orderdate").cast("date").alias("last_sale_date"),
         )
     )
@@ -94,7 +94,7 @@ def product_performance(lineitem: DataFrame, orders: DataFrame, part: DataFrame)
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.coalesce("quantity", F.lit(0)).cast("bigint").alias("total_quantity_sold"),
-        F.coalesce("revenue", F.lit(0)).cast(TOTAL).alias("total_revenue"),
+        F.coalesce("revenue", F.lit(0).cast(TOTAL)).alias("total_revenue"),
         price("p_retailprice").alias("avg_price"),
         F.col("p_size").alias("units_in_stock"),
         "last_sale_date",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import text
 from lakemart.functions.calendar import day, month_start
-from lakemart.functions.money import half_up_average, price
+from lakemart.functions.money import exact_sum, half_up_average, price, units
 from lakemart.operators import charts, checks, stats
 from lakemart.operators.lattice import lattice_count
 from lakemart.operators.profile import date_share, profile, result_flags
@@ -253,7 +253,8 @@ def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Urgent orders do not come every day; the days between are filled with zeros."""
     high = read_table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
     daily = high.groupBy(day("o_orderdate").alias("sale_date")).agg(
-        F.sum(price("o_totalprice")).alias("total_amount"), F.count("*").alias("order_count")
+        exact_sum(units("o_totalprice"), 2).alias("total_amount"),
+        F.count("*").alias("order_count"),
     )
     return series.daily_spine(daily, "sale_date", ["total_amount", "order_count"])
 
@@ -543,7 +544,7 @@ def averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = (
         read_table(spark, sf_dir, "orders")
         .groupBy("o_orderpriority", "o_orderstatus")
-        .agg(F.sum(price("o_totalprice")).alias("total"), F.count("*").alias("n"))
+        .agg(exact_sum(units("o_totalprice"), 2).alias("total"), F.count("*").alias("n"))
     )
     return grouped.select(
         "o_orderpriority", "o_orderstatus", half_up_average("total", "n").alias("average")

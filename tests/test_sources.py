@@ -202,7 +202,7 @@ def test_time_travel_prunes_snapshots_and_days(spark):
     table.append(known)
     day = table.as_of(1).where("date = DATE'2024-01-15'")
     plan = day._jdf.queryExecution().executedPlan().toString()
-    filters = re.search(r"/data\], PartitionFilters: \[(.*?)\], Pushed", plan).group(1)
+    filters = re.search(r"product#.*?PartitionFilters: \[(.*?), Pushed", plan).group(1)
     assert "snapshot_id" in filters and "= 2024-01-15" in filters
     assert day.count() == 1
 
