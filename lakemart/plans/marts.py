@@ -107,9 +107,12 @@ class Marts:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._facts: dict[str, DataFrame] = {}
 
     def _fact(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        if name not in self._facts:
+            self._facts[name] = read_table(self.spark, self.folder, name)
+        return self._facts[name]
 
     @cached_property
     def sales(self) -> DataFrame:
