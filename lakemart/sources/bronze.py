@@ -46,8 +46,23 @@ class IngestError(RuntimeError):
     """The raw folder is missing or empty, or files could not be loaded."""
 
 
+def _listed(spark: SparkSession, folder: str | list[str], pattern: str) -> DataFrame:
+    """Every file directly in the folder; the bytes are read only if ``content`` is used."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("original_filename"),
+        "path",
+        F.col("length").alias("size_bytes"),
+        F.col("modificationTime").alias("last_modified"),
+        "content",
+    )
+
+
 def content_hashes(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", whole_bytes: int = HASH_WHOLE_BYTES
+    spark: SparkSession,
+    folder: str | list[str],
+    pattern: str = "*.csv",
+    whole_bytes: int = HASH_WHOLE_BYTES,
 ) -> DataFrame:
     """``original_filename, path, size_bytes, last_modified, md5hash`` of each file.
 
@@ -55,19 +70,11 @@ def content_hashes(
     one row: it is read as lines in many splits, and its hash is the MD5 of the line
     count with two order-free sums of line hashes, merged across the splits.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    )
-    facts = [
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("original_filename"),
-        "path",
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("last_modified"),
-    ]
-    small = files.where(F.col("length") <= whole_bytes).select(
-        *facts, F.md5("content").alias("md5hash")
-    )
-    large = files.where(F.col("length") > whole_bytes).select(*facts)
+    files = _listed(spark, folder, pattern)
+    is_small = F.col("size_bytes") <= whole_bytes
+    facts = ["original_filename", "path", "size_bytes", "last_modified"]
+    small = files.where(is_small).select(*facts, F.md5("content").alias("md5hash"))
+    large = files.where(~is_small).select(*facts)
 
     lines = (
         spark.read.option("pathGlobFilter", pattern)
@@ -89,6 +96,22 @@ def content_hashes(
     return small.unionByName(large.join(sums, "original_filename").select(*small.columns))
 
 
+def hashes_since(
+    spark: SparkSession, folder: str, loaded: DataFrame, pattern: str = "*.csv"
+) -> DataFrame:
+    """The same listing, reading only files whose size or time differs from the loaded entry.
+
+    For folders too large to read again on every load. A file changed without a change
+    of either is not noticed.
+    """
+    listing = _listed(spark, folder, pattern).drop("content")
+    stat = ["original_filename", "size_bytes", "last_modified"]
+    known = loaded.select(*stat, "md5hash")
+    touched = [row.path for row in listing.join(known, stat, "left_anti").select("path").collect()]
+    same = listing.join(known, stat).select(*stat, "path", "md5hash")
+    return same.unionByName(content_hashes(spark, touched, pattern)) if touched else same
+
+
 def loaded_files(spark: SparkSession, bronze: str) -> DataFrame:
     """The current entry of each loaded file (the latest one of its name)."""
     try:
@@ -136,18 +159,21 @@ def ingest_csv(
     datasets: Mapping[str, tuple[str, StructType | str]] | None = None,
     metadata: Mapping[str, str] | None = None,
     csv_options: Mapping[str, str] | None = None,
+    hash_all: bool = True,
 ) -> DataFrame:
     """Load the new and changed ``raw/*.csv`` files of ``data_dir``; returns the batch.
 
     ``datasets`` maps a table name to a file pattern and a schema; a file no pattern
     matches becomes a table of its own with string columns named by its header. The
     batch has one row per file found, with its status; loaded files are readable with
-    :func:`read_bronze`. Any file that cannot be parsed fails the load.
+    :func:`read_bronze`. Any file that cannot be parsed fails the load. Without
+    ``hash_all`` files are read only if their size or time changed since they were loaded.
     """
     datasets = datasets or {}
     raw = f"{data_dir.rstrip('/')}/raw"
+    loaded = loaded_files(spark, bronze)
     try:
-        listing = content_hashes(spark, raw)
+        listing = content_hashes(spark, raw) if hash_all else hashes_since(spark, raw, loaded)
     except AnalysisException as error:
         if path_missing(error):
             raise IngestError(f"no folder {raw}") from error
@@ -163,7 +189,7 @@ def ingest_csv(
     described: list[Column] = []
     for key, value in {**facts, **given}.items():
         described += [F.lit(key), value]
-    entries = compare_files(listing, loaded_files(spark, bronze)).select(
+    entries = compare_files(listing, loaded).select(
         F.concat(F.lit("raw/"), "original_filename").alias("object_name"),
         "original_filename",
         _table_name(datasets).alias("table_name"),
@@ -185,7 +211,7 @@ def ingest_csv(
     # Paths of the files to read. The driver holds the same list for any Spark scan.
     to_load = batch.where("status <> 'skip'")
     paths: dict[str, list[str]] = {}
-    for row in to_load.select("table_name", "path").toLocalIterator():
+    for row in to_load.select("table_name", "path").collect():
         paths.setdefault(row.table_name, []).append(row.path)
 
     for table, files in paths.items():

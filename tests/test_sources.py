@@ -121,6 +121,27 @@ def test_hash_of_large_files_is_merged_from_lines(spark, data_dir):
     assert after["items_b.csv"] == before["items_b.csv"]
 
 
+def test_files_of_known_size_and_time_are_not_read_again(spark, data_dir, monkeypatch):
+    target = new_dir(spark, "bronze")
+    first = bronze.ingest_csv(spark, str(data_dir), target, DATASETS, hash_all=False)
+    assert set(statuses(first).values()) == {"new"}
+    (data_dir / "raw" / "items_b.csv").write_text("id,name,price\n3,longer name,3.5\n")
+    read = []
+    whole = bronze.content_hashes
+    monkeypatch.setattr(
+        bronze, "content_hashes", lambda s, files, *rest: read.append(files) or whole(s, files, *rest)
+    )
+    second = bronze.ingest_csv(spark, str(data_dir), target, DATASETS, hash_all=False)
+    assert statuses(second) == {
+        "items_a.csv": "skip",
+        "items_b.csv": "changed",
+        "notes.csv": "skip",
+    }
+    assert [[Path(f).name for f in files] for files in read] == [["items_b.csv"]]
+    third = bronze.ingest_csv(spark, str(data_dir), target, DATASETS)
+    assert set(statuses(third).values()) == {"skip"}
+
+
 def test_missing_and_empty_folder(spark, tmp_path):
     with pytest.raises(bronze.IngestError):
         bronze.ingest_csv(spark, str(tmp_path / "none"), new_dir(spark, "bronze"))
