@@ -5,10 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VALUE_LIMIT = 50
+SKETCH_BITS = 8
+MERGE_GROUPS = 256
 
 
 def outside_domain(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
@@ -69,13 +71,28 @@ def data_range(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*facts).select(F.inline(F.array(*entries)))
 
 
-def distinct_up_to_sketch(column: str):
-    """Distinct count of a text column in bounded state, combined within each task.
+def spread() -> Column:
+    """Grouping key of a first merge round.
 
-    A theta sketch keeps the hashes themselves until it holds 4096 of them, so the
-    result is exact below that and an estimate above: enough to decide a small border.
+    Sketches of all tasks would otherwise meet in one reducer; with it they are merged in
+    :data:`MERGE_GROUPS` tasks, and only as many partial rows reach the last one.
     """
-    return F.theta_sketch_estimate(F.theta_sketch_agg(F.col(column).cast("string"), 12))
+    return F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group")
+
+
+def distinct_sketch(column: str) -> Column:
+    """Sketch of the distinct values of a column, about two kilobytes whatever their number."""
+    return F.theta_sketch_agg(F.col(column).cast("string"), SKETCH_BITS)
+
+
+def distinct_estimate(sketch: str) -> Column:
+    """Distinct count of merged sketches.
+
+    A theta sketch keeps the hashes themselves until it holds ``2 ** SKETCH_BITS`` of
+    them, so the result is exact below that and an estimate above: enough to decide
+    whether there are fewer than :data:`VALUE_LIMIT`.
+    """
+    return F.theta_sketch_estimate(F.theta_union_agg(sketch, SKETCH_BITS))
 
 
 def possible_values(df: DataFrame, columns: list[str], limit: int = VALUE_LIMIT) -> DataFrame:
@@ -84,7 +101,10 @@ def possible_values(df: DataFrame, columns: list[str], limit: int = VALUE_LIMIT)
     A first pass decides in bounded state which columns qualify, and only one row of
     counts reaches the driver; the values are then collected only where they are few.
     """
-    counts = df.agg(*[distinct_up_to_sketch(c).alias(c) for c in columns]).first()
+    if limit > 1 << SKETCH_BITS:
+        raise ValueError(f"at most {1 << SKETCH_BITS} values can be told apart exactly")
+    sketches = df.groupBy(spread()).agg(*[distinct_sketch(c).alias(c) for c in columns])
+    counts = sketches.agg(*[distinct_estimate(c).alias(c) for c in columns]).first()
     few = [c for c in columns if 0 < counts[c] < limit]
     schema = "column_name string, possible_values array<string>"
     if not few:

@@ -1,6 +1,7 @@
 """Column profile of any result: what each column is good for in a chart.
 
-One aggregate pass with bounded state per column, whatever the size of the result.
+One aggregate pass with bounded state per column, whatever the size of the result; the
+state of all tasks is merged in two rounds.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.operators.checks import VALUE_LIMIT, distinct_up_to_sketch
+from lakemart.operators.checks import VALUE_LIMIT, distinct_estimate, distinct_sketch, spread
 
 NUMERIC = "numeric"
 DATETIME = "datetime"
@@ -20,13 +21,17 @@ DATE_SHARE = 0.8
 CATEGORY_SHARE = 0.5
 
 
+def dates_in(column: str) -> Column:
+    """Number of values that parse as a date or time."""
+    return F.count(F.col(column).try_cast("timestamp_ntz"))
+
+
 def date_share(column: str) -> Column:
     """Share of the non-null values that parse as a date or time (null without values).
 
     All values are tested: the first hundred of a distributed frame are not defined.
     """
-    parsed = F.count(F.col(column).try_cast("timestamp_ntz"))
-    return parsed / F.nullif(F.count(column), F.lit(0))
+    return dates_in(column) / F.nullif(F.count(column), F.lit(0))
 
 
 def _is_string(kind: T.DataType) -> bool:
@@ -51,14 +56,23 @@ def profile(df: DataFrame, result: str = "result") -> DataFrame:
     """
     strings = [i for i, field in enumerate(df.schema) if _is_string(field.dataType)]
     facts = [F.count("*").alias("num_rows")]
+    merged = [F.coalesce(F.sum("num_rows"), F.lit(0)).alias("num_rows")]
     for i in strings:
         name = f"`{df.columns[i]}`"
         facts += [
-            distinct_up_to_sketch(name).alias(f"distinct{i}"),
-            date_share(name).alias(f"dates{i}"),
+            distinct_sketch(name).alias(f"sketch{i}"),
+            dates_in(name).alias(f"dates{i}"),
+            F.count(name).alias(f"values{i}"),
             F.max(F.length(name)).alias(f"longest{i}"),
         ]
-    measured = df.agg(*facts)
+        merged += [
+            distinct_estimate(f"sketch{i}").alias(f"distinct{i}"),
+            (F.sum(f"dates{i}") / F.nullif(F.sum(f"values{i}"), F.lit(0))).alias(f"dates{i}"),
+            F.max(f"longest{i}").alias(f"longest{i}"),
+        ]
+    # without text columns there are no sketches to merge
+    grouped = df.groupBy(spread()) if strings else df
+    measured = grouped.agg(*facts).agg(*merged)
 
     rows = F.col("num_rows")
     entries = []
