@@ -22,9 +22,13 @@ def price(column: str | Column) -> Column:
 
 
 def units(column: str | Column, scale: int = 2) -> Column:
-    """The amount in whole units of ``10 ** -scale``, rounded half up."""
+    """The amount in whole units of ``10 ** -scale``, halves rounded away from zero.
+
+    The cast fails on values that are not numbers or too large, instead of counting them as 0.
+    """
     value = F.col(column) if isinstance(column, str) else column
-    return F.floor(value * F.lit(10**scale) + F.lit(0.5))
+    scaled = value * F.lit(10**scale)
+    return (scaled + F.signum(scaled) * F.lit(0.5)).cast("bigint")
 
 
 def exact_sum(whole: Column, scale: int, kind: str = TOTAL) -> Column:

@@ -74,7 +74,9 @@ def lattice(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def parser() -> argparse.ArgumentParser:
-    top = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
+    top = argparse.ArgumentParser(
+        description=__doc__, formatter_class=argparse.RawTextHelpFormatter
+    )
     jobs = top.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("ingest")

@@ -22,4 +22,5 @@ def lattice_count(numbers: DataFrame, column: str = "id") -> DataFrame:
     counts = numbers.agg(
         F.count_if(inside_circle(F.col(column))).alias("inside"), F.count("*").alias("n")
     )
-    return counts.select("inside", "n", (F.lit(4.0) * F.col("inside") / F.col("n")).alias("estimate"))
+    estimate = F.lit(4.0) * F.col("inside") / F.col("n")
+    return counts.select("inside", "n", estimate.alias("estimate"))

@@ -108,32 +108,27 @@ def result_flags(profiles: DataFrame) -> DataFrame:
     """One row per result: sizes, flags, and the first columns of each class."""
     kind = F.col("column_class")
 
-    def first(wanted: str) -> Column:
+    def first(wanted: str, fact: str = "column_name") -> Column:
+        """A fact of the first column of a class."""
         is_wanted = kind == wanted
-        return F.min_by(F.when(is_wanted, F.col("column_name")), F.when(is_wanted, F.col("position")))
+        return F.min_by(F.when(is_wanted, F.col(fact)), F.when(is_wanted, F.col("position")))
 
     numeric = F.array_sort(
         F.collect_list(F.when(kind == NUMERIC, F.struct("position", "column_name")))
     )
-    is_category = kind == CATEGORICAL
-    is_text = kind == TEXT
     grouped = profiles.groupBy("result_id").agg(
         F.max("num_rows").alias("num_rows"),
         F.max("num_cols").alias("num_cols"),
         F.count_if(kind == NUMERIC).alias("numeric_columns"),
         F.count_if(kind == DATETIME).alias("datetime_columns"),
-        F.count_if(is_category).alias("categorical_columns"),
-        F.count_if(is_text).alias("text_columns"),
+        F.count_if(kind == CATEGORICAL).alias("categorical_columns"),
+        F.count_if(kind == TEXT).alias("text_columns"),
         numeric.alias("numeric"),
         first(DATETIME).alias("first_datetime"),
         first(CATEGORICAL).alias("first_category"),
         first(TEXT).alias("first_text"),
-        F.min_by(F.when(is_category, F.col("label_length")), F.when(is_category, F.col("position"))).alias(
-            "category_length"
-        ),
-        F.min_by(F.when(is_text, F.col("label_length")), F.when(is_text, F.col("position"))).alias(
-            "text_length"
-        ),
+        first(CATEGORICAL, "label_length").alias("category_length"),
+        first(TEXT, "label_length").alias("text_length"),
     )
     return grouped.select(
         "result_id",

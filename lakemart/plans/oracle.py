@@ -221,7 +221,8 @@ def _chart_sql(log: str) -> str:
     """The rules one after the other over ``flags`` and a log of (result_id, question, sql)."""
     number = "first_numeric IS NOT NULL"
     aggregated = _any("sql", AGGREGATE_MARKS)
-    ranking = f"(({_any('question', RANKING_STEMS)} OR {_any('sql', ['limit'])}) AND {_any('sql', ['order by'])})"
+    asked = f"({_any('question', RANKING_STEMS)} OR {_any('sql', ['limit'])})"
+    ranking = f"({asked} AND {_any('sql', ['order by'])})"
     distribution = f"({_any('question', DISTRIBUTION_STEMS)} AND num_rows <= 10)"
     label = "coalesce(first_category, first_text)"
     return f"""
@@ -309,7 +310,8 @@ def _all_counts() -> str:
 
 def _synonyms(source: str, value: str, terms: dict[str, list[str]]) -> str:
     made = ", ".join(
-        f"CASE WHEN {_any(value, phrases)} THEN '{term}' END" for term, phrases in sorted(terms.items())
+        f"CASE WHEN {_any(value, phrases)} THEN '{term}' END"
+        for term, phrases in sorted(terms.items())
     )
     return f"SELECT *, concat_ws('|', {made}) AS terms FROM {source}"
 
@@ -490,7 +492,8 @@ def _log_sql() -> dict[str, str]:
         ),
         "l03_distribution": _log(f"{_any('question', DISTRIBUTION_STEMS)} AS is_distribution"),
         "l04_fenced_sql": _log(
-            f"CASE WHEN contains(response, '```') THEN CASE WHEN len({tagged}) > 0 "
+            "CASE WHEN contains(response, '```') THEN CASE "
+            f"WHEN len({tagged}) > 0 "
             f"THEN {_strip(f'substring({tagged}[1], 4)')} ELSE {_strip(f'{parts}[2]')} END "
             f"ELSE {_strip('response')} END AS sql"
         ),

@@ -88,7 +88,9 @@ def _raw_copy(spark: SparkSession, sf_dir: str, table: str) -> str:
     return data_dir
 
 
-def _ingest(spark: SparkSession, sf_dir: str, table: str, target: str, data_dir: str) -> DataFrame:
+def _ingest(
+    spark: SparkSession, sf_dir: str, table: str, target: str, data_dir: str
+) -> DataFrame:
     schema = read_table(spark, sf_dir, table).schema
     return bronze.ingest_csv(
         spark, data_dir, target, {table: ("*.csv", schema)}, {"dataset": table}

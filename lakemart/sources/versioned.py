@@ -9,7 +9,7 @@ invisible; a repeated one replaces what it left. One writer at a time.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -19,11 +19,23 @@ LOG_SCHEMA = "snapshot_id bigint, committed_at timestamp, operation string"
 META_SCHEMA = "schema string, partition_column string"
 
 
+def _read_meta(spark: SparkSession, path: str) -> Row | None:
+    """Schema and partition column of a table; None if it is absent or half created."""
+    try:
+        return spark.read.schema(META_SCHEMA).parquet(f"{path}/meta").first()
+    except AnalysisException as error:
+        if path_missing(error):
+            return None
+        raise
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        meta = spark.read.schema(META_SCHEMA).parquet(f"{self.path}/meta").first()
+        meta = _read_meta(spark, self.path)
+        if meta is None:
+            raise FileNotFoundError(f"no table in {self.path}")
         self.partition_column = meta.partition_column
         self.schema = StructType.fromDDL(meta.schema)
 
@@ -32,17 +44,13 @@ class VersionedTable:
         cls, spark: SparkSession, path: str, schema: str, partition_column: str
     ) -> "VersionedTable":
         """Open the table, creating it first if it is not there."""
-        try:
-            return cls(spark, path)
-        except AnalysisException as error:
-            if not path_missing(error):
-                raise
         path = path.rstrip("/")
-        spark.createDataFrame([], LOG_SCHEMA).write.mode("append").parquet(f"{path}/log")
-        meta = spark.range(1).select(
-            F.lit(schema).alias("schema"), F.lit(partition_column).alias("partition_column")
-        )
-        meta.write.parquet(f"{path}/meta")
+        if _read_meta(spark, path) is None:
+            spark.createDataFrame([], LOG_SCHEMA).write.mode("append").parquet(f"{path}/log")
+            meta = spark.range(1).select(
+                F.lit(schema).alias("schema"), F.lit(partition_column).alias("partition_column")
+            )
+            meta.write.mode("overwrite").parquet(f"{path}/meta")
         return cls(spark, path)
 
     def _log(self) -> DataFrame:

@@ -15,8 +15,12 @@ def test_outside_domain(spark):
 def test_keys(spark):
     rows = [(1, 1), (1, 2), (1, 2), (None, 1), (2, None), (2, None)]
     df = spark.createDataFrame(rows, "a int, b int")
-    found = {(r.a, r.b): (r.row_count, r.problem) for r in checks.key_violations(df, ["a", "b"]).collect()}
-    assert found == {(1, 2): (2, "duplicate"), (None, 1): (1, "null key"), (2, None): (2, "null key")}
+    rows = checks.key_violations(df, ["a", "b"]).collect()
+    assert {(r.a, r.b): (r.row_count, r.problem) for r in rows} == {
+        (1, 2): (2, "duplicate"),
+        (None, 1): (1, "null key"),
+        (2, None): (2, "null key"),
+    }
 
 
 def test_nulls_and_ranges(spark):
@@ -33,7 +37,8 @@ def test_possible_values_border(spark):
         (F.col("id") % 50).cast("string").alias("many"),
         F.lit(None).cast("string").alias("none"),
     )
-    found = {r.column_name: r.possible_values for r in checks.possible_values(df, df.columns).collect()}
+    rows = checks.possible_values(df, df.columns).collect()
+    found = {r.column_name: r.possible_values for r in rows}
     assert set(found) == {"few"}
     assert found["few"] == sorted(str(i) for i in range(49))
     assert checks.possible_values(df, ["many"]).count() == 0

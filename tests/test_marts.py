@@ -64,7 +64,8 @@ def test_customer_stats(orders, customers):
     assert bob.email == "customer20@example.com"
     assert (bob.total_orders, bob.lifetime_value) == (2, Decimal("150.15"))
     assert (bob.first_order_date, bob.last_order_date) == (date(2024, 1, 3), date(2024, 1, 3))
-    assert {k: r.customer_segment for k, r in rows.items()} == {10: "New", 20: "VIP", 30: "Regular"}
+    segments = {k: r.customer_segment for k, r in rows.items()}
+    assert segments == {10: "New", 20: "VIP", 30: "Regular"}
 
 
 def test_segments_do_not_depend_on_the_way(spark):
@@ -87,6 +88,45 @@ def test_customer_with_a_third_of_all_orders(spark, customers):
     assert hot.avg_order_value == Decimal("12.34")
 
 
+def test_order_with_a_third_of_all_lines_is_split(spark):
+    """With thresholds of kilobytes, as with the real ones on a cluster."""
+    key = F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 50_000).cast("bigint")
+    lines = spark.range(300_000).select(
+        key.alias("l_orderkey"),
+        (F.col("id") % 1000).alias("l_partkey"),
+        F.lit(1.0).alias("l_quantity"),
+        F.lit(10.0).alias("l_extendedprice"),
+        F.lit(0.1).alias("l_discount"),
+    )
+    days = F.lit("2024-01-01").cast("timestamp_ntz").alias("o_orderdate")
+    orders = spark.range(50_000).select(F.col("id").alias("o_orderkey"), days)
+    parts = spark.range(1000).select(
+        F.col("id").alias("p_partkey"),
+        F.lit("x").alias("p_name"),
+        F.lit("SMALL").alias("p_type"),
+        F.lit(1).alias("p_size"),
+        F.lit(1.0).alias("p_retailprice"),
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        products = product_performance(lines, orders, parts)
+        rows = products.collect()
+        plan = products._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert {(r.total_quantity_sold, r.total_revenue) for r in rows} == {(300, Decimal("2700.00"))}
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_unsold_parts_stay(spark, orders):
     lines = spark.createDataFrame(
         [(1, 7, 2.0, 10.0, 0.1), (3, 7, 1.0, 5.05, 0.0), (99, 7, 1.0, 1000.0, 0.0)],

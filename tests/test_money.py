@@ -2,6 +2,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakemart.functions.money import exact_sum, half_up_average, percent, ratio, units
@@ -26,13 +27,19 @@ def test_sum_without_values_is_null(spark):
 
 
 @pytest.mark.parametrize(
-    ("value", "scale", "wanted"), [(1.005, 2, 100), (0.125, 2, 13), (2.5, 0, 3), (-1.25, 1, -12)]
+    ("value", "scale", "wanted"), [(1.005, 2, 100), (0.125, 2, 13), (2.5, 0, 3), (-1.25, 1, -13)]
 )
 def test_units(spark, value, scale, wanted):
     df = spark.createDataFrame([(value,)], "v double")
     assert df.select(units("v", scale).alias("u")).first().u == wanted
 
 
+def test_a_price_that_is_no_number_fails(spark):
+    df = spark.createDataFrame([(float("nan"),)], "p double")
+    with pytest.raises(PySparkException):
+        df.agg(exact_sum(units("p"), 2).alias("s")).collect()
+
+
 def test_averages_and_ratios(spark):
     df = spark.sql("SELECT 0.05BD AS total, 2L AS n, 0L AS none")
     row = df.select(

@@ -136,7 +136,12 @@ BRANCHES = [
     ({**GROUPS, **NUMBER}, "", ORDERED, ("bar", 0.95, "g", "n")),
     ({**GROUPS, **NUMBER, "label_length": 15}, "", ORDERED, ("bar", 0.95, "g", "n")),
     ({**GROUPS, **NUMBER, "label_length": 16}, "", ORDERED, ("horizontal_bar", 0.95, "g", "n")),
-    ({**NUMBER, "first_text": "t", "label_length": 16}, "", ORDERED, ("horizontal_bar", 0.95, "t", "n")),
+    (
+        {**NUMBER, "first_text": "t", "label_length": 16},
+        "",
+        ORDERED,
+        ("horizontal_bar", 0.95, "t", "n"),
+    ),
     ({**GROUPS}, "", ORDERED, ("table", 0.6, None, None)),
     ({**TWO}, "", ORDERED, ("table", 0.6, None, None)),
     ({**GROUPS, **NUMBER, "num_rows": 10}, "доля", "", ("pie", 0.85, "g", "n")),

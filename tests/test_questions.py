@@ -101,7 +101,8 @@ def test_ask_gives_rows_and_chart(spark):
     assert top.chart["chart_type"] == "bar" and top.chart["x_column"] == "product_name"
     assert top.chart["y_column"] == "product_id"  # the first numeric column, as published
     shown = [r.product_id for r in top.chart_rows.orderBy("place").collect()]
-    assert shown == [r.product_id for r in top.rows.orderBy(*ranking_order(BY_KEY["q12_top_products"])).collect()]
+    order = ranking_order(BY_KEY["q12_top_products"])
+    assert shown == [r.product_id for r in top.rows.orderBy(*order).collect()]
 
 
 def test_order_follows_the_sql():
@@ -111,7 +112,8 @@ def test_order_follows_the_sql():
 
 
 def test_show_any_result(spark):
-    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("b", 4), ("b", 5)], "k string, n int")
+    values = [("a", 1), ("a", 2), ("b", 3), ("b", 4), ("b", 5)]
+    rows = spark.createDataFrame(values, "k string, n int")
     answer = show(rows, "доля", "")
     assert answer.chart["chart_type"] == "pie"
     assert sum(r.pct for r in answer.chart_rows.collect()) == pytest.approx(100)

@@ -128,9 +128,12 @@ def test_files_of_known_size_and_time_are_not_read_again(spark, data_dir, monkey
     (data_dir / "raw" / "items_b.csv").write_text("id,name,price\n3,longer name,3.5\n")
     read = []
     whole = bronze.content_hashes
-    monkeypatch.setattr(
-        bronze, "content_hashes", lambda s, files, *rest: read.append(files) or whole(s, files, *rest)
-    )
+
+    def noted(session, files, *rest):
+        read.append(files)
+        return whole(session, files, *rest)
+
+    monkeypatch.setattr(bronze, "content_hashes", noted)
     second = bronze.ingest_csv(spark, str(data_dir), target, DATASETS, hash_all=False)
     assert statuses(second) == {
         "items_a.csv": "skip",
@@ -205,6 +208,15 @@ def test_snapshots(spark):
         again.as_of(3)
 
 
+def test_unfinished_creation_is_repeated(spark, tmp_path):
+    path = str(tmp_path / "sales")
+    with pytest.raises(FileNotFoundError):
+        VersionedTable(spark, path)
+    (tmp_path / "sales" / "meta" / "_temporary").mkdir(parents=True)
+    table = VersionedTable.create_if_absent(spark, path, SALES, "date")
+    assert table.append(spark.createDataFrame(KNOWN, SALES)) == 1
+
+
 def test_unfinished_append_is_invisible_and_replaced(spark):
     path = new_dir(spark, "sales")
     table = VersionedTable.create_if_absent(spark, path, SALES, "date")
@@ -242,7 +254,8 @@ def test_insert_if_absent(spark):
 
 
 def test_frequent_key_is_cut_before_the_shuffle(spark):
-    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    rows = spark.range(9000).select(key.alias("k"), "id")
     target = spark.createDataFrame([(1, 1)], "k bigint, id bigint")
     absent = absent_rows(target, rows, ["k"], ["id"])
     plan = absent._jdf.queryExecution().executedPlan().toString()
@@ -260,7 +273,8 @@ def test_series_and_spine(spark):
         [(date(2024, 1, 1), Decimal("1.50"), 2), (date(2024, 1, 4), Decimal("2.50"), 1)],
         "day date, amount decimal(22,2), n bigint",
     )
-    filled = [tuple(r) for r in series.daily_spine(daily, "day", ["amount", "n"]).orderBy("day").collect()]
+    spine = series.daily_spine(daily, "day", ["amount", "n"])
+    filled = [tuple(r) for r in spine.orderBy("day").collect()]
     assert [r[2] for r in filled] == [2, 0, 0, 1]
     assert filled[1] == (date(2024, 1, 2), Decimal("0.00"), 0)
 
