@@ -63,7 +63,7 @@ def show(rows: DataFrame, question: str, sql: str, order: Sequence[Column] = ())
 def ask(marts: Marts, text: str) -> Answer:
     """Answer a published question with its published parameters."""
     question = BY_TEXT[text]
-    return show(question.plan(marts), question.text, question.sql, ranking_order(question))
+    return show(question.run(marts), question.text, question.sql, ranking_order(question))
 
 
 def run_suite(marts: Marts, questions: Sequence[Question] = tuple(QUESTIONS)) -> DataFrame:

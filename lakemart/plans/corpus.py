@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 from typing import Any
 
@@ -15,17 +15,27 @@ from lakemart.plans.marts import Marts
 
 @dataclass(frozen=True)
 class Question:
-    """``options`` are the values used on the test tables instead of the published ones."""
+    """``options`` are the published parameters; ``tested`` replaces some on the test tables,
+    which cover other years, categories and volumes. The SQL is written over the same names.
+    """
 
     key: str
     text: str
     plan: Callable[..., DataFrame]
-    sql: str
+    sql_text: str
     options: dict[str, Any] = field(default_factory=dict)
+    tested: dict[str, Any] = field(default_factory=dict)
+
+    @property
+    def sql(self) -> str:
+        return self.sql_text.format(**self.options)
 
     def run(self, marts: Marts) -> DataFrame:
         return self.plan(marts, **self.options)
 
+    def on_test_tables(self) -> "Question":
+        return replace(self, options={**self.options, **self.tested})
+
 
 # The question texts are the published ones, in their published order.
 QUESTIONS = [
@@ -58,7 +68,8 @@ QUESTIONS = [
         "q05_category_products",
         "Сколько товаров в категории Электроника?",
         q.category_products,
-        "SELECT count(*) AS product_count FROM product_performance WHERE category = 'PROMO'",
+        "SELECT count(*) AS product_count FROM product_performance WHERE category = '{category}'",
+        {"category": "Электроника"},
         {"category": "PROMO"},
     ),
     Question(
@@ -66,7 +77,8 @@ QUESTIONS = [
         "Какая была выручка в декабре 2024?",
         q.month_revenue,
         "SELECT sum(total_amount) AS revenue FROM sales_summary "
-        "WHERE sale_date >= DATE '2000-12-01' AND sale_date <= DATE '2000-12-31'",
+        "WHERE sale_date >= DATE '{month}' AND sale_date <= last_day(DATE '{month}')",
+        {"month": date(2024, 12, 1)},
         {"month": date(2000, 12, 1)},
     ),
     Question(
@@ -74,14 +86,16 @@ QUESTIONS = [
         "Сколько заказов было сделано в последние 7 дней?",
         q.recent_orders,
         "SELECT CAST(sum(order_count) AS BIGINT) AS order_count FROM sales_summary "
-        "WHERE sale_date >= (SELECT as_of FROM anchor) - INTERVAL 7 DAY",
+        "WHERE sale_date >= (SELECT as_of FROM anchor) - INTERVAL {days} DAY",
+        {"days": 7},
     ),
     Question(
         "q08_low_stock",
         "Какие товары имеют остаток меньше 20 единиц?",
         q.low_stock,
         "SELECT product_id, product_name, units_in_stock FROM product_performance "
-        "WHERE units_in_stock < 20",
+        "WHERE units_in_stock < {limit}",
+        {"limit": 20},
     ),
     Question(
         "q09_vip_count",
@@ -94,42 +108,48 @@ QUESTIONS = [
         "Какая была выручка за последние 30 дней?",
         q.recent_revenue,
         "SELECT sum(total_amount) AS revenue FROM sales_summary "
-        "WHERE sale_date >= (SELECT as_of FROM anchor) - INTERVAL 30 DAY",
+        "WHERE sale_date >= (SELECT as_of FROM anchor) - INTERVAL {days} DAY",
+        {"days": 30},
     ),
     Question(
         "q11_top_customers",
         "Покажи топ-5 клиентов по сумме покупок",
         q.top_customers,
         "SELECT customer_id, customer_name, lifetime_value FROM customer_stats "
-        "ORDER BY lifetime_value DESC, customer_id LIMIT 5",
+        "ORDER BY lifetime_value DESC, customer_id LIMIT {n}",
+        {"n": 5},
     ),
     Question(
         "q12_top_products",
         "Какие 3 товара принесли больше всего выручки?",
         q.top_products,
         "SELECT product_id, product_name, total_revenue FROM product_performance "
-        "ORDER BY total_revenue DESC, product_id LIMIT 3",
+        "ORDER BY total_revenue DESC, product_id LIMIT {n}",
+        {"n": 3},
     ),
     Question(
         "q13_top_days",
         "Топ-10 дней с максимальной выручкой",
         q.top_days,
         "SELECT sale_date, total_amount FROM sales_summary "
-        "ORDER BY total_amount DESC, sale_date LIMIT 10",
+        "ORDER BY total_amount DESC, sale_date LIMIT {n}",
+        {"n": 10},
     ),
     Question(
         "q14_most_expensive_products",
         "5 самых дорогих товаров по средней цене",
         q.most_expensive_products,
         "SELECT product_id, product_name, avg_price FROM product_performance "
-        "ORDER BY avg_price DESC, product_id LIMIT 5",
+        "ORDER BY avg_price DESC, product_id LIMIT {n}",
+        {"n": 5},
     ),
     Question(
         "q15_highest_check_customers",
         "3 клиента с самым высоким средним чеком",
         q.highest_check_customers,
         "SELECT customer_id, customer_name, avg_order_value FROM customer_stats "
-        "ORDER BY avg_order_value DESC, customer_id LIMIT 3",
+        "ORDER BY avg_order_value DESC, customer_id LIMIT {n}",
+        {"n": 3},
     ),
     Question(
         "q16_segment_value",
@@ -150,8 +170,9 @@ QUESTIONS = [
         q.monthly_revenue,
         "SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month, "
         "sum(total_amount) AS revenue FROM sales_summary "
-        "WHERE sale_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31' "
+        "WHERE sale_date BETWEEN DATE '{year}-01-01' AND DATE '{year}-12-31' "
         "GROUP BY 1 ORDER BY 1",
+        {"year": 2024},
         {"year": 2000},
     ),
     Question(
@@ -175,7 +196,8 @@ QUESTIONS = [
         "Какой средний чек за последний месяц?",
         q.last_month_check,
         "SELECT CAST(sum(total_amount) AS DOUBLE) / sum(order_count) AS avg_check "
-        "FROM sales_summary WHERE sale_date >= (SELECT as_of FROM anchor) - INTERVAL 1 MONTH",
+        "FROM sales_summary WHERE sale_date >= (SELECT as_of FROM anchor) - INTERVAL {months} MONTH",
+        {"months": 1},
     ),
     Question(
         "q22_median_daily_revenue",
@@ -207,7 +229,8 @@ QUESTIONS = [
         "Какие товары из категории Электроника принесли больше 100000 рублей выручки?",
         q.category_revenue_above,
         "SELECT product_id, product_name, total_revenue FROM product_performance "
-        "WHERE category = 'PROMO' AND total_revenue > 1500000",
+        "WHERE category = '{category}' AND total_revenue > {limit}",
+        {"category": "Электроника", "limit": 100_000},
         {"category": "PROMO", "limit": 1_500_000},
     ),
     Question(
@@ -215,7 +238,8 @@ QUESTIONS = [
         "Клиенты с более чем 10 заказами и суммой покупок больше 50000",
         q.frequent_buyers,
         "SELECT customer_id, customer_name, total_orders, lifetime_value FROM customer_stats "
-        "WHERE total_orders > 10 AND lifetime_value > 50000",
+        "WHERE total_orders > {orders} AND lifetime_value > {value}",
+        {"orders": 10, "value": 50_000},
     ),
     Question(
         "q28_strong_days",
@@ -224,7 +248,8 @@ QUESTIONS = [
         "SELECT sale_date, total_amount, order_count FROM sales_summary "
         "WHERE CAST(total_amount AS DOUBLE) > "
         "(SELECT CAST(sum(total_amount) AS DOUBLE) / count(*) FROM sales_summary) "
-        "AND order_count > 6",
+        "AND order_count > {orders}",
+        {"orders": 50},
         {"orders": 6},
     ),
     Question(
@@ -233,7 +258,8 @@ QUESTIONS = [
         q.unsold_products,
         "SELECT product_id, product_name, last_sale_date FROM product_performance "
         "WHERE last_sale_date IS NULL "
-        "OR last_sale_date < (SELECT as_of FROM anchor) - INTERVAL 30 DAY",
+        "OR last_sale_date < (SELECT as_of FROM anchor) - INTERVAL {days} DAY",
+        {"days": 30},
     ),
     Question(
         "q30_top_products_per_category",
@@ -242,14 +268,16 @@ QUESTIONS = [
         "SELECT * FROM (SELECT category, product_id, product_name, total_revenue, "
         "CAST(row_number() OVER (PARTITION BY category "
         "ORDER BY total_revenue DESC, product_id) AS INTEGER) AS place "
-        "FROM product_performance) WHERE place <= 3",
+        "FROM product_performance) WHERE place <= {n}",
+        {"n": 3},
     ),
     Question(
         "q31_recent_sales",
         "Динамика продаж за последние 30 дней",
         q.recent_sales,
         "SELECT sale_date, total_amount, order_count FROM sales_summary "
-        "WHERE sale_date >= (SELECT as_of FROM anchor) - INTERVAL 30 DAY ORDER BY sale_date",
+        "WHERE sale_date >= (SELECT as_of FROM anchor) - INTERVAL {days} DAY ORDER BY sale_date",
+        {"days": 30},
     ),
     Question(
         "q32_compare_months",
@@ -258,10 +286,11 @@ QUESTIONS = [
         "SELECT revenue, previous_revenue, revenue - previous_revenue AS difference, "
         "100.0::DOUBLE * CAST(revenue - previous_revenue AS DOUBLE) "
         "/ CAST(previous_revenue AS DOUBLE) AS change_pct FROM (SELECT "
-        "sum(total_amount) FILTER (WHERE sale_date BETWEEN DATE '2000-12-01' "
-        "AND DATE '2000-12-31') AS revenue, "
-        "sum(total_amount) FILTER (WHERE sale_date BETWEEN DATE '2000-11-01' "
-        "AND DATE '2000-11-30') AS previous_revenue FROM sales_summary)",
+        "sum(total_amount) FILTER (WHERE sale_date BETWEEN DATE '{month}' "
+        "AND last_day(DATE '{month}')) AS revenue, "
+        "sum(total_amount) FILTER (WHERE sale_date BETWEEN DATE '{previous}' "
+        "AND last_day(DATE '{previous}')) AS previous_revenue FROM sales_summary)",
+        {"month": date(2024, 12, 1), "previous": date(2024, 11, 1)},
         {"month": date(2000, 12, 1), "previous": date(2000, 11, 1)},
     ),
     Question(
@@ -294,14 +323,16 @@ QUESTIONS = [
         "Какие клиенты не делали покупок последние 30 дней?",
         q.inactive_customers,
         "SELECT customer_id, customer_name, last_order_date FROM customer_stats "
-        "WHERE last_order_date < (SELECT as_of FROM anchor) - INTERVAL 30 DAY",
+        "WHERE last_order_date < (SELECT as_of FROM anchor) - INTERVAL {days} DAY",
+        {"days": 30},
     ),
     Question(
         "q37_running_out",
         "Какие товары скоро закончатся на складе?",
         q.running_out,
         "SELECT product_id, product_name, units_in_stock FROM product_performance "
-        "WHERE units_in_stock < 20 ORDER BY units_in_stock, product_id",
+        "WHERE units_in_stock < {limit} ORDER BY units_in_stock, product_id",
+        {"limit": 20},
     ),
     Question(
         "q38_vip_revenue_share",
@@ -322,8 +353,9 @@ QUESTIONS = [
         "q40_repeat_buyer_percent",
         "Какой процент клиентов совершил больше 5 покупок?",
         q.repeat_buyer_percent,
-        "SELECT 100.0::DOUBLE * count(*) FILTER (WHERE total_orders > 5) / count(*) "
+        "SELECT 100.0::DOUBLE * count(*) FILTER (WHERE total_orders > {orders}) / count(*) "
         "AS repeat_pct FROM customer_stats",
+        {"orders": 5},
     ),
     Question(
         "q41_average_daily_revenue",
@@ -343,7 +375,7 @@ QUESTIONS = [
         "Какой топ-5 товаров?",
         q.top_products,
         "SELECT product_id, product_name, total_revenue FROM product_performance "
-        "ORDER BY total_revenue DESC, product_id LIMIT 5",
+        "ORDER BY total_revenue DESC, product_id LIMIT {n}",
         {"n": 5},
     ),
     Question(
@@ -355,7 +387,27 @@ QUESTIONS = [
 ]
 
 BY_KEY = {question.key: question for question in QUESTIONS}
-BY_TEXT = {question.text: question for question in QUESTIONS}
+
+
+def _variant(key: str, text: str, **options: Any) -> Question:
+    question = BY_KEY[key]
+    return replace(question, text=text, options={**question.options, **options})
+
+
+# Other published wordings of the same questions.
+VARIANTS = [
+    _variant("q01_sales_rows", "Сколько записей в таблице sales_summary?"),
+    _variant("q03_customer_count", "Сколько клиентов в базе?"),
+    _variant("q07_recent_orders", "Сколько заказов было за последние 7 дней?"),
+    _variant("q11_top_customers", "Топ-5 клиентов по сумме покупок"),
+    _variant("q11_top_customers", "Покажи топ-3 клиента по сумме покупок", n=3),
+    _variant("q12_top_products", "Топ-3 товара по выручке"),
+    _variant(
+        "q26_category_revenue_above",
+        "Какие товары из категории Электроника принесли больше 100000 рублей?",
+    ),
+]
+BY_TEXT = {question.text: question for question in [*QUESTIONS, *VARIANTS]}
 
 # The suite groups, five questions each, and the difficulty of each group.
 GROUPS = [
@@ -380,11 +432,6 @@ GROUP_DIFFICULTY = {
 }
 
 
-def answer(marts: Marts, text: str) -> DataFrame:
-    """Run a published question by its text, with its published parameters."""
-    return BY_TEXT[text].plan(marts)
-
-
 def questions_by_difficulty(difficulty: str) -> list[Question]:
     """Questions of the groups of one difficulty; any other name returns all of them."""
     suite = QUESTIONS[: 5 * len(GROUPS)]

@@ -9,10 +9,12 @@ from lakemart.functions.text import (
     SYNONYMS,
 )
 from lakemart.operators.charts import OUTCOMES
-from lakemart.plans.corpus import QUESTIONS
+from lakemart.plans.corpus import QUESTIONS as PUBLISHED
 from lakemart.plans.querylog import query_log_sql
 from lakemart.plans.registry import DOCUMENT_SYNONYMS, TABLES
 
+QUESTIONS = [question.on_test_tables() for question in PUBLISHED]
+
 MARTS = """
 sales_summary AS (
   SELECT sale_date, total_amount, order_count,

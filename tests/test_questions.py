@@ -8,7 +8,8 @@ from tests.conftest import MEDIUM, SMALL
 
 from lakemart.plans import questions as q
 from lakemart.plans.ask import ask, ranking_order, run_suite, show
-from lakemart.plans.corpus import BY_KEY, QUESTIONS, questions_by_difficulty
+from lakemart.plans.corpus import BY_TEXT, QUESTIONS, VARIANTS, questions_by_difficulty
+from lakemart.plans.registry import TESTED
 from lakemart.plans.marts import Marts
 
 
@@ -56,24 +57,24 @@ ROWS = {
 
 @pytest.mark.parametrize("key", VALUES)
 def test_single_values(marts, key):
-    assert BY_KEY[key].run(marts).first()[0] == VALUES[key]
+    assert TESTED[key].run(marts).first()[0] == VALUES[key]
 
 
 @pytest.mark.parametrize("key", ROWS)
 def test_row_counts(marts, key):
-    assert BY_KEY[key].run(marts).count() == ROWS[key]
+    assert TESTED[key].run(marts).count() == ROWS[key]
 
 
 def test_comparison_of_months(marts):
-    row = BY_KEY["q32_compare_months"].run(marts).first()
+    row = TESTED["q32_compare_months"].run(marts).first()
     assert (row.revenue, row.previous_revenue) == (Decimal("48838753.25"), Decimal("50541089.82"))
     assert row.difference == Decimal("-1702336.57")
 
 
 def test_best_weekday_and_month(marts):
-    weekday = BY_KEY["q33_best_weekday"].run(marts).first()
+    weekday = TESTED["q33_best_weekday"].run(marts).first()
     assert (weekday.weekday, weekday.avg_revenue) == (6, 1629424.4598529413)
-    month = BY_KEY["q34_best_month"].run(marts).first()
+    month = TESTED["q34_best_month"].run(marts).first()
     assert (month.month, month.revenue) == (date(1995, 7, 1), Decimal("55704459.55"))
 
 
@@ -83,6 +84,21 @@ def test_parameters(marts):
     assert q.compare_months(marts).first().change_pct is None
 
 
+def test_published_and_tested_parameters():
+    published = {question.key: question for question in QUESTIONS}
+    assert "DATE '2024-12-01'" in published["q06_month_revenue"].sql
+    assert "DATE '2000-12-01'" in TESTED["q06_month_revenue"].sql
+    assert published["q26_category_revenue_above"].options["limit"] == 100_000
+    assert all("{" not in question.sql for question in [*QUESTIONS, *VARIANTS])
+
+
+def test_other_wordings(marts):
+    assert len(BY_TEXT) == len(QUESTIONS) + len(VARIANTS)
+    assert BY_TEXT["Покажи топ-3 клиента по сумме покупок"].run(marts).count() == 3
+    assert BY_TEXT["Топ-5 клиентов по сумме покупок"].run(marts).count() == 5
+    assert BY_TEXT["Какой топ-5 товаров?"].run(marts).count() == 5
+
+
 def test_suite_sets():
     assert len(QUESTIONS) == 44
     assert [len(questions_by_difficulty(d)) for d in ("easy", "medium", "hard")] == [10, 15, 15]
@@ -101,14 +117,14 @@ def test_ask_gives_rows_and_chart(spark):
     assert top.chart["chart_type"] == "bar" and top.chart["x_column"] == "product_name"
     assert top.chart["y_column"] == "product_id"  # the first numeric column, as published
     shown = [r.product_id for r in top.chart_rows.orderBy("place").collect()]
-    order = ranking_order(BY_KEY["q12_top_products"])
+    order = ranking_order(TESTED["q12_top_products"])
     assert shown == [r.product_id for r in top.rows.orderBy(*order).collect()]
 
 
 def test_order_follows_the_sql():
-    assert ranking_order(BY_KEY["q20_segment_distribution"]) == []
-    assert ranking_order(BY_KEY["q18_monthly_revenue"]) == []
-    assert len(ranking_order(BY_KEY["q12_top_products"])) == 2
+    assert ranking_order(TESTED["q20_segment_distribution"]) == []
+    assert ranking_order(TESTED["q18_monthly_revenue"]) == []
+    assert len(ranking_order(TESTED["q12_top_products"])) == 2
 
 
 def test_show_any_result(spark):
