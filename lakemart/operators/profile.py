@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.operators.checks import VALUE_LIMIT, distinct_estimate, distinct_sketch, spread
+from lakemart.operators.checks import SKETCH_BITS, VALUE_LIMIT, distinct_sketch, spread
 
 NUMERIC = "numeric"
 DATETIME = "datetime"
@@ -21,17 +21,17 @@ DATE_SHARE = 0.8
 CATEGORY_SHARE = 0.5
 
 
-def dates_in(column: str) -> Column:
-    """Number of values that parse as a date or time."""
-    return F.count(F.col(column).try_cast("timestamp_ntz"))
-
-
 def date_share(column: str) -> Column:
     """Share of the non-null values that parse as a date or time (null without values).
 
     All values are tested: the first hundred of a distributed frame are not defined.
     """
-    return dates_in(column) / F.nullif(F.count(column), F.lit(0))
+    return F.count(F.col(column).try_cast("timestamp_ntz")) / F.nullif(F.count(column), F.lit(0))
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def _is_string(kind: T.DataType) -> bool:
@@ -52,56 +52,48 @@ def profile(df: DataFrame, result: str = "result") -> DataFrame:
     ``result_id, position, column_name, dtype, column_class, num_rows, num_cols,
     label_length``. A string column is a date if most values parse, a category if it has
     fewer than 50 values and fewer than half as many as rows, else text. An empty result
-    has no classes and no columns to offer.
+    has no classes and no columns to offer. The rows are written as SQL text: a result may
+    have hundreds of columns, and one expression each would be slow to build.
     """
     strings = [i for i, field in enumerate(df.schema) if _is_string(field.dataType)]
-    facts = [F.count("*").alias("num_rows")]
-    merged = [F.coalesce(F.sum("num_rows"), F.lit(0)).alias("num_rows")]
+    facts = [F.expr("count(*) AS num_rows")]
+    merged = ["coalesce(sum(num_rows), 0) AS num_rows"]
     for i in strings:
-        name = f"`{df.columns[i]}`"
+        name = "`" + df.columns[i].replace("`", "``") + "`"
         facts += [
             distinct_sketch(name).alias(f"sketch{i}"),
-            dates_in(name).alias(f"dates{i}"),
-            F.count(name).alias(f"values{i}"),
-            F.max(F.length(name)).alias(f"longest{i}"),
+            F.expr(f"count(try_cast({name} AS timestamp_ntz)) AS dates{i}"),
+            F.expr(f"count({name}) AS values{i}"),
+            F.expr(f"max(length({name})) AS longest{i}"),
         ]
         merged += [
-            distinct_estimate(f"sketch{i}").alias(f"distinct{i}"),
-            (F.sum(f"dates{i}") / F.nullif(F.sum(f"values{i}"), F.lit(0))).alias(f"dates{i}"),
-            F.max(f"longest{i}").alias(f"longest{i}"),
+            f"theta_sketch_estimate(theta_union_agg(sketch{i}, {SKETCH_BITS})) AS distinct{i}",
+            f"sum(dates{i}) / nullif(sum(values{i}), 0) AS dates{i}",
+            f"max(longest{i}) AS longest{i}",
         ]
     # without text columns there are no sketches to merge
     grouped = df.groupBy(spread()) if strings else df
-    measured = grouped.agg(*facts).agg(*merged)
+    measured = grouped.agg(*facts).selectExpr(*merged)
 
-    rows = F.col("num_rows")
     entries = []
     for i, field in enumerate(df.schema):
         if i in strings:
-            distinct = F.col(f"distinct{i}")
-            few = (distinct < rows * CATEGORY_SHARE) & (distinct < VALUE_LIMIT)
             kind = (
-                F.when(F.col(f"dates{i}") > DATE_SHARE, F.lit(DATETIME))
-                .when(few, F.lit(CATEGORICAL))
-                .otherwise(F.lit(TEXT))
+                f"CASE WHEN dates{i} > {DATE_SHARE} THEN '{DATETIME}' "
+                f"WHEN distinct{i} < num_rows * {CATEGORY_SHARE} AND distinct{i} < {VALUE_LIMIT} "
+                f"THEN '{CATEGORICAL}' ELSE '{TEXT}' END"
             )
-            longest = F.col(f"longest{i}")
+            longest = f"longest{i}"
         else:
-            kind = F.lit(_declared_class(field.dataType))
-            longest = F.lit(None).cast("int")
+            kind, longest = f"'{_declared_class(field.dataType)}'", "CAST(NULL AS INT)"
         entries.append(
-            F.struct(
-                F.lit(result).alias("result_id"),
-                F.lit(i).alias("position"),
-                F.lit(field.name).alias("column_name"),
-                F.lit(field.dataType.simpleString()).alias("dtype"),
-                F.when(rows > 0, kind).alias("column_class"),
-                rows.alias("num_rows"),
-                F.when(rows > 0, F.lit(len(df.columns))).otherwise(F.lit(0)).alias("num_cols"),
-                longest.alias("label_length"),
-            )
+            f"struct({_literal(result)} AS result_id, {i} AS position, "
+            f"{_literal(field.name)} AS column_name, "
+            f"{_literal(field.dataType.simpleString())} AS dtype, "
+            f"IF(num_rows > 0, {kind}, NULL) AS column_class, num_rows, "
+            f"IF(num_rows > 0, {len(df.columns)}, 0) AS num_cols, {longest} AS label_length)"
         )
-    return measured.select(F.inline(F.array(*entries)))
+    return measured.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def result_flags(profiles: DataFrame) -> DataFrame:

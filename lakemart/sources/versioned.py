@@ -89,10 +89,13 @@ class VersionedTable:
     def _rows(self, committed: DataFrame) -> DataFrame:
         """Rows of the given snapshots; the semi join prunes whole snapshot folders."""
         columns = [field.name for field in self.schema]
-        if committed.isEmpty():
-            return self.spark.createDataFrame([], self.schema)
         stored = StructType([*self.schema.fields, StructField("snapshot_id", LongType())])
-        data = self.spark.read.schema(stored).parquet(f"{self.path}/data")
+        try:
+            data = self.spark.read.schema(stored).parquet(f"{self.path}/data")
+        except AnalysisException as error:
+            if not path_missing(error):
+                raise
+            return self.spark.createDataFrame([], self.schema)
         return data.join(committed.select("snapshot_id"), "snapshot_id", "left_semi").select(
             *columns
         )

@@ -83,8 +83,13 @@ def test_flags(spark):
 
 
 def test_column_names_with_dots_and_blanks(spark):
-    df = spark.sql("SELECT 'a' AS `x.y`, 1 AS `sum of z`")
-    assert classes(df) == {"x.y": "text", "sum of z": "numeric"}
+    df = spark.sql("SELECT 'a' AS `x.y`, 1 AS `sum of z`, 'b' AS `it's a ``tick```, 2 AS `a\\\\b`")
+    assert classes(df) == {
+        "x.y": "text",
+        "sum of z": "numeric",
+        "it's a `tick`": "text",
+        "a\\\\b": "numeric",
+    }
 
 
 FLAGS = (
