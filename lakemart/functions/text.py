@@ -44,6 +44,13 @@ QUERY_ERROR_PREFIX = {
     "unexpected": "Unexpected error during query execution: ",
 }
 
+# The text around the query and the error in a repair request.
+REPAIR_PARTS = [
+    "SQL Query Error:\n\nQuery:\n",
+    "\n\nError:\n",
+    "\n\nPlease fix the SQL query to resolve this error.",
+]
+
 
 def contains_any(text: Column, phrases: Iterable[str]) -> Column:
     """Case-insensitive test for any of the phrases; null text contains nothing."""
@@ -114,15 +121,8 @@ def before_hint(message: Column) -> Column:
 
 def repair_request(query: Column, message: Column) -> Column:
     """The text sent back with a failed query, without the hint part of the error."""
-    return strip(
-        F.concat(
-            F.lit("SQL Query Error:\n\nQuery:\n"),
-            query,
-            F.lit("\n\nError:\n"),
-            before_hint(message),
-            F.lit("\n\nPlease fix the SQL query to resolve this error.\n"),
-        )
-    )
+    head, middle, tail = (F.lit(part) for part in REPAIR_PARTS)
+    return strip(F.concat(head, query, middle, before_hint(message), tail))
 
 
 def query_error(kind: Column, message: Column) -> Column:

@@ -35,6 +35,9 @@ METADATA = {
     "source": "local_upload",
 }
 
+# Fixed value: the bucket named in the manifest.
+BUCKET = "lakehouse-bronze"
+
 FILES_SCHEMA = (
     "object_name string, original_filename string, table_name string, size_bytes bigint, "
     "last_modified timestamp, md5hash string, status string, upload_timestamp timestamp, "
@@ -242,7 +245,7 @@ def read_bronze(spark: SparkSession, bronze: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{bronze}/raw/{table}")
 
 
-def save_manifest(spark: SparkSession, bronze: str, bucket: str = "lakehouse-bronze") -> None:
+def save_manifest(spark: SparkSession, bronze: str, bucket: str = BUCKET) -> None:
     """Write the manifest as JSON: a one-row header, and one row per file.
 
     Up to :data:`DOCUMENT_FILES` files it is also written as one nested document. Beyond

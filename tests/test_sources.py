@@ -185,6 +185,7 @@ def test_stream_takes_each_file_once(spark, data_dir, tmp_path):
 
 
 SALES = "id bigint, product string, amount double, date date"
+# The published rows of the sales table.
 KNOWN = [
     (1, "Laptop", 1200.0, date(2024, 1, 15)),
     (2, "Mouse", 25.0, date(2024, 1, 16)),
