@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakemart.functions.calendar import day
 from lakemart.functions.money import TOTAL, exact_sum, half_up_average, price, units
 from lakemart.operators.percentiles import exact_percentiles
+from lakemart.session import new_dir
 from lakemart.sources.tables import read_table
 
 VIP_FRACTION = 0.80
@@ -154,12 +155,18 @@ class Marts:
 
         ``rebalance`` lets the adaptive engine size the files, also for a category with
         most of the products. Rows are sorted within files by the columns questions filter
-        and rank on, so that row groups can be skipped by their statistics.
+        and rank on, so that row groups can be skipped by their statistics. The customer
+        totals are read several times to place the segments: they are written first, so that
+        the orders are scanned once for them.
         """
         self.sales.hint("rebalance").sortWithinPartitions("sale_date").write.mode(
             "overwrite"
         ).parquet(f"{target}/sales_summary")
-        self.customers.hint("rebalance").sortWithinPartitions(
+        staged = new_dir(self.spark, "customer-totals")
+        self.customer_totals.write.parquet(staged)
+        totals = self.spark.read.parquet(staged)
+        customers = with_segment(totals, row_bound=totals.count())
+        customers.hint("rebalance").sortWithinPartitions(
             F.desc("lifetime_value")
         ).write.mode("overwrite").parquet(f"{target}/customer_stats")
         self.products.hint("rebalance", "category").sortWithinPartitions(
