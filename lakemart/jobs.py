@@ -77,6 +77,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(
         description=__doc__, formatter_class=argparse.RawTextHelpFormatter
     )
+    top.add_argument("--shuffle-gb", type=int, help="size of the largest shuffle to expect")
     jobs = top.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("ingest")
@@ -114,7 +115,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    args.run(get_spark(f"lakemart {args.job}"), args)
+    size = None if args.shuffle_gb is None else args.shuffle_gb << 30
+    args.run(get_spark(f"lakemart {args.job}", shuffle_bytes=size), args)
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart.operators.upsert import absent_rows, insert_absent
-from lakemart.session import new_dir, shared_dir
+from lakemart.session import initial_partitions, new_dir, shared_dir
 from lakemart.sources import bronze, series
 from lakemart.sources.federated import query_sources
 from lakemart.sources.jdbc import jdbc_options
@@ -332,6 +332,12 @@ def test_shared_dir_is_the_configured_one(spark):
     assert new_dir(spark, "x") != new_dir(spark, "x")
 
 
+def test_initial_partitions_follow_the_shuffle():
+    assert initial_partitions(10 * 2**20) == 200
+    assert initial_partitions(1000 * 2**30) == 4000
+    assert initial_partitions(100 * 2**40) == 50_000
+
+
 def test_dates_written_as_csv_come_back(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "t.csv").write_text("at\n2024-01-01T10:00:00\n")
