@@ -22,6 +22,13 @@ def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 
 def save_results(results: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write suite results and their statistics as JSON below ``path``."""
+    """Write suite results and their statistics as JSON below ``path``.
+
+    Times in the report are rounded to hundredths of a second.
+    """
+    times = ["avg_execution_time", "min_execution_time", "max_execution_time"]
+    report = suite_statistics(results).withColumns(
+        {**{name: F.round(name, 2) for name in times}, "timestamp": F.current_timestamp()}
+    )
     results.write.mode(mode).json(f"{path}/results")
-    suite_statistics(results).write.mode(mode).json(f"{path}/statistics")
+    report.write.mode(mode).json(f"{path}/statistics")

@@ -296,12 +296,13 @@ def test_counted_write_and_saved_results(spark, tmp_path):
     target = str(tmp_path / "out")
     assert write_counted(spark.range(1234), lambda df: df.write.parquet(target)) == 1234
     results = spark.createDataFrame(
-        [("a", 1.0, True), ("b", 3.0, True), ("c", None, False)],
+        [("a", 1.0, True), ("b", 3.009, True), ("c", None, False)],
         "question string, execution_time double, success boolean",
     )
     save_results(results, str(tmp_path / "suite"))
     stats = spark.read.json(str(tmp_path / "suite" / "statistics")).first()
     assert (stats.total_queries, stats.failed, stats.avg_execution_time) == (3, 1, 2.0)
+    assert stats.max_execution_time == 3.01
     assert spark.read.json(str(tmp_path / "suite" / "results")).count() == 3
 
 
