@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import byte_bpe, chat, knn, packing
+from lakemart.llm import byte_bpe, chat, knn, packing, substrings
 from lakemart.llm.tables import table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -33,6 +33,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return substrings.remove_repeats(documents).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     pieces = packing.tokenize(documents).select(
@@ -49,6 +56,7 @@ def op9_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
+    "op6_repeated_passages": op6_repeated_passages,
     "op8_packing": op8_packing,
     "op9_knn": op9_knn,
 }
@@ -76,15 +84,40 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(masked, '' ORDER BY turn, role, text)) AS loss_sha256,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op6_repeated_passages": r"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words)
+), later AS (
+  SELECT doc_id, i FROM (
+    SELECT *, min(doc_id) OVER (PARTITION BY words) AS first FROM windows)
+  WHERE first < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM later
+), places AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words
+), kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM places p ANTI JOIN gone g USING (doc_id, i) GROUP BY p.doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
 """,
     "op9_knn": """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))
     AS v, embedding
   FROM embeddings
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM vectors q, vectors c
   WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
 ), ranked AS (
