@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import byte_bpe, chat, knn, packing, substrings
+from lakemart.llm import byte_bpe, chat, knn, minhash, packing, substrings
 from lakemart.llm.tables import table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -33,6 +33,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return substrings.remove_repeats(documents).select(
@@ -56,6 +60,7 @@ def op9_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_minhash": op3_minhash,
     "op6_repeated_passages": op6_repeated_passages,
     "op8_packing": op8_packing,
     "op9_knn": op9_knn,
@@ -84,6 +89,34 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(masked, '' ORDER BY turn, role, text)) AS loss_sha256,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op3_minhash": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words
+    WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id,
+  d.doc_id = min(b) AS kept
+FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
 """,
     "op6_repeated_passages": r"""
 WITH words AS (
