@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import byte_bpe, chat, knn, minhash, packing, substrings
+from lakemart.llm import byte_bpe, chat, knn, minhash, packing, quality_rules, substrings
 from lakemart.llm.tables import table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -37,6 +37,12 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality_rules.quality(documents, labels).select(*columns, "base_failed", "kept")
+
+
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return substrings.remove_repeats(documents).select(
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_minhash": op3_minhash,
+    "op5_quality_rules": op5_quality_rules,
     "op6_repeated_passages": op6_repeated_passages,
     "op8_packing": op8_packing,
     "op9_knn": op9_knn,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart.session import new_dir
 
@@ -21,3 +22,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with ``columns`` behind a generator of one row per row.
+
+    A filter on a column is otherwise moved below the projection that computes it and repeats
+    its expression, inside lambdas once per element. It is not moved below a generator.
+    """
+    fields = F.array(F.struct(*columns))
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(fields))
