@@ -26,11 +26,11 @@ WINDOW = 5
 
 # A bounded sample of labelled rows; all else covers all data.
 SAMPLE_ROWS = 20_000
-BINS = 24
+BINS = 16
 MOST_RULES = 8
 MOST_CONDITIONS = 3
 LEAST_PRECISION = 0.9
-LEAST_COVER = 5
+LEAST_COVER = 3
 
 FEATURES = [
     "symbol_share",
@@ -162,11 +162,16 @@ def decision(rules: list[Rule]) -> Column:
 
 
 def _cuts(sample: DataFrame, features: list[str], bins: int) -> dict[str, list[float]]:
+    """Thresholds of each feature: quantiles of all rows and of the bad ones."""
     shares = F.array(*(F.lit(i / bins) for i in range(1, bins)))
-    row = sample.agg(
-        *(F.percentile_approx(f, shares, F.lit(10_000)).alias(f) for f in features)
-    ).first()
-    return {f: sorted(set(row[f] or [])) for f in features}
+    found: dict[str, set[float]] = {f: set() for f in features}
+    for rows in (sample, sample.filter("bad = 1")):
+        row = rows.agg(
+            *(F.percentile_approx(f, shares, F.lit(10_000)).alias(f) for f in features)
+        ).first()
+        for f in features:
+            found[f].update(row[f] or [])
+    return {f: sorted(values) for f, values in found.items()}
 
 
 def _bin(feature: str, cuts: list[float]) -> Column:
@@ -258,6 +263,7 @@ def learn(
     was not grown on. No rows, or one class only, give no rules. The sample is bounded, so its
     rows are read again for each step.
     """
+    labelled = staged(labelled, "labelled")
     cuts = _cuts(labelled, features, bins)
     cuts = {f: c for f, c in cuts.items() if c}
     if not cuts:
