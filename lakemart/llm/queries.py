@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import byte_bpe, chat, knn, minhash, packing, quality_rules, substrings
+from lakemart.llm import (
+    byte_bpe,
+    chat,
+    knn,
+    line_dedup,
+    minhash,
+    packing,
+    quality_rules,
+    substrings,
+)
 from lakemart.llm.tables import table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -50,6 +59,11 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(documents)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     pieces = packing.tokenize(documents).select(
@@ -69,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash": op3_minhash,
     "op5_quality_rules": op5_quality_rules,
     "op6_repeated_passages": op6_repeated_passages,
+    "op7_line_dedup": op7_line_dedup,
     "op8_packing": op8_packing,
     "op9_knn": op9_knn,
 }
@@ -149,6 +164,37 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
   CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)
+""",
+    "op7_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
+  FROM documents
+), words AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), runs AS (
+  SELECT doc_id, n, line || chr(10) || lead(line) OVER w || chr(10) || lead(line, 2) OVER w AS run
+  FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+), later AS (
+  SELECT doc_id, n FROM (
+    SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS place
+    FROM runs WHERE run IS NOT NULL)
+  WHERE place > 1
+), gone AS (
+  SELECT DISTINCT w.doc_id, w.i
+  FROM (SELECT doc_id, unnest(range(n, n + 3)) AS n FROM later) JOIN words w USING (doc_id, n)
+)
+SELECT d.doc_id, any_value(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END)
+    AS text,
+  count(w.i) AS n_lines, count(g.i) AS n_removed
+FROM documents d LEFT JOIN words w ON w.doc_id = d.doc_id
+LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.i = w.i
+LEFT JOIN (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS kept
+  FROM lines ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+) k ON k.doc_id = d.doc_id
+GROUP BY d.doc_id
 """,
     "op9_knn": """
 WITH vectors AS (
