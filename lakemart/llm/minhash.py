@@ -285,3 +285,14 @@ def near_duplicates(documents: DataFrame, percent: int = SIMILARITY) -> DataFram
         component_id.alias("component_id"),
         F.col("doc_id").eqNullSafe(component_id).alias("kept"),
     )
+
+
+def drop_duplicates(documents: DataFrame, percent: int = SIMILARITY) -> DataFrame:
+    """The rows of ``documents`` that :func:`near_duplicates` keeps, with all their columns.
+
+    Only rows that go are looked up, by id: a row goes if its id belongs to a component with a
+    smaller one. Rows with a null id stay.
+    """
+    judged = near_duplicates(documents, percent)
+    gone = judged.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)

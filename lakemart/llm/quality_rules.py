@@ -79,12 +79,14 @@ def _repeated_words(df: DataFrame) -> DataFrame:
     )
 
 
-def statistics(documents: DataFrame, column: str = "text") -> DataFrame:
-    """Counts and shares of each row's whole text, beside the columns ``doc_id`` and the text.
+def statistics(documents: DataFrame, whole: bool = False) -> DataFrame:
+    """``doc_id``, and counts and shares of each row's whole text.
 
+    ``whole`` adds the row itself as a struct ``q_row``, so that no column of it can clash.
     A null text counts as empty; all its counts and shares are 0.
     """
-    rows = documents.select("doc_id", F.coalesce(F.col(column), F.lit("")).alias("q_text"))
+    row = [F.struct(*documents.columns).alias("q_row")] if whole else []
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("q_text"), *row)
     words = F.split(F.btrim("q_text", F.lit(BLANKS)), "[\\x20\\x09-\\x0D]+")
     lines = F.filter(
         F.split("q_text", "\n"), lambda line: F.translate(line, BLANKS, "") != F.lit("")
@@ -92,6 +94,7 @@ def statistics(documents: DataFrame, column: str = "text") -> DataFrame:
     split = rows.withColumn("q_words", words).withColumn("q_lines", lines)
     counted = split.select(
         "doc_id",
+        *(["q_row"] if whole else []),
         "q_words",
         F.length(F.translate("q_text", BLANKS, "")).cast("bigint").alias("word_chars"),
         _chars_of("q_text", SYMBOLS).alias("n_symbols"),
@@ -122,7 +125,7 @@ def statistics(documents: DataFrame, column: str = "text") -> DataFrame:
             "words_per_line": share("n_words", "n_lines"),
         }
     )
-    return computed_once(shares, [c for c in shares.columns if c != "doc_id"])
+    return computed_once(shares, [c for c in shares.columns if c not in ("doc_id", "q_row")])
 
 
 def base_failed() -> Column:
@@ -310,10 +313,10 @@ def labelled_statistics(
     return statistics(texts).filter(~base_failed()).join(F.broadcast(chosen), "doc_id")
 
 
-def judge(documents: DataFrame, rules: list[Rule]) -> DataFrame:
+def judge(documents: DataFrame, rules: list[Rule], whole: bool = False) -> DataFrame:
     """Statistics of every document, ``base_failed``, the ``rule`` that rejects it, ``kept``."""
     return (
-        statistics(documents)
+        statistics(documents, whole)
         .withColumn("base_failed", base_failed())
         .withColumn("rule", decision(rules))
         .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
@@ -327,3 +330,9 @@ def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     labels only the base decides. An empty table gives no rows.
     """
     return judge(documents, learn(labelled_statistics(documents, labels)))
+
+
+def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that are kept, with all their columns."""
+    rules = learn(labelled_statistics(documents, labels))
+    return judge(documents, rules, whole=True).filter("kept").select("q_row.*")

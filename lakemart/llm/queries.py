@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import (
@@ -14,8 +14,10 @@ from lakemart.llm import (
     line_dedup,
     minhash,
     packing,
+    pii,
     quality_rules,
     substrings,
+    weak_labels,
 )
 from lakemart.llm.tables import table
 
@@ -46,6 +48,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classify(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -77,15 +83,43 @@ def op9_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [
+        F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{kind}')) AS bigint)").alias(
+            f"n_{kind}"
+        )
+        for kind in pii.BASE
+    ]
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(
+                spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"])
+            ),
+            ",",
+        )
+
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_minhash": op3_minhash,
+    "op4_weak_labels": op4_weak_labels,
     "op5_quality_rules": op5_quality_rules,
     "op6_repeated_passages": op6_repeated_passages,
     "op7_line_dedup": op7_line_dedup,
     "op8_packing": op8_packing,
     "op9_knn": op9_knn,
+    "op10_personal_data": op10_personal_data,
 }
 
 SQL: dict[str, str] = {
