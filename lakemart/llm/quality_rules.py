@@ -105,6 +105,7 @@ def statistics(documents: DataFrame, whole: bool = False) -> DataFrame:
         _chars_of("q_text", "!").alias("n_shouts"),
         _chars_of("q_text", CAPITALS).alias("n_capitals"),
         _chars_of("q_text", DIGITS).alias("n_digits"),
+        F.size(F.regexp_extract_all("q_text", F.lit(f"[{SYMBOLS}]+"), F.lit(0))).alias("n_marked"),
     ).withColumn("n_words", F.when(F.col("word_chars") > 0, F.size("q_words")).otherwise(0))
     counted = counted.withColumn("n_distinct", F.size(F.array_distinct("q_words")))
     repeated = _repeated_words(counted).drop("q_words")
