@@ -24,22 +24,17 @@ from lakemart.llm.tables import computed_once, staged
 
 # Votes: 1 good, 0 bad, null no opinion. At most three to the power of their number patterns.
 # Each fault has two labellers on different statistics, so that they can agree.
-LABELLERS: dict[str, Column] = {}
-
-
-def _vote(name: str, condition: str, vote: int) -> None:
-    LABELLERS[name] = F.when(F.expr(condition), F.lit(vote))
-
-
-_vote("symbols", "symbol_share > 0.08", 0)
-_vote("marked words", "marked_share > 0.25", 0)
-_vote("shouting", "shout_share > 0.08", 0)
-_vote("capitals", "capital_share > 0.3", 0)
-_vote("repeats", "repeat_share > 0.2", 0)
-_vote("few words", "distinct_share < 0.2 AND n_words >= 20", 0)
 _CALM = "repeat_share < 0.1 AND capital_share < 0.2"
-_vote("plain", f"symbol_share < 0.02 AND shout_share < 0.02 AND {_CALM}", 1)
-_vote("prose", f"marked_share < 0.05 AND distinct_share > 0.25 AND {_CALM}", 1)
+LABELLERS = {
+    "symbols": ("symbol_share > 0.08", 0),
+    "marked words": ("marked_share > 0.25", 0),
+    "shouting": ("shout_share > 0.08", 0),
+    "capitals": ("capital_share > 0.3", 0),
+    "repeats": ("repeat_share > 0.2", 0),
+    "few words": ("distinct_share < 0.2 AND n_words >= 20", 0),
+    "plain": (f"symbol_share < 0.02 AND shout_share < 0.02 AND {_CALM}", 1),
+    "prose": (f"marked_share < 0.05 AND distinct_share > 0.25 AND {_CALM}", 1),
+}
 
 ROUNDS = 100
 HASHED = 1 << 12
@@ -69,7 +64,7 @@ def voted(documents: DataFrame, whole: bool = False) -> DataFrame:
     counted = statistics(documents, whole)
     marked = F.col("n_marked") / F.greatest("n_words", F.lit(1))
     return counted.withColumn("marked_share", marked).withColumns(
-        {f"vote_{n}": v for n, v in LABELLERS.items()}
+        {f"vote_{n}": F.when(F.expr(when), vote) for n, (when, vote) in LABELLERS.items()}
     )
 
 
