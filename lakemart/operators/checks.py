@@ -95,22 +95,14 @@ def distinct_estimate(sketch: str) -> Column:
     return F.theta_sketch_estimate(F.theta_union_agg(sketch, SKETCH_BITS))
 
 
-def possible_values(df: DataFrame, columns: list[str], limit: int = VALUE_LIMIT) -> DataFrame:
-    """``column_name, possible_values`` for the columns with fewer than ``limit`` values.
+def possible_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column_name, value``: one row per column and distinct value, null included.
 
-    A first pass decides in bounded state which columns qualify, and only one row of
-    counts reaches the driver; the values are then collected only where they are few.
+    All columns go through one distinct, which combines within each task first; no list of
+    values is gathered in one row.
     """
-    if limit > 1 << SKETCH_BITS:
-        raise ValueError(f"at most {1 << SKETCH_BITS} values can be told apart exactly")
-    sketches = df.groupBy(spread()).agg(*[distinct_sketch(c).alias(c) for c in columns])
-    counts = sketches.agg(*[distinct_estimate(c).alias(c) for c in columns]).first()
-    few = [c for c in columns if 0 < counts[c] < limit]
-    schema = "column_name string, possible_values array<string>"
-    if not few:
-        return df.sparkSession.createDataFrame([], schema)
-    sets = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(c) for c in few])
     entries = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("possible_values")) for c in few
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+        for c in columns
     ]
-    return sets.select(F.inline(F.array(*entries)))
+    return df.select(F.inline(F.array(*entries))).distinct()

@@ -1,9 +1,8 @@
 """Exact interpolated percentiles whose state stays bounded at any row count.
 
-The built-in ``percentile`` keeps one counter per distinct value in one final task.
-That is the fast choice for a proven number of rows. Above it the position is found by
-narrowing a value prefix: each pass counts rows per next group of bits, so a task never
-holds more than ``2 ** BITS`` counters per wanted position, whatever the skew.
+The built-in ``percentile`` keeps one counter per distinct value in one final task. Here the
+position is found by narrowing a value prefix: each pass counts rows per next group of bits,
+so a task never holds more than ``2 ** BITS`` counters per wanted position, whatever the skew.
 """
 
 from __future__ import annotations
@@ -13,26 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ONE_TASK_ROWS = 2_000_000
 BITS = 15
 PASSES = 4
 
 
-def exact_percentiles(
-    df: DataFrame, value: Column, fractions: Sequence[float], row_bound: int | None = None
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, value: Column, fractions: Sequence[float]) -> DataFrame:
     """One row with ``percentiles array<double>`` for a whole-number ``value``.
 
-    ``row_bound`` is a proven upper bound of the row count, if the caller has one.
+    Nulls don't count; without any value the array is null.
     """
     values = df.select(value.cast("bigint").alias("value")).where(F.col("value").isNotNull())
-    if row_bound is not None and row_bound <= ONE_TASK_ROWS:
-        wanted = F.array(*[F.lit(float(f)) for f in fractions])
-        return values.agg(F.percentile("value", wanted).alias("percentiles"))
-    return _by_prefix(values, fractions)
-
-
-def _by_prefix(values: DataFrame, fractions: Sequence[float]) -> DataFrame:
     running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
     everything = running.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
@@ -82,7 +71,8 @@ def _by_prefix(values: DataFrame, fractions: Sequence[float]) -> DataFrame:
     )
     at = F.col("low") * (1 - F.col("weight")) + F.col("high") * F.col("weight")
     pairs = F.array_sort(F.collect_list(F.struct("slot", at.alias("at"))))
-    return ends.agg(F.transform(pairs, lambda p: p["at"]).alias("percentiles"))
+    found = F.when(F.count("*") > 0, F.transform(pairs, lambda p: p["at"]))
+    return ends.agg(found.alias("percentiles"))
 
 
 def _hit(counts: DataFrame) -> DataFrame:

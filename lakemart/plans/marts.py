@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakemart.functions.calendar import day
 from lakemart.functions.money import TOTAL, exact_sum, half_up_average, price, units
 from lakemart.operators.percentiles import exact_percentiles
-from lakemart.session import new_dir
+from lakemart.session import new_dir, remove_dir
 from lakemart.sources.tables import read_table
 
 VIP_FRACTION = 0.80
@@ -56,10 +56,10 @@ def customer_totals(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-def with_segment(totals: DataFrame, row_bound: int | None = None) -> DataFrame:
+def with_segment(totals: DataFrame) -> DataFrame:
     """VIP from the 80th percentile of lifetime value, Regular from the 24th, else New."""
     in_cents = (F.col("lifetime_value") * 100).cast("bigint")
-    cuts = exact_percentiles(totals, in_cents, [VIP_FRACTION, REGULAR_FRACTION], row_bound)
+    cuts = exact_percentiles(totals, in_cents, [VIP_FRACTION, REGULAR_FRACTION])
     value = in_cents.cast("double")
     segment = (
         F.when(value >= cuts.select(F.col("percentiles")[0]).scalar(), F.lit("VIP"))
@@ -69,28 +69,26 @@ def with_segment(totals: DataFrame, row_bound: int | None = None) -> DataFrame:
     return totals.withColumn("customer_segment", segment)
 
 
-def customer_stats(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """One row per customer with orders; the row bound comes from the customer table."""
-    return with_segment(customer_totals(orders, customer), row_bound=customer.count())
-
-
 def product_performance(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """One row per part; parts never sold stay, with no last sale date.
 
-    Only five columns of the two fact tables are read. An order holding very many
-    lines is split by the adaptive skew join; parts are summed before their shuffle.
+    Quantity and revenue come from the lines alone, so a line without an order counts as sold;
+    it has no date. Only the last sale date needs the orders: a question that does not ask for
+    it neither joins nor reads them. Parts are summed before their shuffle, and an order
+    holding very many lines is split by the adaptive skew join.
     """
     net = units("l_extendedprice") * (F.lit(100) - units("l_discount"))
-    sold = (
+    sold = lineitem.groupBy(F.col("l_partkey").alias("sold_part")).agg(
+        exact_sum(units("l_quantity"), 2).alias("quantity"),
+        exact_sum(net, 4).alias("revenue"),
+    )
+    dated = (
         lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-        .groupBy("l_partkey")
-        .agg(
-            exact_sum(units("l_quantity"), 2).alias("quantity"),
-            exact_sum(net, 4).alias("revenue"),
-            F.max("o_orderdate").cast("date").alias("last_sale_date"),
-        )
+        .groupBy(F.col("l_partkey").alias("dated_part"))
+        .agg(F.max("o_orderdate").cast("date").alias("last_sale_date"))
     )
-    return part.join(sold, part.p_partkey == sold.l_partkey, "left").select(
+    parts = part.join(sold, F.col("p_partkey") == F.col("sold_part"), "left")
+    return parts.join(dated, F.col("p_partkey") == F.col("dated_part"), "left").select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
@@ -129,7 +127,10 @@ class Marts:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return customer_stats(self._fact("orders"), self._fact("customer"))
+        """Totals are read several times to place the segments, so they are written first."""
+        staged = new_dir(self.spark, "customer-totals")
+        self.customer_totals.write.parquet(staged)
+        return with_segment(self.spark.read.parquet(staged))
 
     @cached_property
     def products(self) -> DataFrame:
@@ -156,22 +157,22 @@ class Marts:
         ``rebalance`` lets the adaptive engine size the files, also for a category with
         most of the products. Rows are sorted within files by the columns questions filter
         and rank on, so that row groups can be skipped by their statistics. The customer
-        totals are read several times to place the segments: they are written first, so that
-        the orders are scanned once for them.
+        totals are read several times to place the segments: they are written first, below the
+        target, and removed at the end.
         """
         self.sales.hint("rebalance").sortWithinPartitions("sale_date").write.mode(
             "overwrite"
         ).parquet(f"{target}/sales_summary")
-        staged = new_dir(self.spark, "customer-totals")
-        self.customer_totals.write.parquet(staged)
-        totals = self.spark.read.parquet(staged)
-        customers = with_segment(totals, row_bound=totals.count())
+        staged = f"{target}/_customer_totals"
+        self.customer_totals.write.mode("overwrite").parquet(staged)
+        customers = with_segment(self.spark.read.parquet(staged))
         customers.hint("rebalance").sortWithinPartitions(
             F.desc("lifetime_value")
         ).write.mode("overwrite").parquet(f"{target}/customer_stats")
         self.products.hint("rebalance", "category").sortWithinPartitions(
             "category", F.desc("total_revenue")
         ).write.mode("overwrite").parquet(f"{target}/product_performance")
+        remove_dir(self.spark, staged)
         return StoredMarts(self.spark, target)
 
 

@@ -57,7 +57,7 @@ product_performance AS (
            sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
              AS revenue,
            CAST(max(o_orderdate) AS DATE) AS last_sale_date
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey)
+    FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey)
   ON p_partkey = l_partkey)"""
 
 
@@ -304,6 +304,33 @@ SELECT row_number() OVER (ORDER BY total_revenue DESC, product_id) AS place,
 FROM (SELECT * FROM product_performance ORDER BY total_revenue DESC, product_id LIMIT 20)"""
 
 
+# A line of digits per customer key.
+KEY_BYTES = "CAST(sum(length(CAST(c_custkey AS VARCHAR)) + 1) AS BIGINT)"
+
+
+def _hash_sql() -> str:
+    """Fingerprints of one file per nation, from its lines in order."""
+    sums = []
+    for name, prime in (("0", 2147483647), ("1", 2147483629)):
+        sums.append(f"sum(h{name}) AS s{name}")
+        sums.append(f"sum(h{name} * (n % {prime}) % {prime}) % {prime} AS w{name}")
+    hashes = ", ".join(
+        f"CAST('0x' || md5(line)[{a}:{a + 6}] AS BIGINT) AS h{i}" for i, a in ((0, 1), (1, 8))
+    )
+    return f"""
+WITH lines AS (
+  SELECT c_nationkey, line, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1
+    AS n
+  FROM (SELECT c_nationkey, c_custkey, c_custkey || '|' || c_name AS line FROM customer)
+), hashed AS (SELECT *, {hashes} FROM lines),
+files AS (
+  SELECT c_nationkey, CAST(sum(strlen(line) + 1) AS BIGINT) AS size_bytes, count(*) AS n,
+    {", ".join(sums)}
+  FROM hashed GROUP BY c_nationkey)
+SELECT c_nationkey, size_bytes, md5(concat_ws(':', size_bytes, n, s0, w0, s1, w1)) AS md5hash
+FROM files"""
+
+
 def _all_counts() -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in TABLES
@@ -325,26 +352,28 @@ def _source_sql() -> dict[str, str]:
         "UNION ALL SELECT 2, 0",
         "s04_lineage": "SELECT 'customer' AS dataset, 'bronze' AS layer, 'csv' AS format, "
         "'local_upload' AS source, count(*) AS row_count, count(*) AS traced_rows FROM customer",
+        "s02_file_hashes": _hash_sql(),
         "s05_manifest": "SELECT 'completed' AS status, 'lakehouse-bronze' AS bronze_bucket, "
-        "count(*) > 0 AS complete FROM customer",
-        "s06_load_check": "SELECT count(*) > 0 AS verified FROM customer",
+        f"{KEY_BYTES} AS row_bytes, 0 AS unlisted_files FROM customer",
+        "s06_load_check": f"SELECT count(*) > 0 AS verified, {KEY_BYTES} AS row_bytes "
+        "FROM customer",
         "s07_partitioned_table": f"SELECT date, count(*) AS row_count FROM ({SALES}) GROUP BY date",
-        "s08_rows_per_snapshot": f"SELECT 1 AS snapshot_id, count(*) AS row_count FROM ({SALES}) "
+        "s08_rows_per_snapshot": f"SELECT 1 AS place, count(*) AS row_count FROM ({SALES}) "
         f"WHERE product <> 'error' UNION ALL SELECT 2, count(*) FROM ({SALES})",
         "s09_current_rows": SALES,
         "s10_snapshot_list": "SELECT DISTINCT CASE WHEN event_type = 'error' THEN 2 ELSE 1 END "
-        "AS snapshot_id, 'append' AS operation FROM events",
+        "AS place, 'append' AS operation FROM events",
         "s11_first_snapshot": f"SELECT * FROM ({SALES}) WHERE product <> 'error'",
         "s13_cross_source": "SELECT c_mktsegment AS segment, count(*) AS row_count, "
-        f"sum(CAST(amount AS DECIMAL(12,2))) AS amount FROM ({SALES}) "
-        "JOIN customer ON id = c_custkey GROUP BY c_mktsegment",
+        "sum(CAST(value AS DECIMAL(12,2))) AS amount FROM events "
+        "JOIN customer ON user_id = c_custkey GROUP BY c_mktsegment",
         "s14_date_series": "SELECT CAST(unnest(generate_series(min(o_orderdate), "
         "max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS day FROM orders",
         "s14_integer_series": "SELECT unnest(generate_series(1, count(*))) AS id FROM customer",
         "s15_daily_spine": """
 WITH daily AS (SELECT CAST(o_orderdate AS DATE) AS sale_date,
     sum(CAST(o_totalprice AS DECIMAL(12,2))) AS total_amount, count(*) AS order_count
-  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+  FROM orders GROUP BY 1),
 spine AS (SELECT CAST(unnest(generate_series(min(sale_date), max(sale_date), INTERVAL 1 DAY))
   AS DATE) AS sale_date FROM daily)
 SELECT sale_date, coalesce(total_amount, 0) AS total_amount, coalesce(order_count, 0) AS order_count
@@ -395,9 +424,8 @@ def _check_sql() -> dict[str, str]:
             for c in ("doc_id", "lang", "n_chars", "quality", "toxic")
         ),
         "c04_possible_values": " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, string_agg(DISTINCT {c}, '|' ORDER BY {c}) AS values "
-            "FROM orders"
-            for c in ("o_orderstatus", "o_orderpriority")
+            f"SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM orders"
+            for c in ("o_orderstatus", "o_orderpriority", "o_custkey")
         ),
         "c05_data_range": with_marts(
             " UNION ALL ".join(

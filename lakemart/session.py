@@ -12,22 +12,22 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 50_000
 
-
-def initial_partitions(shuffle_bytes: int) -> int:
+def initial_partitions(shuffle_bytes: int, most: int | None = None) -> int:
     """Partitions for a shuffle of the given size, so that each fits a task without spilling.
 
-    Beyond :data:`MOST_PARTITIONS` the bookkeeping of the shuffle costs more than larger
-    partitions do; those still sort and aggregate by spilling to disk.
+    ``most`` bounds them where the bookkeeping of the shuffle costs more than larger partitions
+    do; those still sort and aggregate by spilling to disk.
     """
-    return max(200, min(MOST_PARTITIONS, -(-shuffle_bytes // PARTITION_BYTES)))
+    wanted = max(200, -(-shuffle_bytes // PARTITION_BYTES))
+    return wanted if most is None else min(most, wanted)
 
 
 def get_spark(
     app_name: str = "lakemart",
     master: str | None = None,
     shuffle_bytes: int | None = None,
+    most_partitions: int | None = None,
     **conf: str,
 ) -> SparkSession:
     """A session with the settings the operators are planned for.
@@ -47,7 +47,7 @@ def get_spark(
     if shuffle_bytes is not None:
         builder = builder.config(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-            str(initial_partitions(shuffle_bytes)),
+            str(initial_partitions(shuffle_bytes, most_partitions)),
         )
     if master:
         builder = builder.master(master)
@@ -80,3 +80,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, label: str) -> str:
     """A folder of its own for one run below :func:`shared_dir` (not created yet)."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this job wrote, on whatever file system it is."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,31 +1,34 @@
-"""Idempotent, hash-checked load of CSV files into a bronze layer.
+"""Idempotent, fingerprint-checked load of CSV files into a bronze layer.
 
 Layout below the bronze folder::
 
-    raw/<table>/original_filename=<file>/   the parsed rows, one partition per file
-    files/                                  one row per loaded file, appended per batch
-    manifest/                               JSON: header and file entries
+    raw/<table>/load=<id>/original_filename=<file>/   the parsed rows of one load
+    files/                                            one row per loaded file and load
+    loads/load=<id>/                                  every file that load found, with its status
+    manifest/                                         JSON: header, file entries, documents
 
-Rows are written first and the file entry last. A load that dies in between leaves no
-entry, so the next run loads the file again and replaces exactly its partition.
+Rows are written first and the file entry last, and readers take the rows of a file's latest
+entry only. So rows of a load that died, or that a later version of the file replaced, are
+never seen, and the next run loads an unfinished file again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from fnmatch import translate
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from lakemart.session import new_dir
 from lakemart.sources.tables import path_missing
 
-HASH_WHOLE_BYTES = 256 * 1024 * 1024
 DOCUMENT_FILES = 10_000
+# Two primes below 2^31: products of a line hash and a line number stay below 2^62.
+PRIMES = (2_147_483_647, 2_147_483_629)
+BAD_LINE = "_bad_line"
 
 # Descriptive metadata every file entry carries unless the caller overrides it.
 METADATA = {
@@ -41,62 +44,105 @@ BUCKET = "lakehouse-bronze"
 FILES_SCHEMA = (
     "object_name string, original_filename string, table_name string, size_bytes bigint, "
     "last_modified timestamp, md5hash string, status string, upload_timestamp timestamp, "
-    "metadata map<string,string>"
+    "metadata map<string,string>, load string"
 )
 
 
 class IngestError(RuntimeError):
-    """The raw folder is missing or empty, or files could not be loaded."""
+    """The raw folder is missing or empty, or nothing is loaded."""
+
+
+def plain_name(encoded: str = "_metadata.file_name") -> Column:
+    """A file's name as it was written; file metadata hold it URL-encoded, but for plus signs."""
+    return F.regexp_extract(_decoded(encoded), "([^/]*)$", 1)
+
+
+def _file_path(path: str = "_metadata.file_path") -> Column:
+    """A path with one slash after its scheme, as the listing and the scan write it unlike."""
+    return F.regexp_replace(path, "^([^:/]+):/+", "$1:/").alias("file_path")
+
+
+def _decoded(encoded: str) -> Column:
+    return F.url_decode(F.replace(F.col(encoded), F.lit("+"), F.lit("%2B")))
 
 
 def _listed(spark: SparkSession, folder: str | list[str], pattern: str) -> DataFrame:
-    """Every file directly in the folder; the bytes are read only if ``content`` is used."""
+    """Every file directly in the folder, without its bytes.
+
+    A scan gives no row for a file without bytes; the list of files, which the driver holds for
+    any scan, adds it.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("original_filename"),
-        "path",
+    facts = files.select(
+        _file_path(),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("last_modified"),
-        "content",
+    )
+    every = spark.createDataFrame([(path,) for path in files.inputFiles()], "path string")
+    return every.select(_file_path("path")).join(facts, "file_path", "left").select(
+        plain_name("file_path").alias("original_filename"),
+        "file_path",
+        _decoded("file_path").alias("path"),
+        F.coalesce("size_bytes", F.lit(0).cast("bigint")).alias("size_bytes"),
+        "last_modified",
     )
 
 
+def line_hashes(line: Column) -> list[Column]:
+    """Two hashes of a line below 2^28, from its MD5."""
+    digest = F.md5(F.encode(line, "UTF-8"))
+    return [F.conv(F.substring(digest, at, 7), 16, 10).cast("bigint") for at in (1, 8)]
+
+
 def content_hashes(
-    spark: SparkSession,
-    folder: str | list[str],
-    pattern: str = "*.csv",
-    whole_bytes: int = HASH_WHOLE_BYTES,
+    spark: SparkSession, folder: str | list[str], pattern: str = "*.csv"
 ) -> DataFrame:
-    """``original_filename, path, size_bytes, last_modified, md5hash`` of each file.
+    """``original_filename, path, size_bytes, last_modified, md5hash, header`` of each file.
 
-    Files up to ``whole_bytes`` get the MD5 of their bytes. A larger file does not fit
-    one row: it is read as lines in many splits, and its hash is the MD5 of the line
-    count with two order-free sums of line hashes, merged across the splits.
+    The fingerprint is the MD5 of the file's size, its number of lines and, for each of two
+    primes, the sums of its line hashes and of line hash times line number. It is one for files
+    of any size and however they are split, and sees lines that change places. Every split
+    sums up its lines; sums over the splits of a file turn row ids into line numbers. A file
+    without bytes has no lines and stays. ``header`` is the first line.
     """
     files = _listed(spark, folder, pattern)
-    is_small = F.col("size_bytes") <= whole_bytes
-    facts = ["original_filename", "path", "size_bytes", "last_modified"]
-    small = files.where(is_small).select(*facts, F.md5("content").alias("md5hash"))
-    large = files.where(~is_small).select(*facts)
-
-    lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .option("lineSep", "\n")
-        .text(folder)
-        .where(F.col("_metadata.file_size") > whole_bytes)
+    lines = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(folder)
+    rows = lines.select(
+        _file_path(),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        "value",
+        *(h.alias(f"h{i}") for i, h in enumerate(line_hashes(F.col("value")))),
     )
-    line_hash = F.xxhash64("value")
-    sums = lines.groupBy(F.col("_metadata.file_name").alias("original_filename")).agg(
-        F.md5(
-            F.concat_ws(
-                ":",
-                F.count("*").cast("string"),
-                F.sum(line_hash.cast("decimal(20,0)")).cast("string"),
-                F.bit_xor(line_hash).cast("string"),
-            )
-        ).alias("md5hash")
+    sums = [F.count("*").alias("n"), F.min("id").alias("first_id")]
+    sums.append(F.min_by("value", "id").alias("first_line"))
+    for i, prime in enumerate(PRIMES):
+        h, number = F.col(f"h{i}"), F.col("id") % prime
+        sums.append(F.sum(h).alias(f"s{i}"))
+        sums.append(F.sum(h * number % prime).alias(f"w{i}"))
+    blocks = rows.groupBy("file_path", "block").agg(*sums)
+    before = Window.partitionBy("file_path").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    # line number = row id + lines of earlier blocks - first row id of the block
+    placed = blocks.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    facts = [F.sum("n").alias("n"), F.min_by("first_line", "block").alias("header")]
+    for i, prime in enumerate(PRIMES):
+        shift = F.pmod(F.col("shift") - F.col("first_id"), F.lit(prime))
+        moved = (F.col(f"w{i}") + F.pmod(F.col(f"s{i}"), F.lit(prime)) * shift % prime) % prime
+        facts += [F.sum(f"s{i}").alias(f"s{i}"), (F.sum(moved) % prime).alias(f"w{i}")]
+    merged = placed.groupBy("file_path").agg(*facts)
+    found = files.join(merged, "file_path", "left")
+    parts = ["size_bytes", "n", *(f"{x}{i}" for i in range(len(PRIMES)) for x in "sw")]
+    written = [F.coalesce(F.col(p), F.lit(0)).cast("string") for p in parts]
+    return found.select(
+        "original_filename",
+        "path",
+        "size_bytes",
+        "last_modified",
+        F.md5(F.concat_ws(":", *written)).alias("md5hash"),
+        "header",
     )
-    return small.unionByName(large.join(sums, "original_filename").select(*small.columns))
 
 
 def hashes_since(
@@ -105,13 +151,16 @@ def hashes_since(
     """The same listing, reading only files whose size or time differs from the loaded entry.
 
     For folders too large to read again on every load. A file changed without a change
-    of either is not noticed.
+    of either is not noticed. The driver gets the paths of the files to read, as it does for
+    any scan.
     """
-    listing = _listed(spark, folder, pattern).drop("content")
+    listing = _listed(spark, folder, pattern)
     stat = ["original_filename", "size_bytes", "last_modified"]
     known = loaded.select(*stat, "md5hash")
     touched = [row.path for row in listing.join(known, stat, "left_anti").select("path").collect()]
-    same = listing.join(known, stat).select(*stat, "path", "md5hash")
+    same = listing.join(known, stat).select(
+        *stat, "path", "md5hash", F.lit(None).cast("string").alias("header")
+    )
     return same.unionByName(content_hashes(spark, touched, pattern)) if touched else same
 
 
@@ -155,6 +204,19 @@ def _table_name(datasets: Mapping[str, tuple[str, StructType | str]]) -> Column:
     return table
 
 
+def _header_fits(schema: StructType) -> Column:
+    """Is the first line the list of the schema's columns? A file without lines fits."""
+    names = ",".join(field.name for field in schema).lower()
+    written = F.lower(F.regexp_replace("header", "[\"\\s\ufeff]", ""))
+    return F.coalesce(written == F.regexp_replace(F.lit(names), "\\s", ""), F.lit(True))
+
+
+def _with_status(batch: DataFrame, failed: DataFrame) -> DataFrame:
+    bad = failed.select("original_filename", F.lit(True).alias("bad"))
+    status = F.when(F.col("bad"), F.lit("failed")).otherwise(F.col("status"))
+    return batch.join(bad, "original_filename", "left").withColumn("status", status).drop("bad")
+
+
 def ingest_csv(
     spark: SparkSession,
     data_dir: str,
@@ -166,17 +228,22 @@ def ingest_csv(
 ) -> DataFrame:
     """Load the new and changed ``raw/*.csv`` files of ``data_dir``; returns the batch.
 
-    ``datasets`` maps a table name to a file pattern and a schema; a file no pattern
-    matches becomes a table of its own with string columns named by its header. The
-    batch has one row per file found, with its status; loaded files are readable with
-    :func:`read_bronze`. Any file that cannot be parsed fails the load. Without
-    ``hash_all`` files are read only if their size or time changed since they were loaded.
+    ``datasets`` maps a table name to a file pattern and a schema and is read in one job; a
+    file no pattern matches becomes a table of its own with string columns named by its
+    header. The batch has one row per file found, with its status: ``new``, ``changed``,
+    ``skip``, or ``failed`` for a file with a line or a header that doesn't fit its schema.
+    Failed files are not recorded and tried again by the next load; the others are loaded.
+    Loaded files are readable with :func:`read_bronze`. Without ``hash_all`` files are read only
+    if their size or time changed since they were loaded.
     """
     datasets = datasets or {}
     raw = f"{data_dir.rstrip('/')}/raw"
+    load = f"load-{uuid.uuid4().hex}"
     loaded = loaded_files(spark, bronze)
+    first_load = loaded.isEmpty()
     try:
-        listing = content_hashes(spark, raw) if hash_all else hashes_since(spark, raw, loaded)
+        whole = hash_all or first_load
+        listing = content_hashes(spark, raw) if whole else hashes_since(spark, raw, loaded)
     except AnalysisException as error:
         if path_missing(error):
             raise IngestError(f"no folder {raw}") from error
@@ -192,64 +259,101 @@ def ingest_csv(
     described: list[Column] = []
     for key, value in {**facts, **given}.items():
         described += [F.lit(key), value]
-    entries = compare_files(listing, loaded).select(
-        F.concat(F.lit("raw/"), "original_filename").alias("object_name"),
-        "original_filename",
-        _table_name(datasets).alias("table_name"),
-        "size_bytes",
-        "last_modified",
-        "md5hash",
-        "status",
-        F.current_timestamp().alias("upload_timestamp"),
-        F.create_map(*described).alias("metadata"),
-        "path",
+    schemas = {name: _schema(schema) for name, (_, schema) in datasets.items()}
+    fits = F.lit(True)
+    for name, schema in schemas.items():
+        fits = F.when(F.col("table_name") == name, _header_fits(schema)).otherwise(fits)
+    entries = (
+        compare_files(listing, loaded)
+        .withColumn("table_name", _table_name(datasets))
+        .withColumn("fits", fits | (F.col("status") == "skip"))
+        .select(
+            F.concat(F.lit("raw/"), "original_filename").alias("object_name"),
+            "original_filename",
+            "table_name",
+            "size_bytes",
+            "last_modified",
+            "md5hash",
+            F.when(F.col("fits"), F.col("status")).otherwise(F.lit("failed")).alias("status"),
+            F.current_timestamp().alias("upload_timestamp"),
+            F.create_map(*described).alias("metadata"),
+            F.lit(load).alias("load"),
+            "path",
+        )
     )
-    # The files may change while they load: the comparison is settled in a written table.
-    settled = new_dir(spark, "bronze-batch")
-    entries.write.parquet(settled)
-    batch = spark.read.parquet(settled)
+    # The files may change while they load: the comparison is settled in a written table, which
+    # stays as the record of the load.
+    settled = f"{bronze}/loads/load={load}"
+    entries.drop("load").write.parquet(settled)
+    batch = spark.read.parquet(settled).withColumn("load", F.lit(load))
     if batch.isEmpty():
         raise IngestError(f"no CSV files in {raw}")
 
-    # Paths of the files to read. The driver holds the same list for any Spark scan.
-    to_load = batch.where("status <> 'skip'")
-    paths: dict[str, list[str]] = {}
-    for row in to_load.select("table_name", "path").collect():
-        paths.setdefault(row.table_name, []).append(row.path)
-
-    for table, files in paths.items():
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    to_load = batch.where("status IN ('new', 'changed')")
+    filled = to_load.where("size_bytes > 0")
+    names = [row.table_name for row in filled.select("table_name").distinct().collect()]
+    for table in names:
+        own = filled.where(F.col("table_name") == table)
+        if first_load and table in datasets:  # the pattern names the files
+            glob, source = datasets[table][0], raw
+        else:
+            glob, source = "*", [row.path for row in own.select("path").collect()]
+        reader = spark.read.option("header", True).option("pathGlobFilter", glob)
         reader = reader.options(**(csv_options or {}))
-        if table in datasets:
-            reader = reader.schema(datasets[table][1]).option("enforceSchema", False)
-        rows = reader.csv(files)
+        schema = schemas.get(table) or reader.csv(source).schema
+        parsed = StructType([*schema.fields, StructField(BAD_LINE, StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+        rows = reader.schema(parsed).csv(source)
         traced = rows.select(
             *rows.columns,
             F.col("_metadata.file_size").alias("file_size_bytes"),
             F.current_timestamp().alias("upload_timestamp"),
-            F.col("_metadata.file_name").alias("original_filename"),
+            plain_name().alias("original_filename"),
         )
-        try:
-            traced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "original_filename"
-            ).parquet(f"{bronze}/raw/{table}")
-        except (PySparkException, Py4JJavaError) as error:
-            raise IngestError(f"{table}: not every file could be loaded") from error
+        wanted = own.select("original_filename")
+        traced.join(wanted, "original_filename", "left_semi").write.partitionBy(
+            "original_filename"
+        ).parquet(f"{bronze}/raw/{table}/load={load}")
+    failed = [_bad_files(spark, f"{bronze}/raw/{table}/load={load}") for table in names]
+    for bad in failed:
+        batch = _with_status(batch, bad)
+    done = batch.where("status IN ('new', 'changed')").drop("path")
+    if not done.isEmpty():
+        done.write.mode("append").parquet(f"{bronze}/files")
+    return batch.drop("path", "load")
 
-    if paths:
-        to_load.drop("path").write.mode("append").parquet(f"{bronze}/files")
-    return batch.drop("path")
 
+def _schema(schema: StructType | str) -> StructType:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-def read_bronze(spark: SparkSession, bronze: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{bronze}/raw/{table}")
 
+def _bad_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of a load with a line that its schema could not take."""
+    try:
+        rows = spark.read.parquet(folder)
+    except AnalysisException:  # no file had a row
+        return spark.createDataFrame([], "original_filename string")
+    name = F.col("original_filename").cast("string").alias("original_filename")
+    return rows.where(F.col(BAD_LINE).isNotNull()).select(name).distinct()
 
-def save_manifest(spark: SparkSession, bronze: str, bucket: str = BUCKET) -> None:
-    """Write the manifest as JSON: a one-row header, and one row per file.
 
-    Up to :data:`DOCUMENT_FILES` files it is also written as one nested document. Beyond
-    that the row form alone holds it, because a document is a single row in one task.
+def read_bronze(spark: SparkSession, bronze: str, table: str) -> DataFrame:
+    """Rows of the current version of each loaded file of a table."""
+    rows = spark.read.option("mergeSchema", True).parquet(f"{bronze}/raw/{table}")
+    rows = rows.withColumn("original_filename", F.col("original_filename").cast("string"))
+    current = loaded_files(spark, bronze).where(F.col("table_name") == table)
+    current = current.select("original_filename", "load")
+    columns = [c for c in rows.columns if c not in (BAD_LINE, "load")]
+    return rows.join(current, ["original_filename", "load"], "left_semi").select(*columns)
+
+
+def save_manifest(
+    spark: SparkSession, bronze: str, bucket: str = BUCKET, document_files: int = DOCUMENT_FILES
+) -> None:
+    """Write the manifest as JSON: a one-row header, one row per file, and nested documents.
+
+    A document is a single row, so the files are split by a hash of their name into as many
+    documents of about ``document_files`` as it takes; each says which part it is.
     """
     files = loaded_files(spark, bronze).select(
         "object_name", "size_bytes", "last_modified", "md5hash", "upload_timestamp"
@@ -262,15 +366,20 @@ def save_manifest(spark: SparkSession, bronze: str, bucket: str = BUCKET) -> Non
     )
     header.write.mode("overwrite").json(f"{bronze}/manifest/header")
     files.write.mode("overwrite").json(f"{bronze}/manifest/files")
-    if files.count() <= DOCUMENT_FILES:
-        entries = F.array_sort(F.collect_list(F.struct(*files.columns)))
-        document = files.agg(entries.alias("files")).select(
-            F.current_timestamp().alias("upload_timestamp"),
-            F.lit("completed").alias("status"),
-            F.lit(bucket).alias("bronze_bucket"),
-            "files",
-        )
-        document.write.mode("overwrite").json(f"{bronze}/manifest/document")
+    count = spark.read.schema("file_count bigint").json(f"{bronze}/manifest/header").first()[0]
+    parts = max(1, -(-count // document_files))
+    part = F.pmod(F.xxhash64("object_name"), F.lit(parts)).alias("part")
+    documents = files.groupBy(part).agg(
+        F.array_sort(F.collect_list(F.struct(*files.columns))).alias("files")
+    )
+    documents.select(
+        F.current_timestamp().alias("upload_timestamp"),
+        F.lit("completed").alias("status"),
+        F.lit(bucket).alias("bronze_bucket"),
+        "part",
+        F.lit(parts).alias("parts"),
+        "files",
+    ).write.mode("overwrite").json(f"{bronze}/manifest/document")
 
 
 def verify_load(spark: SparkSession, bronze: str) -> DataFrame:

@@ -3,13 +3,16 @@
 Layout: ``data/snapshot_id=<n>/<partition>=<value>/``, ``log/`` with one row per
 committed snapshot, ``meta/`` with the schema. An append writes its data first and its
 log row last, and readers see only snapshots in the log, so an unfinished append stays
-invisible; a repeated one replaces what it left. One writer at a time.
+invisible. Snapshot ids are random and their order is that of commitment, so writers that
+append at the same time don't meet.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -62,10 +65,10 @@ class VersionedTable:
         ``rebalance`` gathers the rows of a partition value into few files and still
         splits a value that holds a large share of the rows.
         """
-        snapshot = (self._log().agg(F.max("snapshot_id")).first()[0] or 0) + 1
-        rows.to(self.schema).hint("rebalance", self.partition_column).write.mode(
-            "overwrite"
-        ).partitionBy(self.partition_column).parquet(f"{self.path}/data/snapshot_id={snapshot}")
+        snapshot = uuid.uuid4().int >> 65  # 63 bits
+        rows.to(self.schema).hint("rebalance", self.partition_column).write.partitionBy(
+            self.partition_column
+        ).parquet(f"{self.path}/data/snapshot_id={snapshot}")
         committed = self.spark.range(1).select(
             F.lit(snapshot).cast("bigint").alias("snapshot_id"),
             F.current_timestamp().alias("committed_at"),
@@ -82,20 +85,39 @@ class VersionedTable:
 
     def as_of(self, snapshot_id: int) -> DataFrame:
         """The table as it was after the given snapshot."""
-        if self._log().where(F.col("snapshot_id") == snapshot_id).isEmpty():
+        found = self._log().where(F.col("snapshot_id") == snapshot_id).first()
+        if found is None:
             raise ValueError(f"no snapshot {snapshot_id} in {self.path}")
-        return self._rows(self._log().where(F.col("snapshot_id") <= snapshot_id))
+        place = F.struct("committed_at", "snapshot_id")
+        last = F.struct(F.lit(found.committed_at), F.lit(found.snapshot_id).cast("bigint"))
+        return self._rows(self._log().where(place <= last))
+
+    def row_counts(self) -> DataFrame:
+        """``snapshot_id, place, row_count``: rows of the table after each snapshot, in order.
+
+        One pass counts the rows of each snapshot; the running sum is over the log's rows.
+        """
+        order = Window.orderBy("committed_at", "snapshot_id")
+        counts = self._data(self._log()).groupBy("snapshot_id").agg(F.count("*").alias("n"))
+        return (
+            self._log()
+            .join(counts, "snapshot_id", "left")
+            .select(
+                "snapshot_id",
+                F.row_number().over(order).alias("place"),
+                F.sum(F.coalesce("n", F.lit(0))).over(order).alias("row_count"),
+            )
+        )
 
     def _rows(self, committed: DataFrame) -> DataFrame:
-        """Rows of the given snapshots; the semi join prunes whole snapshot folders."""
-        columns = [field.name for field in self.schema]
+        return self._data(committed).select(*[field.name for field in self.schema])
+
+    def _data(self, committed: DataFrame) -> DataFrame:
+        """Rows of the given snapshots with their id; only the folders of these are listed."""
+        ids = [row.snapshot_id for row in committed.select("snapshot_id").collect()]
         stored = StructType([*self.schema.fields, StructField("snapshot_id", LongType())])
-        try:
-            data = self.spark.read.schema(stored).parquet(f"{self.path}/data")
-        except AnalysisException as error:
-            if not path_missing(error):
-                raise
-            return self.spark.createDataFrame([], self.schema)
-        return data.join(committed.select("snapshot_id"), "snapshot_id", "left_semi").select(
-            *columns
-        )
+        if not ids:
+            return self.spark.createDataFrame([], stored)
+        root = f"{self.path}/data"
+        folders = [f"{root}/snapshot_id={i}" for i in ids]
+        return self.spark.read.schema(stored).option("basePath", root).parquet(*folders)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from lakemart.sources.bronze import plain_name
+
 
 def read_new_files(spark: SparkSession, raw: str, schema: StructType | str) -> DataFrame:
     rows = (
@@ -25,7 +27,7 @@ def read_new_files(spark: SparkSession, raw: str, schema: StructType | str) -> D
         *rows.columns,
         F.col("_metadata.file_size").alias("file_size_bytes"),
         F.current_timestamp().alias("upload_timestamp"),
-        F.col("_metadata.file_name").alias("original_filename"),
+        plain_name().alias("original_filename"),
     )
 
 
