@@ -6,9 +6,10 @@
    nothing and go; a class with fewer than ``MATCHES`` shared values goes with them.
 3. Two signatures with ``MATCHES`` equal coordinates have one in common among the rarest
    ``n - MATCHES + 1`` values of either, so only this prefix is merged.
-4. Merging skips what is known: each list first links its members to its smallest one; after
-   these links are confirmed and joined to components, only members of unlike components
-   still meet, block by block. All links are confirmed on the full shingle sets.
+4. Merging skips what is known: each class is first linked to the best of its lists' smallest
+   members. After these links are confirmed and joined to components, only members of unlike
+   components still meet, block by block, until a link joins them. All links are confirmed on
+   the full shingle sets.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ COORDINATES = 48
 MATCHES = 22
 SIMILARITY = 75  # percent
 LIST_BLOCK = 512
+OUTER_BLOCK = 256
 
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -156,7 +158,7 @@ def shared_values(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
 
 
 def leader_links(posted: DataFrame, signed: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """Each class with the smallest leader of its lists that enough coordinates match."""
+    """Each class with that leader of its lists which most coordinates match, if enough do."""
     pairs = posted.filter("doc_id <> leader").select("doc_id", "leader").distinct()
     mine = signed.select("doc_id", "signature", "n_shingles")
     theirs = signed.select(
@@ -167,11 +169,11 @@ def leader_links(posted: DataFrame, signed: DataFrame, matches: int = MATCHES) -
     return (
         pairs.join(mine, "doc_id")
         .join(theirs, "leader")
-        .filter(equal_coordinates("signature", "leader_signature") >= matches)
-        .filter(_sizes_allow("n_shingles", "leader_shingles"))
+        .withColumn("equal", equal_coordinates("signature", "leader_signature"))
+        .filter((F.col("equal") >= matches) & _sizes_allow("n_shingles", "leader_shingles"))
         .groupBy("doc_id")
-        .agg(F.min("leader").alias("leader"))
-        .select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
+        .agg(F.max(F.struct("equal", (-F.col("leader")).alias("leader"))).alias("best"))
+        .select((-F.col("best.leader")).alias("a"), F.col("doc_id").alias("b"))
     )
 
 
@@ -179,66 +181,130 @@ def _sizes_allow(a: str, b: str, percent: int = SIMILARITY) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _meet(matches: int, percent: int):
-    """Pairs of one block pair that lie in unlike components and match in enough coordinates."""
+class Unit:
+    """Members of one group that meet: their signatures, and their sets as dense numbers."""
+
+    def __init__(self, part: pa.Table):
+        self.ids = part.column("doc_id").to_numpy()
+        self.label = part.column("label").to_numpy().copy()
+        self.outer = part.column("outer").to_numpy()
+        signs = _lists(part.column("signature"))
+        self.signs = signs.flatten().to_numpy().reshape(len(self.ids), -1)
+        sets = _lists(part.column("shingles"))
+        ends = sets.offsets.to_numpy().astype(np.int64)
+        self.starts = ends[:-1] - ends[0]
+        self.sizes = np.diff(ends)
+        distinct, self.shingles = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        self.held = np.zeros(len(distinct), bool)
+
+    def common(self, row: int, others: np.ndarray) -> np.ndarray:
+        """Size of the intersection of one set with each of some others."""
+        own = self.shingles[self.starts[row] : self.starts[row] + self.sizes[row]]
+        self.held[own] = True
+        sizes = self.sizes[others]
+        at = np.cumsum(sizes) - sizes
+        place = np.arange(int(sizes.sum())) + np.repeat(self.starts[others] - at, sizes)
+        found = np.add.reduceat(self.held[self.shingles[place]].astype(np.int64), at)
+        self.held[own] = False
+        return found
+
+    def links(self, matches: int, percent: int) -> Iterator[tuple[int, int]]:
+        """Links that join unlike labels; labels are joined as links are found."""
+        for row in np.flatnonzero(self.outer):
+            size = self.sizes[row]
+            fits = np.minimum(self.sizes, size) * 100 >= np.maximum(self.sizes, size) * percent
+            others = np.flatnonzero(fits & (self.label != self.label[row]))
+            if len(others):
+                equal = (self.signs[others] == self.signs[row]).sum(1)
+                others = others[equal >= matches]
+            if not len(others):
+                continue
+            both = self.common(row, others)
+            near = others[both * 100 >= (self.sizes[others] + size - both) * percent]
+            for other in near:
+                if self.label[other] != self.label[row]:
+                    self.label[self.label == self.label[other]] = self.label[row]
+                    yield int(self.ids[row]), int(self.ids[other])
+
+
+def _lists(column: pa.ChunkedArray) -> pa.ListArray:
+    joined = column.combine_chunks()
+    return joined.chunk(0) if isinstance(joined, pa.ChunkedArray) else joined
+
 
+def _meet(matches: int, percent: int):
     def run(part: pa.Table) -> pa.Table:
-        ids = part.column("doc_id").to_numpy()
-        label = part.column("label").to_numpy()
-        size = part.column("n_shingles").to_numpy()
-        raw = part.column("signature").combine_chunks()
-        raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
-        signs = raw.flatten().to_numpy().reshape(len(ids), -1)
-        pairs: list[tuple[int, int]] = []
-        order = np.argsort(size, kind="stable")
-        ids, label, size, signs = ids[order], label[order], size[order], signs[order]
-        for row in range(len(ids) - 1):
-            stop = int(np.searchsorted(size, size[row] * 100 // percent, "right"))
-            rest = np.arange(row + 1, max(stop, row + 1))
-            rest = rest[label[rest] != label[row]]
-            if len(rest):
-                equal = (signs[rest] == signs[row]).sum(1) >= matches
-                pairs += [(int(ids[row]), int(other)) for other in ids[rest[equal]]]
-        low = [min(p) for p in pairs]
-        high = [max(p) for p in pairs]
-        return pa.table({"a": pa.array(low, pa.int64()), "b": pa.array(high, pa.int64())})
+        pairs = list(Unit(part).links(matches, percent))
+        return pa.table(
+            {"a": pa.array([a for a, _ in pairs], pa.int64()),
+             "b": pa.array([b for _, b in pairs], pa.int64())}
+        )
 
     return run
 
 
-def remaining_pairs(
+def remaining_links(
     posted: DataFrame,
     signed: DataFrame,
     labels: DataFrame,
+    documents: DataFrame,
     matches: int = MATCHES,
     percent: int = SIMILARITY,
 ) -> DataFrame:
-    """Pairs of unlike components that share a list and match in enough coordinates.
-
-    A list of more than ``LIST_BLOCK`` classes is cut into blocks by a hash, and each pair of
-    blocks is a group of its own; lists of a single component are skipped.
+    """Confirmed links between unlike components whose members share a list.
+
+    Two classes that share a list share its leader, so the members of all lists of one leader
+    meet once. Members in the leader's component meet only the others: these are dealt into
+    blocks of ``OUTER_BLOCK``, and each block meets the blocks of ``LIST_BLOCK`` inner members
+    and each other outer block, in a group of its own. A group of very many near copies, all
+    but a few in one component, is so passed over once. In a group only pairs that still lie
+    apart and match in enough coordinates are compared, on their full sets; a group yields no
+    more links than it has members.
     """
-    labelled = posted.join(labels, posted["doc_id"] == labels["node"], "left").select(
-        posted["doc_id"], "value", F.coalesce("component", posted["doc_id"]).alias("label")
+    own = labels.select(F.col("node").alias("doc_id"), F.col("component").alias("own"))
+    leading = labels.select(F.col("node").alias("leader"), F.col("component").alias("leading"))
+    members = (
+        posted.select("leader", "doc_id")
+        .distinct()
+        .join(own, "doc_id", "left")
+        .join(leading, "leader", "left")
+        .withColumn("label", F.coalesce("own", "doc_id"))
+        .withColumn("outer", F.col("label") != F.coalesce("leading", "leader"))
+        .select("leader", "doc_id", "label", "outer")
+    )
+    members = staged(members, "members")
+    sizes = (
+        members.groupBy("leader")
+        .agg(F.count_if("outer").alias("n_outer"), F.count_if(~F.col("outer")).alias("n_inner"))
+        .filter("n_outer > 0")
+        .select(
+            "leader",
+            F.ceil(F.col("n_outer") / OUTER_BLOCK).alias("outers"),
+            F.ceil(F.col("n_inner") / LIST_BLOCK).alias("inners"),
+        )
     )
-    mixed = (
-        labelled.groupBy("value")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
-        .filter("low < high")
-        .select("value", F.ceil(F.col("n") / LIST_BLOCK).cast("bigint").alias("blocks"))
+    units = F.expr(
+        """CASE WHEN outer THEN concat(
+             transform(sequence(0L, greatest(inners, 1L) - 1),
+               i -> struct('inner' AS kind, pmod(h, outers) AS first, i AS second)),
+             transform(sequence(0L, outers - 1), o -> struct('outer' AS kind,
+               least(o, pmod(h, outers)) AS first, greatest(o, pmod(h, outers)) AS second)))
+           ELSE transform(sequence(0L, outers - 1),
+               o -> struct('inner' AS kind, o AS first, pmod(h, inners) AS second)) END"""
     )
-    cut = (
-        labelled.join(mixed, "value")
-        .join(signed.select("doc_id", "signature", "n_shingles"), "doc_id")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        .withColumn("first", F.least("block", "other"))
-        .withColumn("second", F.greatest("block", "other"))
+    dealt = (
+        members.join(sizes, "leader")
+        .withColumn("h", F.xxhash64("doc_id"))
+        .select("leader", "doc_id", "label", "outer", F.inline(units))
     )
+    dealt = staged(dealt, "units")
+    wanted = dealt.select("doc_id").distinct()
+    sets = full_sets(documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi"))
+    held = signed.select("doc_id", "signature").join(sets.dropDuplicates(["doc_id"]), "doc_id")
     return (
-        cut.groupBy("value", "first", "second")
+        dealt.join(held, "doc_id")
+        .groupBy("leader", "kind", "first", "second")
         .applyInArrow(_meet(matches, percent), "a bigint, b bigint")
-        .distinct()
     )
 
 
@@ -268,8 +334,9 @@ def near_duplicates(documents: DataFrame, percent: int = SIMILARITY) -> DataFram
     posted = staged(shared_values(usable), "postings")
     links = staged(confirmed(leader_links(posted, usable), documents, percent), "links")
     labels = staged(components(links), "labels")
-    pairs = staged(remaining_pairs(posted, usable, labels, percent=percent), "pairs")
-    more = staged(confirmed(pairs, documents, percent), "links")
+    more = staged(
+        remaining_links(posted, usable, labels, documents, percent=percent), "links"
+    )
     labels = components(links.unionByName(more))
     component = F.coalesce("component", "class_id")
     by_class = classes.select("digest", F.col("doc_id").alias("class_id")).join(

@@ -113,6 +113,7 @@ def test_near_duplicates_in_chains(spark):
 
 def test_blocks_of_long_lists(spark, monkeypatch):
     monkeypatch.setattr(minhash, "LIST_BLOCK", 5)
+    monkeypatch.setattr(minhash, "OUTER_BLOCK", 3)
     base = cases.prose(3, 70).split()
     rows = []
     for i in range(40):
