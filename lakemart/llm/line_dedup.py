@@ -107,7 +107,8 @@ def remove_lines(documents: DataFrame, runs: DataFrame) -> DataFrame:
     same = rows["doc_id"].cast("bigint").eqNullSafe(gone["doc_id"]) & (
         rows["text_hash"] == gone["text_hash"]
     )
-    kept = rows.join(gone, same, "left").select(
+    # merged at every size: a broadcast below some size would only hide what the join costs
+    kept = rows.join(gone.hint("merge"), same, "left").select(
         *(rows[c] for c in documents.columns), F.sort_array("gone").alias("gone")
     )
     all_lines = F.split(F.coalesce("text", F.lit("")), "\n")
