@@ -123,12 +123,20 @@ def equal_coordinates(a: str, b: str) -> Column:
     )
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, percent: int = SIMILARITY) -> DataFrame:
+def sets_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Full sets of the documents with the wanted ids, one per id.
+
+    The texts are merged with the ids at every size; a broadcast below some size would only
+    hide what the join costs.
+    """
+    texts = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
+    return full_sets(texts).dropDuplicates(["doc_id"])
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough; one row per pair."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    # one text per id: the representative is the one whose set the pair was made from
-    sets = staged(full_sets(texts).dropDuplicates(["doc_id"]), "shingles")
+    sets = sets.join(wanted, "doc_id", "left_semi")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b")).cast("bigint")
@@ -247,7 +255,7 @@ def remaining_links(
     posted: DataFrame,
     signed: DataFrame,
     labels: DataFrame,
-    documents: DataFrame,
+    sets: DataFrame,
     matches: int = MATCHES,
     percent: int = SIMILARITY,
 ) -> DataFrame:
@@ -298,11 +306,10 @@ def remaining_links(
         .select("leader", "doc_id", "label", "outer", F.inline(units))
     )
     dealt = staged(dealt, "units")
-    wanted = dealt.select("doc_id").distinct()
-    sets = full_sets(documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi"))
-    held = signed.select("doc_id", "signature").join(sets.dropDuplicates(["doc_id"]), "doc_id")
+    held = signed.select("doc_id", "signature")
     return (
         dealt.join(held, "doc_id")
+        .join(sets, "doc_id")
         .groupBy("leader", "kind", "first", "second")
         .applyInArrow(_meet(matches, percent), "a bigint, b bigint")
     )
@@ -332,10 +339,11 @@ def near_duplicates(documents: DataFrame, percent: int = SIMILARITY) -> DataFram
     )
     usable = classes.filter("doc_id IS NOT NULL")
     posted = staged(shared_values(usable), "postings")
-    links = staged(confirmed(leader_links(posted, usable), documents, percent), "links")
+    sets = staged(sets_of(documents, posted.select("doc_id").distinct()), "shingles")
+    links = staged(confirmed(leader_links(posted, usable), sets, percent), "links")
     labels = staged(components(links), "labels")
     more = staged(
-        remaining_links(posted, usable, labels, documents, percent=percent), "links"
+        remaining_links(posted, usable, labels, sets, percent=percent), "links"
     )
     labels = components(links.unionByName(more))
     component = F.coalesce("component", "class_id")
