@@ -130,7 +130,7 @@ def sets_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     hide what the join costs.
     """
     texts = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
-    return full_sets(texts).dropDuplicates(["doc_id"])
+    return full_sets(texts.dropDuplicates(["doc_id"]))  # dealt by id already: no shuffle
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> DataFrame:
