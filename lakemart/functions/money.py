@@ -28,7 +28,8 @@ def units(column: str | Column, scale: int = 2) -> Column:
     on values that are not numbers or too large, instead of counting them as 0.
     """
     value = F.col(column) if isinstance(column, str) else column
-    return (value.cast(f"decimal(18,{scale})") * F.lit(10**scale)).cast("bigint")
+    number = F.when(F.isnan(value), F.raise_error(F.lit("not a number"))).otherwise(value)
+    return (number.cast(f"decimal(18,{scale})") * F.lit(10**scale)).cast("bigint")
 
 
 def exact_sum(whole: Column, scale: int, kind: str = TOTAL) -> Column:

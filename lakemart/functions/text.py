@@ -66,17 +66,22 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def is_aggregated(sql: Column) -> Column:
-    return contains_any(sql, AGGREGATE_MARKS)
+def is_aggregated(sql: Column, marks: Iterable[str] = AGGREGATE_MARKS) -> Column:
+    return contains_any(sql, marks)
 
 
-def is_top_n(question: Column, sql: Column) -> Column:
-    asked = contains_any(question, RANKING_STEMS) | contains_any(sql, ["limit"])
-    return asked & contains_any(sql, ["order by"])
+def is_top_n(
+    question: Column,
+    sql: Column,
+    stems: Iterable[str] = RANKING_STEMS,
+    limits: Iterable[str] = ("limit",),
+    orders: Iterable[str] = ("order by",),
+) -> Column:
+    return (contains_any(question, stems) | contains_any(sql, limits)) & contains_any(sql, orders)
 
 
-def is_distribution(question: Column) -> Column:
-    return contains_any(question, DISTRIBUTION_STEMS)
+def is_distribution(question: Column, stems: Iterable[str] = DISTRIBUTION_STEMS) -> Column:
+    return contains_any(question, stems)
 
 
 def synonym_tags(text: Column, synonyms: Mapping[str, list[str]] | None = None) -> Column:
@@ -91,21 +96,21 @@ def synonym_tags(text: Column, synonyms: Mapping[str, list[str]] | None = None)
     return F.array_except(F.array(*hits), F.array(F.lit(None).cast("string")))
 
 
-def fenced_sql(response: Column) -> Column:
+def fenced_sql(response: Column, fence: str = "```", tag: str = "sql") -> Column:
     """The SQL inside a model answer.
 
-    In an answer with code fences the first part that starts with ``sql`` counts, without
-    its first three characters; failing that the part after the first fence. Any other
+    In an answer with code fences the first part that starts with the tag counts, without
+    as many characters as it has; failing that the part after the first fence. Any other
     answer is returned whole.
     """
     whole = strip(response)
-    parts = F.split(whole, "```", -1)
+    parts = F.split(whole, fence, -1)
     tagged = F.get(
-        F.filter(parts, lambda part: F.startswith(F.lower(strip(part)), F.lit("sql"))), F.lit(0)
+        F.filter(parts, lambda part: F.startswith(F.lower(strip(part)), F.lit(tag))), F.lit(0)
     )
     return F.when(
-        F.contains(whole, F.lit("```")),
-        F.coalesce(strip(F.substr(tagged, F.lit(4))), strip(F.get(parts, F.lit(1)))),
+        F.contains(whole, F.lit(fence)),
+        F.coalesce(strip(F.substr(tagged, F.lit(len(tag) + 1))), strip(F.get(parts, F.lit(1)))),
     ).otherwise(whole)
 
 
@@ -115,14 +120,14 @@ def step_query(tool_input: Column, path: str = "$.query") -> Column:
     return F.when(F.startswith(tool_input, F.lit("{")), as_object).otherwise(tool_input)
 
 
-def before_hint(message: Column) -> Column:
-    return F.substring_index(message, "HINT:", 1)
+def before_hint(message: Column, mark: str = "HINT:") -> Column:
+    return F.substring_index(message, mark, 1)
 
 
-def repair_request(query: Column, message: Column) -> Column:
+def repair_request(query: Column, message: Column, mark: str = "HINT:") -> Column:
     """The text sent back with a failed query, without the hint part of the error."""
     head, middle, tail = (F.lit(part) for part in REPAIR_PARTS)
-    return strip(F.concat(head, query, middle, before_hint(message), tail))
+    return strip(F.concat(head, query, middle, before_hint(message, mark), tail))
 
 
 def query_error(kind: Column, message: Column) -> Column:
@@ -133,10 +138,14 @@ def query_error(kind: Column, message: Column) -> Column:
     return F.concat(prefix, message)
 
 
-def error_kind(message: Column) -> Column:
+def error_kind(
+    message: Column,
+    limits: Iterable[str] = ("rate limit",),
+    prefixes: Mapping[str, str] = QUERY_ERROR_PREFIX,
+) -> Column:
     """``rate_limit``, one of the query error kinds, or ``general``."""
-    kind = F.when(contains_any(message, ["rate limit"]), F.lit("rate_limit"))
-    for name, prefix in QUERY_ERROR_PREFIX.items():
+    kind = F.when(contains_any(message, limits), F.lit("rate_limit"))
+    for name, prefix in prefixes.items():
         kind = kind.when(F.startswith(message, F.lit(prefix)), F.lit(name))
     return kind.otherwise(F.lit("general"))
 

@@ -109,23 +109,30 @@ def line_frame(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def bar_frame(
-    df: DataFrame, x: str, y: str, order: Sequence[str | Column], n: int = BAR_ROWS
+    df: DataFrame, x: str, y: str, order: Sequence[str | Column] = (), n: int = BAR_ROWS
 ) -> DataFrame:
-    """The first rows in the order of the result, numbered by ``place``."""
+    """The first rows in the order of the result, numbered by ``place``.
+
+    Without sort keys it is the order that ``df`` has itself: the limit stands on its own sort,
+    and the rows it leaves, at most ``n``, are numbered as they come.
+    """
+    if not order:
+        first = df.limit(n).withColumn("_came", F.monotonically_increasing_id())
+        return first.select(F.row_number().over(Window.orderBy("_came")).alias("place"), x, y)
     shown = df.orderBy(*order).limit(n)
     place = F.row_number().over(Window.orderBy(*order))
     return shown.select(place.alias("place"), x, y)
 
 
 def horizontal_bar_frame(
-    df: DataFrame, x: str, y: str, order: Sequence[str | Column], n: int = BAR_ROWS
+    df: DataFrame, x: str, y: str, order: Sequence[str | Column] = (), n: int = BAR_ROWS
 ) -> DataFrame:
     """The same rows from last to first, so that the first ends up on top."""
     return bar_frame(df, x, y, order, n).orderBy(F.desc("place"))
 
 
 def pie_frame(
-    df: DataFrame, x: str, y: str, order: Sequence[str | Column], n: int = PIE_ROWS
+    df: DataFrame, x: str, y: str, order: Sequence[str | Column] = (), n: int = PIE_ROWS
 ) -> DataFrame:
     """The first rows with their percentage of the shown total."""
     shown = bar_frame(df, x, y, order, n)
@@ -139,7 +146,11 @@ def scatter_frame(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def chart_frame(
-    df: DataFrame, chart_type: str, x: str | None, y: str | None, order: Sequence[str | Column]
+    df: DataFrame,
+    chart_type: str,
+    x: str | None,
+    y: str | None,
+    order: Sequence[str | Column] = (),
 ) -> DataFrame | None:
     """The rows of a recommended chart, or None where the result itself is shown."""
     if chart_type == "line":

@@ -3,25 +3,33 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.functions.text import matches_expected
 from lakemart.operators.charts import chart_frame, recommend_charts
 from lakemart.operators.profile import profile, result_flags
 from lakemart.plans.corpus import BY_TEXT, QUESTIONS, Question
 from lakemart.plans.marts import Marts
 
 
+ANSWER_ROWS = 5
+
+
 @dataclass
 class Answer:
-    """``rows`` stays a distributed frame; ``chart`` is one row, ``chart_rows`` what it shows."""
+    """``rows`` stays a distributed frame; ``chart`` is one row, ``chart_rows`` what it shows.
+
+    The result is kept for further use until ``close``; a ``with`` block closes it at its end.
+    """
 
     question: str
     sql: str
@@ -29,59 +37,73 @@ class Answer:
     chart: dict[str, Any]
     chart_rows: DataFrame | None
 
+    def close(self) -> None:
+        self.rows.unpersist()
+
+    def __enter__(self) -> "Answer":
+        return self
 
-def ranking_order(question: Question) -> list[Column]:
-    """Sort keys read off the published SQL, so that a chart keeps the order of the result."""
-    _, found, tail = question.sql.rpartition("ORDER BY ")
-    if not found or ")" in tail:
-        return []
-    keys = []
-    for part in tail.partition(" LIMIT ")[0].split(", "):
-        name, _, direction = part.partition(" ")
-        if name.isdigit():
-            return []
-        keys.append(F.desc(name) if direction == "DESC" else F.asc(name))
-    return keys
+    def __exit__(self, *_: object) -> None:
+        self.close()
 
 
-def show(rows: DataFrame, question: str, sql: str, order: Sequence[Column] = ()) -> Answer:
+def show(rows: DataFrame, question: str, sql: str) -> Answer:
     """Profile any result, choose its chart and prepare the rows of the chart.
 
-    The profile and the chart both read the result, so it is kept once computed; blocks
-    lost with an executor are computed again.
+    The profile reads a kept copy of the result; blocks lost with an executor are computed
+    again. A chart of the first rows takes them from the query itself, whose order a copy need
+    not hand on.
     """
-    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = rows.select("*").persist(StorageLevel.MEMORY_AND_DISK)
     log = kept.sparkSession.createDataFrame(
         [("result", question, sql)], "result_id string, question string, sql string"
     )
     chart = recommend_charts(result_flags(profile(kept)), log).first().asDict()
-    x, y = chart["x_column"], chart["y_column"]
-    shown = chart_frame(kept, chart["chart_type"], x, y, list(order) or [x])
+    shown = chart_frame(rows, chart["chart_type"], chart["x_column"], chart["y_column"])
     return Answer(question, sql, kept, chart, shown)
 
 
 def ask(marts: Marts, text: str) -> Answer:
     """Answer a published question with its published parameters."""
     question = BY_TEXT[text]
-    return show(question.run(marts), question.text, question.sql, ranking_order(question))
+    return show(question.run(marts), question.text, question.sql)
 
 
-def run_suite(marts: Marts, questions: Sequence[Question] = tuple(QUESTIONS)) -> DataFrame:
+def run_suite(
+    marts: Marts,
+    questions: Sequence[Question] = tuple(QUESTIONS),
+    expected: Mapping[str, str] | None = None,
+    model: str = "published plans",
+) -> DataFrame:
     """Run the questions and return one record for each: the input of the suite statistics.
 
-    A question fails if its query fails; the failure is recorded and the suite goes on.
+    A question fails if its query fails; the failure is recorded and the suite goes on. The
+    answer is the first rows of the result as JSON. ``expected`` gives, by the question's text, a
+    value that the answer should hold; ``matches_expected`` is null for questions without one.
+    ``model`` names what answered.
     """
+    expected = expected or {}
     records = []
     for question in questions:
+        started = datetime.now(timezone.utc)
         start = time.monotonic()
-        error = None
+        answer = error = None
         try:
-            question.run(marts).write.format("noop").mode("overwrite").save()
+            rows = question.run(marts)
+            rows.write.format("noop").mode("overwrite").save()
+            spent = round(time.monotonic() - start, 2)
+            first = rows.limit(ANSWER_ROWS).select(F.to_json(F.struct("*")).alias("row"))
+            answer = "\n".join(r.row for r in first.collect())
         except (PySparkException, Py4JJavaError) as failure:
-            error = str(failure)
-        spent = None if error else round(time.monotonic() - start, 2)
-        records.append((question.text, question.sql, spent, error is None, error))
-    return marts.spark.createDataFrame(
+            spent, error = None, str(failure)
+        wanted = expected.get(question.text)
+        records.append(
+            (question.text, answer, question.sql, spent, error is None, error, started, model, wanted)
+        )
+    results = marts.spark.createDataFrame(
         records,
-        "question string, sql string, execution_time double, success boolean, error string",
+        "question string, answer string, sql string, execution_time double, success boolean, "
+        "error string, timestamp timestamp, model string, expected string",
     )
+    matches = matches_expected(F.col("answer"), F.col("expected"))
+    return results.withColumn("matches_expected", F.when(F.col("expected").isNotNull(), matches))

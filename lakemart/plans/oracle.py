@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from lakemart.functions.text import (
-    AGGREGATE_MARKS,
-    DISTRIBUTION_STEMS,
-    RANKING_STEMS,
-    SYNONYMS,
-)
+from lakemart.functions.text import AGGREGATE_MARKS, DISTRIBUTION_STEMS, RANKING_STEMS, SYNONYMS
 from lakemart.operators.charts import OUTCOMES
 from lakemart.plans.corpus import QUESTIONS as PUBLISHED
 from lakemart.plans.querylog import query_log_sql
-from lakemart.plans.registry import DOCUMENT_SYNONYMS, TABLES
+from lakemart.plans.registry import DOCUMENT_SYNONYMS, TABLES, TURN_PREFIXES, TURN_WORDS
 
 QUESTIONS = [question.on_test_tables() for question in PUBLISHED]
 
@@ -78,10 +73,6 @@ def _any(value: str, phrases: list[str]) -> str:
     return "(" + " OR ".join(f"contains(lower({value}), '{p}')" for p in phrases) + ")"
 
 
-def _log(select: str) -> str:
-    return f"SELECT event_id, {select} FROM ({query_log_sql()})"
-
-
 MONEY = "decimal(22,2)"
 
 # Columns of the profiled results: name, type, and whether text, number or date.
@@ -502,30 +493,41 @@ FROM (SELECT *, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS all_dates,
     }
 
 
+def _repair(message: str) -> str:
+    return (
+        "'SQL Query Error:' || chr(10) || chr(10) || 'Query:' || chr(10) || role || chr(10) "
+        f"|| chr(10) || 'Error:' || chr(10) || {message} || chr(10) || chr(10) "
+        "|| 'Please fix the SQL query to resolve this error.'"
+    )
+
+
+def _turns(select: str) -> str:
+    return (
+        f"SELECT conv_id, turn, {select} FROM "
+        "(SELECT * REPLACE (coalesce(text, '') AS text) FROM conversations)"
+    )
+
+
 def _log_sql() -> dict[str, str]:
-    top = _any("question", RANKING_STEMS)
-    parts = f"string_split({_strip('response')}, '```')"
-    tagged = f"list_filter({parts}, lambda p: starts_with(lower({_strip('p')}), 'sql'))"
-    hinted = "string_split(message, 'HINT:')[1]"
-    prefixes = {
-        "syntax": "SQL syntax error: ",
-        "operational": "Database operational error: ",
-        "database": "Database error: ",
-        "unexpected": "Unexpected error during query execution: ",
-    }
-    kinds = " ".join(f"WHEN starts_with(message, '{p}') THEN '{k}'" for k, p in prefixes.items())
+    words = TURN_WORDS
+    fence, tag = "chr(10)", words["tag"][0]
+    parts = f"string_split({_strip('text')}, {fence})"
+    tagged = f"list_filter({parts}, lambda p: starts_with(lower({_strip('p')}), '{tag}'))"
+    hinted = f"string_split(text, '{words['hint'][0]}')[1]"
+    kinds = " ".join(
+        f"WHEN starts_with(text, '{p}') THEN '{k}'" for k, p in TURN_PREFIXES.items()
+    )
     return {
-        "l01_aggregated_sql": _log(f"{_any('sql', AGGREGATE_MARKS)} AS is_aggregated"),
-        "l02_top_n": _log(
-            f"({top} OR contains(lower(sql), 'limit')) AND contains(lower(sql), 'order by') "
-            "AS is_top_n"
+        "l01_aggregated_sql": _turns(f"{_any('text', words['aggregated'])} AS is_aggregated"),
+        "l02_top_n": _turns(
+            f"({_any('text', words['ranking'])} OR {_any('text', words['limit'])}) "
+            f"AND {_any('text', words['order'])} AS is_top_n"
         ),
-        "l03_distribution": _log(f"{_any('question', DISTRIBUTION_STEMS)} AS is_distribution"),
-        "l04_fenced_sql": _log(
-            "CASE WHEN contains(response, '```') THEN CASE "
-            f"WHEN len({tagged}) > 0 "
-            f"THEN {_strip(f'substring({tagged}[1], 4)')} ELSE {_strip(f'{parts}[2]')} END "
-            f"ELSE {_strip('response')} END AS sql"
+        "l03_distribution": _turns(f"{_any('text', words['distribution'])} AS is_distribution"),
+        "l04_fenced_sql": _turns(
+            f"CASE WHEN contains({_strip('text')}, {fence}) THEN CASE WHEN len({tagged}) > 0 "
+            f"THEN {_strip(f'substring({tagged}[1], {len(tag) + 1})')} "
+            f"ELSE {_strip(f'{parts}[2]')} END ELSE {_strip('text')} END AS sql"
         ),
         "l05_last_query": "SELECT user_id, arg_max(sql, event_id) AS sql FROM ("
         "SELECT user_id, event_id, CASE WHEN starts_with(tool_input, '{') "
@@ -533,27 +535,22 @@ def _log_sql() -> dict[str, str]:
         f"FROM ({query_log_sql()}) WHERE tool = 'sql_db_query') WHERE sql <> '' GROUP BY user_id",
         "l05_last_answer": "SELECT conv_id, arg_max(text, turn) AS sql FROM conversations "
         "WHERE role = 'assistant' AND text <> '' GROUP BY conv_id",
-        "l06_before_hint": _log(
-            f"{hinted} AS message, 'SQL Query Error:' || chr(10) || chr(10) || 'Query:' || chr(10) "
-            f"|| sql || chr(10) || chr(10) || 'Error:' || chr(10) || {hinted} || chr(10) || chr(10) "
-            "|| 'Please fix the SQL query to resolve this error.' AS request"
+        "l06_before_hint": _turns(
+            f"{hinted} AS message, {_strip(_repair(hinted))} AS request"
         ),
-        "l07_error_kind": _log(
-            f"CASE WHEN contains(lower(message), 'rate limit') THEN 'rate_limit' {kinds} "
-            "ELSE 'general' END AS kind, CASE failure "
-            + " ".join(f"WHEN '{k}' THEN '{p}'" for k, p in prefixes.items())
-            + f" ELSE '{prefixes['unexpected']}' END || message AS reported"
+        "l07_error_kind": _turns(
+            f"CASE WHEN {_any('text', words['rate'])} THEN 'rate_limit' {kinds} "
+            "ELSE 'general' END AS kind, "
+            "'Unexpected error during query execution: ' || text AS reported"
         ),
-        "l08_matches_expected": """
-SELECT q.conv_id, q.turn, string_split(q.text, ' ')[1] AS expected,
-  contains(lower(a.text), lower(string_split(q.text, ' ')[1])) AS matches_expected
-FROM conversations q JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1
-WHERE q.role = 'user' AND a.role = 'assistant'""",
-        "l09_title": _log(
-            "CASE WHEN length(question) = 0 THEN 'Динамика' "
-            "WHEN length(question) < 80 THEN upper(substring(question, 1, 1)) "
-            "|| lower(substring(question, 2)) "
-            "ELSE substring(question, 1, 77) || '...' END AS title"
+        "l08_matches_expected": f"""
+SELECT conv_id, turn, expected, coalesce(contains(lower(text), lower(expected)), false)
+  AS matches_expected
+FROM conversations, (SELECT unnest({words["expected"]}) AS expected) WHERE role = 'assistant'""",
+        "l09_title": _turns(
+            "CASE WHEN length(text) = 0 THEN role WHEN length(text) < 80 "
+            "THEN upper(substring(text, 1, 1)) || lower(substring(text, 2)) "
+            "ELSE substring(text, 1, 77) || '...' END AS title"
         ),
         "t01_suite_statistics": f"SELECT {STATISTICS} FROM ({query_log_sql()})",
         "t02_difficulty_statistics": _difficulty(),

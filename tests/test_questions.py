@@ -4,10 +4,11 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from tests.conftest import MEDIUM, SMALL
 
 from lakemart.plans import questions as q
-from lakemart.plans.ask import ask, ranking_order, run_suite, show
+from lakemart.plans.ask import ask, run_suite, show
 from lakemart.plans.corpus import BY_TEXT, QUESTIONS, VARIANTS, questions_by_difficulty
 from lakemart.plans.registry import TESTED
 from lakemart.plans.marts import Marts
@@ -117,14 +118,23 @@ def test_ask_gives_rows_and_chart(spark):
     assert top.chart["chart_type"] == "bar" and top.chart["x_column"] == "product_name"
     assert top.chart["y_column"] == "product_id"  # the first numeric column, as published
     shown = [r.product_id for r in top.chart_rows.orderBy("place").collect()]
-    order = ranking_order(TESTED["q12_top_products"])
-    assert shown == [r.product_id for r in top.rows.orderBy(*order).collect()]
+    ranked = top.rows.orderBy(F.desc("total_revenue"), "product_id").collect()
+    assert shown == [r.product_id for r in ranked]
 
 
-def test_order_follows_the_sql():
-    assert ranking_order(TESTED["q20_segment_distribution"]) == []
-    assert ranking_order(TESTED["q18_monthly_revenue"]) == []
-    assert len(ranking_order(TESTED["q12_top_products"])) == 2
+@pytest.mark.parametrize("kind", ["bar", "horizontal_bar"])
+def test_chart_shows_the_first_rows_of_the_result(spark, kind):
+    """Sixty rows, of which the first twenty in result order are shown."""
+    name = "long name of a product" if kind == "horizontal_bar" else "n"
+    rows = spark.range(60).repartition(7).select(
+        F.concat(F.lit(name), F.col("id")).alias("label"), (F.col("id") * 37 % 60).alias("v")
+    )
+    ordered = rows.orderBy(F.desc("v"))
+    with show(ordered, "топ товаров", "SELECT label, v FROM t ORDER BY v DESC LIMIT 60") as answer:
+        assert answer.chart["chart_type"] == kind
+        shown = sorted((r.place, r.v) for r in answer.chart_rows.collect())
+    assert shown == [(n + 1, 59 - n) for n in range(20)]
+    assert not answer.rows.is_cached
 
 
 def test_show_any_result(spark):
@@ -143,6 +153,11 @@ def test_suite_records_failures(spark):
     marts = Marts(spark, SMALL)
     good = QUESTIONS[0]
     bad = replace(good, plan=lambda m: m.sales.selectExpr("raise_error('broken')"))
-    stats = suite_statistics(run_suite(marts, [good, bad])).first()
+    results = run_suite(marts, [good, bad], {good.text: "row_count"}, model="plans")
+    stats = suite_statistics(results).first()
     assert (stats.total_queries, stats.successful, stats.failed) == (2, 1, 1)
+    first, second = results.orderBy(F.desc("success")).collect()
+    assert "row_count" in first.answer and first.matches_expected and first.model == "plans"
+    assert first.timestamp is not None and first.expected == "row_count"
+    assert second.answer is None and not second.matches_expected and "broken" in second.error
     assert stats.success_rate == 50.0

@@ -1,6 +1,6 @@
-import hashlib
 import json
 import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -71,7 +71,6 @@ def test_lineage_and_manifest(spark, data_dir):
     files = {r.original_filename: r for r in bronze.loaded_files(spark, target).collect()}
     path = data_dir / "raw" / "items_a.csv"
     entry = files["items_a.csv"]
-    assert entry.md5hash == hashlib.md5(path.read_bytes()).hexdigest()
     assert entry.size_bytes == path.stat().st_size
     assert entry.object_name == "raw/items_a.csv"
     assert entry.metadata["md5hash"] == entry.md5hash
@@ -79,46 +78,81 @@ def test_lineage_and_manifest(spark, data_dir):
     assert (entry.metadata["layer"], entry.metadata["source"]) == ("bronze", "test")
     assert entry.metadata["owner"] == "me"
 
-    bronze.save_manifest(spark, target)
-    document = list(Path(target, "manifest", "document").glob("part-*.json"))
-    loaded = json.loads("".join(p.read_text() for p in document))
-    assert loaded["status"] == "completed" and loaded["bronze_bucket"] == "lakehouse-bronze"
-    assert sorted(f["object_name"] for f in loaded["files"]) == [
-        "raw/items_a.csv",
-        "raw/items_b.csv",
-        "raw/notes.csv",
-    ]
+    def documents(**options):
+        bronze.save_manifest(spark, target, **options)
+        found = Path(target, "manifest", "document").glob("part-*.json")
+        return [json.loads(line) for p in found for line in p.read_text().splitlines()]
+
+    (whole,) = documents()
+    assert whole["status"] == "completed" and whole["bronze_bucket"] == "lakehouse-bronze"
+    names = ["raw/items_a.csv", "raw/items_b.csv", "raw/notes.csv"]
+    assert sorted(f["object_name"] for f in whole["files"]) == names
+    parts = documents(document_files=1)
+    assert {p["parts"] for p in parts} == {3}
+    assert sorted(f["object_name"] for p in parts for f in p["files"]) == names
+    assert spark.read.json(f"{target}/manifest/header").first().file_count == 3
     checked = bronze.verify_load(spark, target).first()
     total = sum(r.size_bytes for r in files.values())
     assert (checked.file_count, checked.size_mb) == (3, total / 1048576)
 
 
-def test_manifest_of_many_files_has_row_form_only(spark, data_dir, monkeypatch):
-    monkeypatch.setattr(bronze, "DOCUMENT_FILES", 2)
-    target = new_dir(spark, "bronze")
-    bronze.ingest_csv(spark, str(data_dir), target, DATASETS)
-    bronze.save_manifest(spark, target)
-    assert spark.read.json(f"{target}/manifest/files").count() == 3
-    assert spark.read.json(f"{target}/manifest/header").first().file_count == 3
-    assert not Path(target, "manifest", "document").exists()
+def fingerprints(spark, raw):
+    found = bronze.content_hashes(spark, str(raw)).collect()
+    return {r.original_filename: r.md5hash for r in found}
 
 
-def test_hash_of_large_files_is_merged_from_lines(spark, data_dir):
+def test_fingerprint_sees_every_change(spark, data_dir):
     raw = data_dir / "raw"
+    (raw / "empty.csv").write_text("")
+    (raw / "a b+%20.csv").write_text("x\n1\n")
+    before = fingerprints(spark, raw)
+    names = {"items_a.csv", "items_b.csv", "notes.csv", "empty.csv", "a b+%20.csv"}
+    assert set(before) == names and len(set(before.values())) == 5
+    assert before == fingerprints(spark, raw)
+    for text in (
+        "id,name,price\n2,nut,2.5\n1,bolt,1.5\n",  # lines change places
+        "id,name,price\n1,bolt,1.5\n2,nut,2.5",  # no last line end
+        "id,name,price\n1,bolt,1.5\n2,nut,2.6\n",
+    ):
+        (raw / "items_a.csv").write_text(text)
+        after = fingerprints(spark, raw)
+        assert after.pop("items_a.csv") != before["items_a.csv"]
+        assert after.items() <= before.items()
+
+
+def test_fingerprint_does_not_depend_on_splits(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("".join(f"{i},row {i * i}\n" for i in range(20_000)))
+    found = set()
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("30k", "101k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found.add(fingerprints(spark, tmp_path)["big.csv"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert len(found) == 1
+
+
+def test_file_that_becomes_header_only_loses_its_rows(spark, data_dir):
+    target = new_dir(spark, "bronze")
+    bronze.ingest_csv(spark, str(data_dir), target, DATASETS)
+    (data_dir / "raw" / "items_a.csv").write_text("id,name,price\n")
+    changed = bronze.ingest_csv(spark, str(data_dir), target, DATASETS)
+    assert statuses(changed)["items_a.csv"] == "changed"
+    assert [r.id for r in bronze.read_bronze(spark, target, "items").collect()] == [3]
 
-    def hashes():
-        found = bronze.content_hashes(spark, str(raw), whole_bytes=20).collect()
-        return {r.original_filename: r.md5hash for r in found}
 
-    before = hashes()
-    assert set(before) == {"items_a.csv", "items_b.csv", "notes.csv"}
-    assert before == hashes()
-    assert before["notes.csv"] == hashlib.md5((raw / "notes.csv").read_bytes()).hexdigest()
-    assert before["items_a.csv"] != hashlib.md5((raw / "items_a.csv").read_bytes()).hexdigest()
-    (raw / "items_a.csv").write_text("id,name,price\n1,bolt,1.5\n2,nut,2.6\n")
-    after = hashes()
-    assert after["items_a.csv"] != before["items_a.csv"]
-    assert after["items_b.csv"] == before["items_b.csv"]
+def test_blank_in_a_name_keeps_its_lineage(spark, data_dir):
+    target = new_dir(spark, "bronze")
+    (data_dir / "raw" / "items_x y+%20.csv").write_text("id,name,price\n5,x,1\n")
+    bronze.ingest_csv(spark, str(data_dir), target, DATASETS)
+    files = bronze.loaded_files(spark, target)
+    rows = bronze.read_bronze(spark, target, "items").join(files, "original_filename")
+    assert {r.original_filename for r in rows.collect()} == {
+        "items_a.csv",
+        "items_b.csv",
+        "items_x y+%20.csv",
+    }
 
 
 def test_files_of_known_size_and_time_are_not_read_again(spark, data_dir, monkeypatch):
@@ -155,16 +189,20 @@ def test_missing_and_empty_folder(spark, tmp_path):
         bronze.verify_load(spark, new_dir(spark, "bronze"))
 
 
-def test_bad_file_fails_the_load_and_is_tried_again(spark, data_dir):
+@pytest.mark.parametrize("text", ["id,name,price\nthree,x,3.5\n", "id,title,price\n3,x,3.5\n"])
+def test_bad_file_is_reported_and_tried_again(spark, data_dir, text):
     target = new_dir(spark, "bronze")
     bad = data_dir / "raw" / "items_b.csv"
-    bad.write_text("id,name,price\nthree,x,3.5\n")
-    with pytest.raises(bronze.IngestError, match="items"):
-        bronze.ingest_csv(spark, str(data_dir), target, DATASETS)
-    assert bronze.loaded_files(spark, target).count() == 0
+    bad.write_text(text)
+    batch = bronze.ingest_csv(spark, str(data_dir), target, DATASETS)
+    wanted = {"items_a.csv": "new", "items_b.csv": "failed", "notes.csv": "new"}
+    assert statuses(batch) == wanted
+    assert bronze.loaded_files(spark, target).count() == 2
+    assert sorted(r.id for r in bronze.read_bronze(spark, target, "items").collect()) == [1, 2]
     bad.write_text("id,name,price\n3,x,3.5\n")
     again = bronze.ingest_csv(spark, str(data_dir), target, DATASETS)
-    assert set(statuses(again).values()) == {"new"}
+    wanted = {"items_a.csv": "skip", "items_b.csv": "new", "notes.csv": "skip"}
+    assert statuses(again) == wanted
     assert bronze.read_bronze(spark, target, "items").count() == 3
 
 
@@ -198,46 +236,63 @@ def test_snapshots(spark):
     table = VersionedTable.create_if_absent(spark, path, SALES, "date")
     assert table.current().count() == 0 and table.snapshots().count() == 0
     known = spark.createDataFrame(KNOWN, SALES)
-    assert [table.append(known), table.append(known)] == [1, 2]
+    ids = [table.append(known), table.append(known)]
     again = VersionedTable.create_if_absent(spark, path, SALES, "date")
     assert again.current().count() == 6
-    first = again.snapshots().first()
-    assert (first.snapshot_id, first.operation) == (1, "append")
-    rows = again.as_of(first.snapshot_id).collect()
+    assert [r.snapshot_id for r in again.snapshots().collect()] == ids
+    rows = again.as_of(ids[0]).collect()
     assert sorted(tuple(r) for r in rows) == KNOWN
+    assert [(r.place, r.row_count) for r in again.row_counts().orderBy("place").collect()] == [
+        (1, 3),
+        (2, 6),
+    ]
     with pytest.raises(ValueError):
         again.as_of(3)
 
 
+def test_two_writers_keep_all_rows(spark):
+    path = new_dir(spark, "sales")
+    VersionedTable.create_if_absent(spark, path, SALES, "date")
+    writers = [VersionedTable(spark, path), VersionedTable(spark, path)]
+    known = spark.createDataFrame(KNOWN, SALES)
+    more = spark.createDataFrame([(10 + i, "x", 1.0, date(2024, 1, 1)) for i in range(5)], SALES)
+    with ThreadPoolExecutor(2) as pool:
+        ids = list(pool.map(lambda w, rows: w.append(rows), writers, [known, more]))
+    assert len(set(ids)) == 2
+    assert writers[0].current().count() == 8
+
+
 def test_unfinished_creation_is_repeated(spark, tmp_path):
     path = str(tmp_path / "sales")
     with pytest.raises(FileNotFoundError):
         VersionedTable(spark, path)
     (tmp_path / "sales" / "meta" / "_temporary").mkdir(parents=True)
     table = VersionedTable.create_if_absent(spark, path, SALES, "date")
-    assert table.append(spark.createDataFrame(KNOWN, SALES)) == 1
+    table.append(spark.createDataFrame(KNOWN, SALES))
+    assert table.current().count() == 3
 
 
-def test_unfinished_append_is_invisible_and_replaced(spark):
+def test_unfinished_append_is_invisible(spark):
     path = new_dir(spark, "sales")
     table = VersionedTable.create_if_absent(spark, path, SALES, "date")
     known = spark.createDataFrame(KNOWN, SALES)
     table.append(known)
     known.drop("date").write.parquet(f"{path}/data/snapshot_id=2/date=2024-02-02")
     assert table.current().count() == 3
-    assert table.append(known.limit(1)) == 2
+    table.append(known.limit(1))
     assert table.current().count() == 4
 
 
 def test_time_travel_prunes_snapshots_and_days(spark):
     table = VersionedTable.create_if_absent(spark, new_dir(spark, "sales"), SALES, "date")
     known = spark.createDataFrame(KNOWN, SALES)
+    first = table.append(known)
     table.append(known)
-    table.append(known)
-    day = table.as_of(1).where("date = DATE'2024-01-15'")
+    day = table.as_of(first).where("date = DATE'2024-01-15'")
     plan = day._jdf.queryExecution().executedPlan().toString()
     filters = re.search(r"product#.*?PartitionFilters: \[(.*?), Pushed", plan).group(1)
-    assert "snapshot_id" in filters and "= 2024-01-15" in filters
+    assert "= 2024-01-15" in filters
+    assert all(f"snapshot_id={first}/" in file for file in day.inputFiles())
     assert day.count() == 1
 
 
@@ -336,7 +391,8 @@ def test_shared_dir_is_the_configured_one(spark):
 def test_initial_partitions_follow_the_shuffle():
     assert initial_partitions(10 * 2**20) == 200
     assert initial_partitions(1000 * 2**30) == 4000
-    assert initial_partitions(100 * 2**40) == 50_000
+    assert initial_partitions(100 * 2**40) == 409_600
+    assert initial_partitions(100 * 2**40, most=50_000) == 50_000
 
 
 def test_dates_written_as_csv_come_back(spark, tmp_path):
