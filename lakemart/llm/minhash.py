@@ -31,8 +31,9 @@ COORDINATES = 48
 # for three links in a million.
 MATCHES = 22
 SIMILARITY = 75  # percent
-LIST_BLOCK = 512
-OUTER_BLOCK = 256
+# Shingles of the members that meet in one group, from inside and outside its main component.
+INNER_SHINGLES = 1 << 21
+OUTER_SHINGLES = 1 << 20
 
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -263,11 +264,11 @@ def remaining_links(
 
     Two classes that share a list share its leader, so the members of all lists of one leader
     meet once. Members in the leader's component meet only the others: these are dealt into
-    blocks of ``OUTER_BLOCK``, and each block meets the blocks of ``LIST_BLOCK`` inner members
-    and each other outer block, in a group of its own. A group of very many near copies, all
-    but a few in one component, is so passed over once. In a group only pairs that still lie
-    apart and match in enough coordinates are compared, on their full sets; a group yields no
-    more links than it has members.
+    blocks of about ``OUTER_SHINGLES``, and each block meets the blocks of ``INNER_SHINGLES``
+    of the inner members and each other outer block, in a group of its own. Very many near
+    copies, all but a few in one component, are so passed over once. In a group only pairs
+    that still lie apart and match in enough coordinates are compared, on their full sets; a
+    group yields no more links than it has members.
     """
     own = labels.select(F.col("node").alias("doc_id"), F.col("component").alias("own"))
     leading = labels.select(F.col("node").alias("leader"), F.col("component").alias("leading"))
@@ -278,25 +279,30 @@ def remaining_links(
         .join(leading, "leader", "left")
         .withColumn("label", F.coalesce("own", "doc_id"))
         .withColumn("outer", F.col("label") != F.coalesce("leading", "leader"))
-        .select("leader", "doc_id", "label", "outer")
+        .join(signed.select("doc_id", "n_shingles"), "doc_id")
+        .select("leader", "doc_id", "label", "outer", "n_shingles")
     )
     members = staged(members, "members")
     sizes = (
         members.groupBy("leader")
-        .agg(F.count_if("outer").alias("n_outer"), F.count_if(~F.col("outer")).alias("n_inner"))
-        .filter("n_outer > 0")
+        .agg(
+            F.sum(F.when(F.col("outer"), F.col("n_shingles"))).alias("outer"),
+            F.sum(F.when(~F.col("outer"), F.col("n_shingles"))).alias("inner"),
+        )
+        .filter("outer IS NOT NULL")
         .select(
             "leader",
-            F.ceil(F.col("n_outer") / OUTER_BLOCK).alias("outers"),
-            F.ceil(F.col("n_inner") / LIST_BLOCK).alias("inners"),
+            F.ceil(F.col("outer") / OUTER_SHINGLES).alias("outers"),
+            F.ceil(F.coalesce("inner", F.lit(1)) / INNER_SHINGLES).alias("inners"),
         )
     )
     units = F.expr(
         """CASE WHEN outer THEN concat(
-             transform(sequence(0L, greatest(inners, 1L) - 1),
+             transform(sequence(0L, inners - 1),
                i -> struct('inner' AS kind, pmod(h, outers) AS first, i AS second)),
-             transform(sequence(0L, outers - 1), o -> struct('outer' AS kind,
-               least(o, pmod(h, outers)) AS first, greatest(o, pmod(h, outers)) AS second)))
+             transform(filter(sequence(0L, outers - 1), o -> o <> pmod(h, outers)),
+               o -> struct('outer' AS kind, least(o, pmod(h, outers)) AS first,
+                 greatest(o, pmod(h, outers)) AS second)))
            ELSE transform(sequence(0L, outers - 1),
                o -> struct('inner' AS kind, o AS first, pmod(h, inners) AS second)) END"""
     )

@@ -112,8 +112,8 @@ def test_near_duplicates_in_chains(spark):
 
 
 def test_blocks_of_long_lists(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "LIST_BLOCK", 5)
-    monkeypatch.setattr(minhash, "OUTER_BLOCK", 3)
+    monkeypatch.setattr(minhash, "INNER_SHINGLES", 400)
+    monkeypatch.setattr(minhash, "OUTER_SHINGLES", 200)
     base = cases.prose(3, 70).split()
     rows = []
     for i in range(40):
