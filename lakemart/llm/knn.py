@@ -52,8 +52,8 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
-def _packed(frame: DataFrame, width: int) -> DataFrame:
-    """One row per block: its ids and its vectors as one matrix."""
+def _packed(frame: DataFrame, width: int, kind: str) -> DataFrame:
+    """One row per block: its ids and its vectors as one matrix of numbers of a kind."""
 
     def run(part: pa.Table) -> pa.Table:
         vectors = part.column("vector").combine_chunks()
@@ -62,13 +62,14 @@ def _packed(frame: DataFrame, width: int) -> DataFrame:
         return pa.table(
             {
                 "cell": part.column("cell").slice(0, 1),
+                "block": part.column("block").slice(0, 1),
                 "ids": pa.array([part.column("vec_id").to_pylist()], pa.list_(pa.int64())),
-                "matrix": pa.array([_matrix(vectors, width).astype("<i8").tobytes()]),
+                "matrix": pa.array([_matrix(vectors, width).astype(kind).tobytes()]),
             }
         )
 
     return frame.groupBy("cell", "block").applyInArrow(
-        run, "cell bigint, ids array<bigint>, matrix binary"
+        run, "cell bigint, block bigint, ids array<bigint>, matrix binary"
     )
 
 
@@ -156,7 +157,9 @@ def top_k(
         integer_vector(column).alias("vector"),
         is_query.alias("is_query"),
     ).filter("vector IS NOT NULL AND vec_id IS NOT NULL")
-    width = usable.agg(F.max(F.size("vector"))).first()[0]
+    largest = F.array_max(F.transform("vector", lambda x: F.greatest(x, F.bitwise_not(x))))
+    width, most = usable.agg(F.max(F.size("vector")), F.max(largest)).first()
+    kind = next((k for k in ("<i2", "<i4") if (most or 0) < 1 << (8 * int(k[2]) - 1)), "<i8")
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
     if width is None:
         return spark.createDataFrame([], schema)
@@ -188,28 +191,39 @@ def top_k(
     if not pairs:
         return spark.createDataFrame([], schema)
 
-    def blocks(sizes: dict[int, int], each: int) -> Column:
-        counts = F.create_map(
-            *(F.lit(x).cast("bigint") for c, n in sizes.items() for x in (c, -(-n // each)))
+    def block(counts: dict[int, int]) -> Column:
+        of_cell = F.create_map(
+            *(F.lit(x).cast("bigint") for pair in counts.items() for x in pair)
         )
-        return F.pmod(F.xxhash64("vec_id"), F.element_at(counts, F.col("cell")))
+        return F.pmod(F.xxhash64("vec_id"), F.element_at(of_cell, F.col("cell")))
 
-    data_blocks = placed.withColumn("block", blocks({c: n for c, n, _ in data}, BLOCK_ROWS))
+    blocks = {c: -(-n // BLOCK_ROWS) for c, n, _ in data}
+    data_blocks = placed.withColumn("block", block(blocks))
     query_blocks = placed.filter("is_query").withColumn(
-        "block", blocks({c: n for c, n, _ in asking}, QUERY_ROWS)
+        "block", block({c: -(-n // QUERY_ROWS) for c, n, _ in asking})
     )
-    left = _packed(query_blocks, width).select(
+    left = _packed(query_blocks, width, kind).select(
         F.col("cell").alias("query_cell"),
         F.col("ids").alias("query_ids"),
         F.col("matrix").alias("query_matrix"),
     )
-    right = _packed(data_blocks, width)
+    right = _packed(data_blocks, width, kind)
     # at most PIVOTS squared rows
     wanted = F.broadcast(
-        spark.createDataFrame(pairs, "query_cell bigint, cell bigint, threshold double")
+        spark.createDataFrame(
+            [(a, c, low, blocks[c]) for a, c, low in pairs],
+            "query_cell bigint, cell bigint, threshold double, blocks bigint",
+        )
+    )
+    # the queries, the smaller side, go to each block of data; a task has about one block
+    asked = left.join(wanted, "query_cell").withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     )
-    met = left.join(wanted, "query_cell").join(right, "cell").select(
-        "query_ids", "query_matrix", "threshold", "ids", "matrix"
+    tasks = sum(blocks.values())
+    met = (
+        asked.repartition(tasks, "cell", "block")
+        .join(right.repartition(tasks, "cell", "block"), ["cell", "block"])
+        .select("query_ids", "query_matrix", "threshold", "ids", "matrix")
     )
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,9 +231,9 @@ def top_k(
             for row in batch.to_pylist():
                 queries = np.array(row["query_ids"], np.int64)
                 ids = np.array(row["ids"], np.int64)
-                a = np.frombuffer(row["query_matrix"], "<i8").reshape(len(queries), -1)
-                b = np.frombuffer(row["matrix"], "<i8").reshape(len(ids), -1)
-                scores = _products(a, b)
+                a = np.frombuffer(row["query_matrix"], kind).reshape(len(queries), -1)
+                b = np.frombuffer(row["matrix"], kind).reshape(len(ids), -1)
+                scores = _products(a.astype(np.int64), b.astype(np.int64))
                 out: list[tuple[np.ndarray, ...]] = []
                 for query, line in zip(queries, scores):
                     kept = np.flatnonzero((ids != query) & (line >= row["threshold"]))
@@ -230,7 +244,6 @@ def top_k(
                     names=["query_id", "vec_id", "score"],
                 )
 
-    met = met.repartition(F.col("query_ids")[0], F.col("ids")[0])  # one pair costs as another
     found = met.mapInArrow(solve, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
