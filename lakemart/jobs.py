@@ -31,8 +31,9 @@ from lakemart.sources.versioned import VersionedTable  # noqa: E402
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    batch = bronze.ingest_csv(spark, args.data, args.bronze)
+    batch = bronze.ingest_csv(spark, args.data, args.bronze, metadata={"dataset": args.dataset})
     batch.groupBy("status").count().show()
+    batch.where("status = 'failed'").select("object_name").show(truncate=False)
     bronze.save_manifest(spark, args.bronze)
     bronze.verify_load(spark, args.bronze).show()
 
@@ -83,6 +84,8 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("ingest")
     job.add_argument("data", help="folder with a raw/ part")
     job.add_argument("bronze")
+    default = bronze.METADATA["dataset"]
+    job.add_argument("--dataset", default=default, help="tag of the files loaded")
     job.set_defaults(run=ingest)
 
     job = jobs.add_parser("sales")
