@@ -127,11 +127,12 @@ def equal_coordinates(a: str, b: str) -> Column:
 def sets_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """Full sets of the documents with the wanted ids, one per id.
 
-    The texts are merged with the ids at every size; a broadcast below some size would only
+    Of unlike texts under one id the smallest counts. The texts are merged with the ids at every size; a broadcast below some size would only
     hide what the join costs.
     """
     texts = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
-    return full_sets(texts.dropDuplicates(["doc_id"]))  # dealt by id already: no shuffle
+    # dealt by id already: no shuffle
+    return full_sets(texts.groupBy("doc_id").agg(F.min("text").alias("text")))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> DataFrame:
@@ -328,7 +329,8 @@ def near_duplicates(documents: DataFrame, percent: int = SIMILARITY) -> DataFram
     component_id`` (smallest id reachable), ``kept`` (``doc_id = component_id``). A null, empty
     or blank text has no shingles and is linked with nothing. Equal texts are linked, also
     under one id; such repeated rows are all kept. A row with a null id is linked to others by
-    equal texts only, and has component null if there is no id. An empty table gives no rows.
+    equal texts only, and has component null if there is no id. Of unlike texts under one id
+    only the smallest is linked by similarity. An empty table gives no rows.
 
     Links are exact on 64-bit shingle hashes; a pair is missed only if fewer than ``MATCHES``
     coordinates agree (see above).
