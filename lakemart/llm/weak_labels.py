@@ -131,28 +131,19 @@ def hashed(rows: DataFrame, size: int = HASHED) -> DataFrame:
     return counts.transform(shapes(rows)).drop("shapes")
 
 
-def fit(
-    documents: DataFrame, posteriors: DataFrame, rows: int = SAMPLE_ROWS
-) -> LogisticRegressionModel | None:
-    """The linear scorer, from soft labels of at most ``rows`` documents, chosen by a hash.
+def fit(judged: DataFrame, rows: int = SAMPLE_ROWS) -> LogisticRegressionModel | None:
+    """The linear scorer, from ``features`` and soft labels of at most ``rows`` documents.
 
-    A document counts once for each class, weighted by its chance. The chosen ids are bounded,
-    so they are broadcast. No documents give no scorer.
+    They are chosen by a hash of the id. A document counts once for each class, weighted by
+    its chance. No documents give no scorer.
     """
-    chosen = (
-        posteriors.filter("doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.min("posterior").alias("posterior"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-    )
-    known = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    chosen = judged.filter("doc_id IS NOT NULL").select("doc_id", "features", "posterior")
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "posterior").limit(rows)
     sides = F.array(
         F.struct(F.lit(1.0).alias("label"), F.col("posterior").alias("weight")),
         F.struct(F.lit(0.0).alias("label"), (1 - F.col("posterior")).alias("weight")),
     )
-    soft = hashed(known).select("features", F.inline(sides))
-    soft = staged(soft, "soft-labels")
+    soft = staged(chosen.select("features", F.inline(sides)), "soft-labels")
     if soft.isEmpty():
         return None
     return LogisticRegression(weightCol="weight", maxIter=30, regParam=1e-4).fit(soft)
@@ -167,16 +158,16 @@ def classify(documents: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
     word. Repeated rows get the same result each. An empty table gives no rows.
     """
     names = [f"vote_{name}" for name in LABELLERS]
-    votes = staged(voted(documents).select("doc_id", *names), "votes")
+    whole = voted(documents, whole=True)
+    rows = whole.select("doc_id", F.col("q_row.text").alias("text"), *names)
+    votes = staged(hashed(rows), "votes")  # the only pass over the texts
     known = estimate(votes)
-    model = fit(documents, votes.select("doc_id", known.posterior().alias("posterior")))
-    judged = voted(documents, whole=True).select(
-        "doc_id", F.col("q_row.text").alias("text"), known.posterior().alias("posterior")
-    )
+    judged = votes.withColumn("posterior", known.posterior())
+    model = fit(judged)
     if model is None:
         scored = judged.withColumn("score", F.col("posterior"))
     else:
-        scored = model.transform(hashed(judged)).withColumn(
+        scored = model.transform(judged).withColumn(
             "score", vector_to_array("probability")[1]
         )
     return scored.select(
