@@ -1,9 +1,10 @@
 """Line dedup by winnowing over line hashes.
 
-Lines with a word are hashed. Of every ``RUN`` consecutive ones the smallest hash is a
-fingerprint, so two runs of that length cannot agree without sharing one. Fingerprints are
-joined; around those that occur twice the runs themselves are compared, which extends a match
-line by line both ways as long as the lines agree. Everything is DataFrame and SQL functions.
+Lines with a word are hashed. Of the lines of every least run (``RUN`` consecutive ones, or
+fewer that hold ``least_chars`` characters) the smallest hash is a fingerprint, so two such runs
+cannot agree without sharing one. Runs whose fingerprint occurs twice are grouped by hashes of
+all their lines; a longer match is the union of the least runs in it. Everything is DataFrame
+and SQL functions.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from lakemart.llm.quality_rules import BLANKS
 from lakemart.llm.tables import computed_once, staged
 
 RUN = 3
+LEAST_CHARS = 20  # characters other than blanks from which on fewer lines are a run
 
 
 def _place(*more: str) -> Column:
@@ -23,47 +25,92 @@ def _place(*more: str) -> Column:
 
 
 def line_hashes(documents: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, hashes`` (of lines with a word) of each distinct row."""
-    lines = F.filter(
+    """``doc_id, text_hash, hashes, chars`` (of lines with a word) of each distinct row.
+
+    ``chars`` counts the characters of a line other than blanks.
+    """
+    sized = F.transform(
         F.split(F.coalesce("text", F.lit("")), "\n"),
-        lambda line: F.translate(line, BLANKS, "") != F.lit(""),
+        lambda line: F.struct(
+            F.xxhash64(line).alias("hash"),
+            F.length(F.translate(line, BLANKS, "")).alias("chars"),
+        ),
+    )
+    rows = documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
+        F.filter(sized, lambda line: line["chars"] > 0).alias("lines"),
     )
     return (
-        documents.select(
-            F.col("doc_id").cast("bigint").alias("doc_id"),
-            F.xxhash64("text").alias("text_hash"),
-            F.transform(lines, lambda line: F.xxhash64(line)).alias("hashes"),
+        computed_once(rows, ["lines"])
+        .select(
+            "doc_id",
+            "text_hash",
+            F.col("lines.hash").alias("hashes"),
+            F.col("lines.chars").alias("chars"),
         )
         .dropDuplicates(["doc_id", "text_hash"])
     )
 
 
-def candidate_runs(hashed: DataFrame, run: int = RUN) -> DataFrame:
-    """Runs of ``run`` lines whose fingerprint occurs in two runs: their place and two hashes.
+def _windows(lines: int, run: int, least_chars: int | None) -> str:
+    """Least runs of ``lines`` lines: their line, marks and keys, as an array.
+
+    A run is a least one if it loses its first or its last line and is then none any more. Each
+    line of a repeated run is in a least run within it, which begins or ends there or covers it
+    from the run's begin.
+    """
+    own = [f"get(hashes, i + {k})" for k in range(lines)]
+    made = (
+        f"struct(i AS line, {lines} AS lines, "
+        f"{f'least({", ".join(own)})' if lines > 1 else own[0]} AS mark, "
+        f"xxhash64({', '.join(own)}) AS first_key, "
+        f"xxhash64('run', {', '.join(reversed(own))}) AS second_key)"
+    )
+    places = f"sequence(0, size(hashes) - {lines})"
+    if least_chars is not None:
+
+        def chars(low: int, high: int) -> str:
+            return " + ".join(f"get(chars, i + {k})" for k in range(low, high)) or "0"
+
+        tests = []
+        if lines < run:
+            tests.append(f"{chars(0, lines)} >= {least_chars}")
+        if lines > 1:
+            shorter = f"least({chars(0, lines - 1)}, {chars(1, lines)})"
+            tests.append(f"{shorter} < {least_chars}")
+        if tests:
+            places = f"filter({places}, i -> {' AND '.join(tests)})"
+    return (
+        f"CASE WHEN size(hashes) >= {lines} THEN transform({places}, i -> {made}) "
+        f"ELSE transform(slice(sequence(0, 0), 1, 0), i -> {made}) END"
+    )
+
+
+def candidate_runs(
+    hashed: DataFrame, run: int = RUN, least_chars: int | None = None
+) -> DataFrame:
+    """Least runs whose fingerprint occurs in two of them: their place, lines and two hashes.
 
     A fingerprint that only neighbouring runs of one place share occurs twice as well; such
     runs are told apart by their own hashes.
     """
-    lines = [f"get(hashes, i + {k})" for k in range(run)]
-    windows = (
-        f"transform(sequence(0, size(hashes) - {run}), i -> struct(i AS line, "
-        f"least({', '.join(lines)}) AS mark, xxhash64({', '.join(lines)}) AS first_key, "
-        f"xxhash64('run', {', '.join(reversed(lines))}) AS second_key))"
-    )
-    posted = hashed.filter(F.size("hashes") >= run).select(
+    sizes = [run] if least_chars is None else range(1, run + 1)
+    windows = f"concat({', '.join(_windows(n, run, least_chars) for n in sizes)})"
+    posted = hashed.filter(F.size("hashes") >= min(sizes)).select(
         "doc_id", "text_hash", F.inline(F.expr(windows))
     )
     often = posted.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1")
     return posted.join(often, "mark", "left_semi").drop("mark")
 
 
-def later_runs(runs: DataFrame, run: int = RUN) -> DataFrame:
-    """Maximal repeated runs after their first place, from runs of ``run`` lines.
+def later_runs(runs: DataFrame) -> DataFrame:
+    """Maximal repeated runs after their first place, from least runs.
 
     Output: ``doc_id, text_hash, line, lines`` (lines with a word, from 0) and the first place
     ``source_id, source_line`` that they repeat.
     """
-    keys = ["first_key", "second_key"]
+    keys = ["lines", "first_key", "second_key"]
     first = (
         runs.groupBy(*keys)
         .agg(F.min(_place("line")).alias("first"), F.count("*").alias("n"))
@@ -71,11 +118,16 @@ def later_runs(runs: DataFrame, run: int = RUN) -> DataFrame:
         .drop("n")
     )
     later = runs.join(first, keys).filter(_place("line") > F.col("first"))
-    # windows of one extended match follow each other here and there
+    # windows of one extended match touch or overlap here and there
     shift = F.col("line") - F.col("first.line")
     source = ["first.no_id", "first.doc_id", "first.text_hash"]
-    match = Window.partitionBy("doc_id", "text_hash", *source, shift).orderBy("line")
-    islands = later.withColumn("island", F.col("line") - F.row_number().over(match))
+    match = Window.partitionBy("doc_id", "text_hash", *source, shift).orderBy("line", "lines")
+    before = match.rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max(F.col("line") + F.col("lines")).over(before)
+    opens = F.when(F.col("line") <= reached, 0).otherwise(1)
+    islands = later.withColumn("opens", opens).withColumn(
+        "island", F.sum("opens").over(match.rowsBetween(Window.unboundedPreceding, 0))
+    )
     return islands.groupBy(
         "doc_id",
         "text_hash",
@@ -86,7 +138,7 @@ def later_runs(runs: DataFrame, run: int = RUN) -> DataFrame:
         "island",
     ).agg(
         F.min("line").cast("bigint").alias("line"),
-        (F.count("*") + (run - 1)).alias("lines"),
+        (F.max(F.col("line") + F.col("lines")) - F.min("line")).cast("bigint").alias("lines"),
         F.min("first.line").cast("bigint").alias("source_line"),
     ).select("doc_id", "text_hash", "line", "lines", "source_id", "source_line")
 
@@ -145,9 +197,14 @@ def remove_lines(documents: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeated_lines(documents: DataFrame, run: int = RUN) -> DataFrame:
+def remove_repeated_lines(
+    documents: DataFrame, run: int = RUN, least_chars: int | None = None
+) -> DataFrame:
     """Delete runs of ``run`` or more lines that stand at an earlier place as well.
 
+    With ``least_chars``, fewer lines are a run too if together they hold as many characters
+    other than blanks: one long line is, and only very short ones need neighbours.
+
     Places are ordered by ``doc_id`` (null last), then by line; a document can repeat itself.
     Lines are compared whole; lines without a word don't count and stay. All runs are judged
     on the input: a run repeats the first place it has anywhere. Output: one row per input row
@@ -165,5 +222,5 @@ def remove_repeated_lines(documents: DataFrame, run: int = RUN) -> DataFrame:
     if clash:
         raise ValueError(f"the input already has columns {sorted(clash)}")
     hashed = staged(line_hashes(documents), "lines")
-    runs = staged(later_runs(candidate_runs(hashed, run), run), "runs")
+    runs = staged(later_runs(candidate_runs(hashed, run, least_chars)), "runs")
     return remove_lines(documents, runs)

@@ -188,6 +188,35 @@ def without_lines(rows, run=3):
     return out
 
 
+def without_lines_by_length(rows, run=3, least_chars=20):
+    """Texts after line dedup where fewer long lines are a run too; all runs are compared."""
+    first, places = {}, {}
+    for id_, text in rows:
+        lines = (text or "").split("\n")
+        at = [i for i, x in enumerate(lines) if words(x)]
+        for n in range(len(at)):
+            for size in range(1, len(at) - n + 1):
+                key = tuple(lines[i] for i in at[n : n + size])
+                if size < run and sum(len("".join(words(x))) for x in key) < least_chars:
+                    continue
+                if size > run + 2:
+                    break
+                place = (*after(id_), text, n)
+                places.setdefault((id_, text), set()).add((key, n))
+                first[key] = min(first.get(key, place), place)
+    out = []
+    for id_, text in rows:
+        lines = (text or "").split("\n")
+        at = [i for i, x in enumerate(lines) if words(x)]
+        gone = set()
+        for key, n in places.get((id_, text), ()):
+            if first[key] < (*after(id_), text, n):
+                gone |= set(at[n : n + len(key)])
+        kept = text if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        out.append((id_, kept, len(at), len(gone)))
+    return out
+
+
 def as_tuples(df, columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 

@@ -10,6 +10,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from lakemart.llm import byte_bpe, line_dedup, minhash, packing, pii, quality_rules, substrings
 from tests.llm import cases
 
@@ -152,6 +153,50 @@ def test_lines(awkward, spark, empty):
     assert line_dedup.remove_repeated_lines(empty).count() == 0
 
 
+def single_lines():
+    """Long and short lines alone, in pairs, in longer runs and repeated in one text."""
+    long = [cases.prose(s, 12) for s in range(20, 26)]
+    return [
+        (1, f"{long[0]}\nab\n{long[1]}\nx1\ny1\nz1"),
+        (2, f"first\n{long[0]}\nab\nsecond"),
+        (3, f"ab\nthird\n\n{long[1]}\nx1\ny1"),
+        (4, f"fourth\nx1\n \ny1\nz1\n{long[2]}\n{long[2]}"),
+        (5, "seven77 eight\nnine nine9\nother line"),
+        (6, "sixth\nseven77 eight\nnine nine9"),
+        (7, "nine nine9\nseven77 eight"),
+        (8, "\n".join(["}", "}", "}", "}", long[3], "}"])),
+        (9, f"}}\n{long[3]}\n}}\nab\n{long[0]}"),
+        (None, long[3]),
+        (9, long[4]),
+        (9, long[4]),
+        (10, f"five5 six66\nseven7\neight8 nine\n{long[4]}"),
+        (11, f"tenth\nfive5 six66\nseven7\neight8 nine\nab\n{long[5]}"),
+    ]
+
+
+def test_short_runs_of_long_lines(spark, empty):
+    rows = [*single_lines(), *((100 + (i or 0), t) for i, t in cases.awkward())]
+    want = cases.without_lines_by_length(rows, least_chars=20)
+    docs = cases.documents(spark, rows).repartition(3)
+    got = line_dedup.remove_repeated_lines(docs, least_chars=20)
+    columns = ["doc_id", "text", "n_lines", "n_removed"]
+    assert cases.as_tuples(got, columns) == sorted(want, key=repr)
+    by_id = {i: text for i, text, _, _ in want}
+    assert by_id[2] == "first\nsecond" and by_id[3] == "ab\nthird\n"
+    assert by_id[6] == "sixth" and by_id[7] == rows[6][1]
+    assert line_dedup.remove_repeated_lines(empty, least_chars=20).count() == 0
+
+
+def test_the_pipeline_removes_a_repeated_line(spark):
+    line = cases.prose(30, 60)
+    rows = [(1, f"{line}\nfirst one"), (2, f"second one\n{line}\nsecond two")]
+    left = corpus_pipeline.remove_lines(spark, cases.documents(spark, rows), "")
+    assert {r.doc_id: r.text for r in left.collect()} == {
+        1: rows[0][1],
+        2: "second one\nsecond two",
+    }
+
+
 def private():
     many = " ".join(f"10.0.{i % 256}.{i % 251}" for i in range(300))
     return [
