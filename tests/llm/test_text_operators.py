@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -225,6 +226,45 @@ def test_personal_data(spark, empty):
     assert pii.find(empty).count() == 0
 
 
+def secrets():
+    """Texts with a secret each, the secret, and texts that hold none."""
+    upper = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    found = [
+        (f'TOKEN = "{upper}"!!', upper),
+        ("password = 'hunter2hunter'", "hunter2hunter"),
+        ("export API_KEY=sk_Live4eC39HqLyjWDarjtT1zdp7dc", "sk_Live4eC39HqLyjWDarjtT1zdp7dc"),
+        ('{"auth_token": "QWxhZGRpbjpvcGVuIHNlc2FtZQ09+/x"}', "QWxhZGRpbjpvcGVuIHNlc2FtZQ09+/x"),
+        (f'secret: "{"aB3/" * 100}"', "aB3/" * 100),
+        (f'{"x" * 70}_key = "{"Zz9" * 9}"', "Zz9" * 9),
+        ("call my phone 555 010 9999 now", "555 010 9999"),
+    ]
+    none = ["title: something", "ratio: 3.14159265 on 2019-10-11", 'name = "some plain words"']
+    return found, none
+
+
+def test_secrets_of_any_form_are_redacted(spark):
+    found, none = secrets()
+    texts = [t for t, _ in found] * 25 + none * 60
+    left = pii.redact(cases.documents(spark, [*enumerate(texts)])).collect()
+    by_id = {r.doc_id: r.text for r in left}
+    for i, (text, secret) in enumerate(found * 25):
+        assert secret not in by_id[i], text
+    for i in range(len(found) * 25, len(texts)):
+        assert by_id[i] == texts[i]
+
+
+def test_uncertain_proposals_are_not_labelled(spark):
+    found, none = secrets()
+    unsure = ["git 9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "at 555 010 9999", "key = value"]
+    texts = [*(t for t, _ in found), *none, *unsure]
+    docs = cases.documents(spark, [*enumerate(texts)])
+    proposed = pii.candidates(docs).cache()
+    labels = [r.label for r in pii.labelled(proposed).collect()]
+    assert labels.count(1.0) >= len(found) and labels.count(0.0) >= len(none)
+    assert proposed.filter(F.col("doc_id") >= 10).filter("size(candidates) > 0").count() == 3
+    assert pii.labelled(proposed.filter("doc_id >= 10")).count() == 0
+
+
 def test_redaction(spark):
     rows = pii.redact(cases.documents(spark, private(), "label")).collect()
     by_id = {r.doc_id: r for r in rows if r.doc_id != 4}
