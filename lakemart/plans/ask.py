@@ -21,7 +21,7 @@ from lakemart.plans.corpus import BY_TEXT, QUESTIONS, Question
 from lakemart.plans.marts import Marts
 
 
-ANSWER_ROWS = 5
+ANSWER_ROWS = 5  # rows shown as the answer; expected values are looked for in all
 
 
 @dataclass
@@ -78,9 +78,9 @@ def run_suite(
     """Run the questions and return one record for each: the input of the suite statistics.
 
     A question fails if its query fails; the failure is recorded and the suite goes on. The
-    answer is the first rows of the result as JSON. ``expected`` gives, by the question's text, a
-    value that the answer should hold; ``matches_expected`` is null for questions without one.
-    ``model`` names what answered.
+    answer shows the first rows of the result as JSON. ``expected`` gives, by the question's text,
+    a value that any row of the result should hold; ``matches_expected`` is null for questions
+    without one. ``model`` names what answered.
     """
     expected = expected or {}
     records = []
@@ -88,22 +88,25 @@ def run_suite(
         started = datetime.now(timezone.utc)
         start = time.monotonic()
         answer = error = None
+        matches = False
+        wanted = expected.get(question.text)
         try:
             rows = question.run(marts)
             rows.write.format("noop").mode("overwrite").save()
             spent = round(time.monotonic() - start, 2)
-            first = rows.limit(ANSWER_ROWS).select(F.to_json(F.struct("*")).alias("row"))
-            answer = "\n".join(r.row for r in first.collect())
+            told = rows.select(F.to_json(F.struct("*")).alias("row"))
+            if wanted is not None:
+                holds = F.max(matches_expected(F.col("row"), F.lit(wanted)))
+                matches = bool(told.agg(holds).first()[0])
+            answer = "\n".join(r.row for r in told.limit(ANSWER_ROWS).collect())
         except (PySparkException, Py4JJavaError) as failure:
-            spent, error = None, str(failure)
-        wanted = expected.get(question.text)
-        records.append(
-            (question.text, answer, question.sql, spent, error is None, error, started, model, wanted)
-        )
-    results = marts.spark.createDataFrame(
+            spent, error, matches = None, str(failure), False
+        judged = None if wanted is None else matches
+        record = (question.text, answer, question.sql, spent, error is None, error, started)
+        records.append((*record, model, wanted, judged))
+    return marts.spark.createDataFrame(
         records,
         "question string, answer string, sql string, execution_time double, success boolean, "
-        "error string, timestamp timestamp, model string, expected string",
+        "error string, timestamp timestamp, model string, expected string, "
+        "matches_expected boolean",
     )
-    matches = matches_expected(F.col("answer"), F.col("expected"))
-    return results.withColumn("matches_expected", F.when(F.col("expected").isNotNull(), matches))

@@ -161,3 +161,16 @@ def test_suite_records_failures(spark):
     assert first.timestamp is not None and first.expected == "row_count"
     assert second.answer is None and not second.matches_expected and "broken" in second.error
     assert stats.success_rate == 50.0
+
+
+def test_suite_judges_the_whole_result(spark):
+    from dataclasses import replace
+
+    marts = Marts(spark, SMALL)
+    many = replace(QUESTIONS[0], plan=lambda m: spark.range(40).selectExpr("concat('V', id) AS v"))
+    for wanted, found in (("v37", True), ("v40", False)):
+        row = run_suite(marts, [many], {many.text: wanted}).first()
+        assert row.matches_expected is found and row.answer.count("\n") == 4
+    none = replace(many, plan=lambda m: spark.range(0).selectExpr("id"))
+    assert run_suite(marts, [none], {many.text: "1"}).first().matches_expected is False
+    assert run_suite(marts, [many]).first().matches_expected is None
