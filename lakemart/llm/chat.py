@@ -20,6 +20,14 @@ Template = Callable[[list[Turn], str | None], str]
 
 BLOCK_TURNS = 16
 
+
+
+def context_free(template: Template) -> Template:
+    """Declare that a turn's text depends on that turn only, so rendering may start anew."""
+    template.context_free = True
+    return template
+
+
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 
@@ -34,6 +42,7 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+@context_free
 def marked_turns(turns: list[Turn], opening: str | None = None) -> str:
     """The built-in template: ``### role: text </turn>`` and a line end for each turn.
 
@@ -54,13 +63,15 @@ def read_marked(piece: str) -> Turn:
 class Prefixes:
     """Spans of a conversation's turns, by rendering ever longer prefixes.
 
-    Rendering starts anew after ``block`` turns, from the last turn on, so that the work for a
-    turn and the memory do not grow with the conversation. The shared turn must get the same
-    span in both blocks; if it doesn't, the template looks further back and is reported like
-    one that rewrites history.
+    Every prefix is rendered from the first turn on: a template may number turns, or change or
+    drop old ones, at any length. The work for a turn then grows with the turns before it.
+
+    With ``block``, for templates declared :func:`context_free`, rendering starts anew after so
+    many turns, from the last turn on, so that neither work nor memory grow. The shared turn
+    must get the same span in both blocks, else it is reported like rewritten history.
     """
 
-    def __init__(self, template: Template, block: int = BLOCK_TURNS):
+    def __init__(self, template: Template, block: int | None = None):
         self.template, self.block = template, block
         self.turns: list[Turn] = []
         self.before = template([], None)
@@ -70,7 +81,7 @@ class Prefixes:
     def add(self, role: str, text: str) -> tuple[str | None, int, int]:
         """The turn's span, and start and length of its text in it; no span if rewritten."""
         checked = True
-        if len(self.turns) >= self.block:
+        if self.block is not None and len(self.turns) >= self.block:
             self.turns = self.turns[-1:]
             self.before = self.template(self.turns, None)
             if self.last is not None:
@@ -110,9 +121,11 @@ def format_turns(
     conversation. If the template rewrites history, ``span`` is null and ``rewritten`` is true
     from the turn at which it did. An empty table gives no rows.
 
-    Rows of a conversation are sorted by Spark and streamed through a task: no conversation is
-    held whole, however long it is.
+    Rows of a conversation are sorted by Spark and streamed through a task. With a template
+    declared :func:`context_free` no conversation is held whole, however long it is; any other
+    template is given each prefix whole.
     """
+    block = BLOCK_TURNS if getattr(template, "context_free", False) else None
     rows = conversations.select(
         F.col(key).alias("conv_id"),
         F.col("turn").cast("bigint").alias("turn"),
@@ -128,7 +141,7 @@ def format_turns(
             for conv, turn, role, text in zip(frame.conv_id, frame.turn, frame.role, frame.text):
                 conv = None if pd.isna(conv) else int(conv)
                 if conv != now:
-                    now, prefixes, broken = conv, Prefixes(template), False
+                    now, prefixes, broken = conv, Prefixes(template, block), False
                     place = len(prefixes.before)
                 span, start, length = prefixes.add(_text(role), _text(text))
                 broken = broken or span is None

@@ -60,6 +60,33 @@ def test_rewritten_history_is_found(spark):
     assert min(start) == len("<s>")
 
 
+def last_twenty(said, opening=None):
+    return chat.marked_turns(said[-20:], opening)
+
+
+def numbered(said, opening=None):
+    """Numbers the turns, and names the first speaker in each."""
+    first = said[0][0] if said else ""
+    lines = [f"{n} of {first} {role}: {text}\n" for n, (role, text) in enumerate(said)]
+    if opening is not None:
+        lines.append(f"{len(said)} of {said[0][0] if said else opening} {opening}: ")
+    return "".join(lines)
+
+
+def test_long_conversations_are_rendered_whole(spark):
+    rows = [(1, n, "user" if n % 2 == 0 else "assistant", f"t{n}") for n in range(40)]
+    said = [(role, text) for _, _, role, text in rows]
+    found = chat.format_turns(turns(spark, rows), last_twenty).collect()
+    assert [r.turn for r in sorted(found, key=lambda r: r.turn) if r.rewritten] == [*range(20, 40)]
+    assert all((r.span is None) == r.rewritten for r in found)
+    found = sorted(chat.format_turns(turns(spark, rows), numbered).collect(), key=lambda r: r.turn)
+    assert not any(r.rewritten for r in found)
+    assert "".join(r.span for r in found) == numbered(said)
+    for r in found:
+        masked = r.span[r.loss_start : r.loss_start + r.loss_length]
+        assert masked == (f"t{r.turn}" if r.role == "assistant" else "")
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, cell string")
 
