@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+PARTITION_BYTES = 256 * 1024 * 1024
+
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
-PARTITION_BYTES = 256 * 1024 * 1024
-
 def initial_partitions(shuffle_bytes: int, most: int | None = None) -> int:
     """Partitions for a shuffle of the given size, so that each fits a task without spilling.
 
@@ -82,6 +87,31 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver was started.
+
+    A zip of the package goes to the shared folder once per application, and from there to
+    every executor, also to one that joins later.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.writestr(str(file.relative_to(package.parent)), file.read_bytes())
+    data = held.getvalue()
+    name = f"{package.name}-{hashlib.sha256(data).hexdigest()[:16]}-{uuid.uuid4().hex[:8]}.zip"
+    path = os.path.join(shared_dir(spark), name)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(data)
+    out.close()
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder that this job wrote, on whatever file system it is."""
     jvm = spark._jvm
