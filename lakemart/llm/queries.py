@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from lakemart.llm import (
     byte_bpe,
     chat,
+    importance,
     knn,
     line_dedup,
     minhash,
     packing,
     pii,
     quality_rules,
+    spelling,
     substrings,
     weak_labels,
 )
@@ -109,6 +111,16 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
@@ -120,6 +132,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_knn": op9_knn,
     "op10_personal_data": op10_personal_data,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_importance": op13_importance,
 }
 
 SQL: dict[str, str] = {
@@ -245,5 +259,117 @@ WITH vectors AS (
   FROM scored
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents)
+  GROUP BY ALL
+), bytes AS (
+  SELECT *, list_transform(string_split(rtrim(regexp_replace(
+    hex(encode(doc_id || ':' || run)), '(..)', '\1 ', 'g')), ' '),
+    lambda x: CAST('0x' || x AS BIGINT)) AS b
+  FROM runs
+), hashed AS (
+  SELECT run, n, xor(list_reduce(b, lambda h, x: list_reduce(
+    [xor(h, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, i: xor(y >> 1, 3988292384 * (y & 1))),
+    4294967295), 4294967295) AS h
+  FROM bytes
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS gap,
+    substr(word, 1, i - 1) || substr(word, i + 1) AS less
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS near, b.n
+  FROM cut a JOIN cut b ON a.gap = b.gap AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.less = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.less = b.word
+), best AS (
+  SELECT word, near, n, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place,
+    count(*) OVER (PARTITION BY word) AS n_near
+  FROM near
+), formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+    CASE WHEN b.n >= 5 * w.n THEN b.near END AS form,
+    CASE WHEN b.n >= 5 * w.n THEN b.n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word AND b.place = 1
+), chain AS (
+  SELECT word, word AS at, form FROM formed
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.form
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON c.word = f.word AND c.form IS NULL
+""",
+    "op13_importance": r"""
+WITH lowered AS (
+  SELECT 0 AS side, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+  UNION ALL
+  SELECT 1, item_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+  FROM benchmark
+), words AS (
+  SELECT side, doc_id,
+    regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM lowered
+), found AS (
+  SELECT side, doc_id, unnest(w) AS feature FROM words
+  UNION ALL
+  SELECT side, doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+  FROM words
+), counted AS (
+  SELECT side, doc_id, feature, count(*) AS n FROM found GROUP BY ALL
+), bytes AS (
+  SELECT feature, list_transform(string_split(
+    rtrim(regexp_replace(hex(encode(feature)), '(..)', '\1 ', 'g')), ' '),
+    lambda x: CAST('0x' || x AS BIGINT)) AS b
+  FROM (SELECT DISTINCT feature FROM counted)
+), hashed AS (
+  SELECT feature, xor(list_reduce(b, lambda h, x: list_reduce(
+    [xor(h, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, i: xor(y >> 1, 3988292384 * (y & 1))),
+    4294967295), 4294967295) % 10000 AS bucket
+  FROM bytes
+), placed AS (
+  SELECT side, doc_id, bucket, n FROM counted JOIN hashed USING (feature)
+), sums AS (
+  SELECT bucket, CAST(sum(n) FILTER (side = 0) AS DOUBLE) AS s,
+    CAST(sum(n) FILTER (side = 1) AS DOUBLE) AS t
+  FROM placed GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000.0::DOUBLE * ln(
+    (coalesce(t, 0) + 1) * ((SELECT sum(s) FROM sums) + 10000)
+    / ((coalesce(s, 0) + 1) * ((SELECT sum(t) FROM sums) + 10000)))) AS BIGINT) AS gain
+  FROM sums
+), weights AS (
+  SELECT doc_id, sum(n) AS n_features, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight
+  FROM placed JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id
+), scored AS (
+  SELECT w.doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+    coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000.0::DOUBLE * ln(-ln(
+      (CAST('0x' || left(sha256('7:' || w.doc_id), 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE))) AS BIGINT) AS score,
+    len(w) >= 20 AS wanted
+  FROM words w LEFT JOIN weights USING (doc_id) WHERE side = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (wanted) OVER () * 25 // 100 AS drawn
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN wanted AND place <= drawn THEN place END AS rank
+FROM ranked
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import new_dir
+from lakemart.session import new_dir, remove_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,35 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables written between the jobs of one run, in a folder of their own.
+
+    ``close`` removes those that nothing returned still reads; pass the others to ``keep``.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label = spark, label
+        self._paths: list[str] = []
+
+    def staged(self, df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+        """As :func:`staged`."""
+        path = new_dir(self.spark, f"{self.label}-{label}")
+        df.write.option("compression", compression).parquet(path)
+        self._paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def kept(self, df: DataFrame, label: str) -> DataFrame:
+        """As ``staged``, for a table that the result of the run reads."""
+        out = self.staged(df, label)
+        self._paths.pop()
+        return out
+
+    def close(self) -> None:
+        for path in self._paths:
+            remove_dir(self.spark, path)
+        self._paths = []
+
+
 def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df`` with ``columns`` behind a generator of one row per row.
 

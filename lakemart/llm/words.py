@@ -1,13 +1,14 @@
 """Words of many texts at once, as arrays.
 
-A word is a run of bytes other than space and 0x09-0x0D, as in ``[^\\x20\\x09-\\x0D]+``. All
+A word is a run of bytes other than space and 0x09-0x0D, as in ``[^\\x20\\x09-\\x0D]+``, or
+a run of another class of bytes. All
 texts of an Arrow array are scanned in one pass over their bytes, so no Python runs for a
 single word. Words and phrases are known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +47,32 @@ def text_array(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+def not_blank(data: np.ndarray) -> np.ndarray:
+    return ~((data == 32) | ((data >= 9) & (data <= 13)))
+
+
+def letters_and_digits(data: np.ndarray) -> np.ndarray:
+    """Bytes of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``: 0-9, a-z and all beyond ASCII."""
+    return ((data >= 48) & (data <= 57)) | ((data >= 97) & (data <= 122)) | (data >= 128)
+
+
+def latin_letters(data: np.ndarray) -> np.ndarray:
+    """Bytes of ``[A-Za-z\\u00C0-\\u00FF]``; the latter are 0xC3 and any byte after it."""
+    inside = ((data >= 97) & (data <= 122)) | ((data >= 65) & (data <= 90)) | (data == 0xC3)
+    inside[1:] |= data[:-1] == 0xC3
+    return inside
+
+
 class Words:
     """Words of some texts: byte ranges in ``data``, and the first word of each text."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
-        """``texts``: large strings without nulls; ``lower`` folds A-Z only."""
+    def __init__(
+        self,
+        texts: pa.Array,
+        lower: bool = False,
+        inside_words: Callable[[np.ndarray], np.ndarray] = not_blank,
+    ):
+        """``texts``: large strings without nulls; ``lower`` folds A-Z only, before the rest."""
         offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
         low, high = int(offsets[0]), int(offsets[-1])
         raw = texts.buffers()[2]
@@ -58,7 +80,7 @@ class Words:
         bounds = offsets - low
         if lower:
             data = np.where((data >= 65) & (data <= 90), data | 32, data)
-        inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+        inside = inside_words(data)
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         cuts = bounds[:-1][bounds[:-1] < len(data)]
@@ -87,6 +109,21 @@ class Words:
         terms = (self.data[self._inside].astype(np.uint64) + np.uint64(1)) * powers[offset]
         return mix(np.add.reduceat(terms, at) + lengths.astype(np.uint64) * _STEP)
 
+    def coded(self) -> tuple[list[bytes], np.ndarray]:
+        """The distinct words, and the place of each word among them."""
+        lengths = self.ends - self.starts
+        offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+        held = pa.Array.from_buffers(
+            pa.large_binary(),
+            len(lengths),
+            [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(self.data[self._inside].tobytes())],
+        ).dictionary_encode()
+        return held.dictionary.to_pylist(), held.indices.to_numpy(False)
+
+    def rows(self) -> np.ndarray:
+        """The text of each word."""
+        return np.repeat(np.arange(len(self.counts)), self.counts)
+
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Number of ``size``-word windows of each text, and the first word of each window."""
         counts = np.maximum(self.counts - (size - 1), 0)
