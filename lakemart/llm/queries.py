@@ -15,6 +15,7 @@ from lakemart.llm import (
     line_dedup,
     minhash,
     packing,
+    phrase_index,
     pii,
     quality_rules,
     spelling,
@@ -111,6 +112,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_index.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -132,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_knn": op9_knn,
     "op10_personal_data": op10_personal_data,
+    "op11_contamination": op11_contamination,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_importance": op13_importance,
 }
@@ -259,6 +267,39 @@ WITH vectors AS (
   FROM scored
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    "op11_contamination": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), wanted AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i
+    FROM (SELECT *, least(len(w), 10) AS size FROM items WHERE len(w) > 0))
+), placed AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i
+    FROM words, (SELECT DISTINCT size FROM wanted))
+), found AS (
+  SELECT doc_id, i, size, item_id FROM placed JOIN wanted USING (size, phrase)
+), hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit,
+  coalesce(m.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(h.n, 0) > 0 AS contaminated
+FROM words LEFT JOIN hits h USING (doc_id) LEFT JOIN named m USING (doc_id)
 """,
     "op12_spelling_variants": r"""
 WITH RECURSIVE runs AS (
