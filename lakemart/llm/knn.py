@@ -53,7 +53,7 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _packed(frame: DataFrame, width: int, kind: str) -> DataFrame:
-    """One row per block: its ids and its vectors as one matrix of numbers of a kind."""
+    """One row per block: its ids, row numbers, and its vectors as one matrix of a kind."""
 
     def run(part: pa.Table) -> pa.Table:
         vectors = part.column("vector").combine_chunks()
@@ -64,12 +64,13 @@ def _packed(frame: DataFrame, width: int, kind: str) -> DataFrame:
                 "cell": part.column("cell").slice(0, 1),
                 "block": part.column("block").slice(0, 1),
                 "ids": pa.array([part.column("vec_id").to_pylist()], pa.list_(pa.int64())),
+                "numbers": pa.array([part.column("number").to_pylist()], pa.list_(pa.int64())),
                 "matrix": pa.array([_matrix(vectors, width).astype(kind).tobytes()]),
             }
         )
 
     return frame.groupBy("cell", "block").applyInArrow(
-        run, "cell bigint, block bigint, ids array<bigint>, matrix binary"
+        run, "cell bigint, block bigint, ids array<bigint>, numbers array<bigint>, matrix binary"
     )
 
 
@@ -164,13 +165,10 @@ def top_k(
     if width is None:
         return spark.createDataFrame([], schema)
     # distinct vectors spread best; a hash picks the same ones whatever the partitions are
-    chosen = (
-        usable.groupBy("vector")
-        .agg(F.min("vec_id").alias("vec_id"))
-        .orderBy(F.xxhash64("vec_id"), "vec_id")
-        .limit(pivots)
-        .collect()
-    )
+    mark = F.xxhash64("vector")
+    least = usable.select(mark.alias("mark")).distinct().orderBy("mark").limit(pivots).collect()
+    picked = usable.filter(mark.isin([r.mark for r in least])).select("vector").distinct()
+    chosen = sorted(picked.collect(), key=lambda r: r.vector)
     points = np.zeros((len(chosen), width), np.int64)
     for row, pivot in enumerate(chosen):
         points[row, : len(pivot.vector)] = pivot.vector
@@ -198,13 +196,19 @@ def top_k(
         return F.pmod(F.xxhash64("vec_id"), F.element_at(of_cell, F.col("cell")))
 
     blocks = {c: -(-n // BLOCK_ROWS) for c, n, _ in data}
-    data_blocks = placed.withColumn("block", block(blocks))
-    query_blocks = placed.filter("is_query").withColumn(
-        "block", block({c: -(-n // QUERY_ROWS) for c, n, _ in asking})
+    data_blocks = placed.withColumn("block", block(blocks)).withColumn(
+        "number", F.lit(None).cast("bigint")
+    )
+    # each row that asks has a list of its own, also where ids repeat
+    query_blocks = (
+        placed.filter("is_query")
+        .withColumn("number", F.monotonically_increasing_id())
+        .withColumn("block", block({c: -(-n // QUERY_ROWS) for c, n, _ in asking}))
     )
     left = _packed(query_blocks, width, kind).select(
         F.col("cell").alias("query_cell"),
         F.col("ids").alias("query_ids"),
+        F.col("numbers").alias("query_numbers"),
         F.col("matrix").alias("query_matrix"),
     )
     right = _packed(data_blocks, width, kind)
@@ -223,7 +227,7 @@ def top_k(
     met = (
         asked.repartition(tasks, "cell", "block")
         .join(right.repartition(tasks, "cell", "block"), ["cell", "block"])
-        .select("query_ids", "query_matrix", "threshold", "ids", "matrix")
+        .select("query_ids", "query_numbers", "query_matrix", "threshold", "ids", "matrix")
     )
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,17 +239,20 @@ def top_k(
                 b = np.frombuffer(row["matrix"], kind).reshape(len(ids), -1)
                 scores = _products(a.astype(np.int64), b.astype(np.int64))
                 out: list[tuple[np.ndarray, ...]] = []
-                for query, line in zip(queries, scores):
+                for query, number, line in zip(queries, row["query_numbers"], scores):
                     kept = np.flatnonzero((ids != query) & (line >= row["threshold"]))
                     best = kept[_best(line[kept], ids[kept], k)]
-                    out.append((np.full(len(best), query), ids[best], line[best]))
+                    who = np.full(len(best), number), np.full(len(best), query)
+                    out.append((*who, ids[best], line[best]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x)) for x in zip(*out)],
-                    names=["query_id", "vec_id", "score"],
+                    names=["number", "query_id", "vec_id", "score"],
                 )
 
-    found = met.mapInArrow(solve, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = met.mapInArrow(
+        solve, "number bigint, query_id bigint, vec_id bigint, score bigint"
+    )
+    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

@@ -124,6 +124,16 @@ def test_top_k(spark, k, pivots, monkeypatch):
     assert sorted(tuple(r) for r in found.collect()) == plain_top(rows, k)
 
 
+def test_rows_that_share_an_id_have_lists_of_their_own(spark):
+    made = random.Random(9)
+    rows = [(i, [made.gauss(0, 1) for _ in range(4)], "x") for i in range(1, 40)]
+    rows += [(20, [5.0, 0.0, 0.0, 0.0], "x"), (20, [0.0, -5.0, 0.0, 0.0], "x")]
+    rows += [(40, rows[3][1], "x")] * 2 + [(40, rows[5][1], "x")]
+    found = knn.top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0, 5, pivots=3)
+    assert sorted(tuple(r) for r in found.collect()) == plain_top(rows, 5)
+    assert found.filter("query_id = 20").count() == found.filter("query_id = 40").count() == 15
+
+
 def test_top_k_of_nothing(spark):
     assert knn.top_k(vectors(spark, []), F.lit(True)).count() == 0
     assert knn.top_k(vectors(spark, [(20, None, "x")]), F.lit(True)).count() == 0
