@@ -86,6 +86,8 @@ def word_counts(documents: DataFrame, least_letters: int = LEAST_LETTERS) -> Dat
 
 def letters_of(words: list[str], length: int) -> np.ndarray:
     """Code points of words of one length."""
+    if length == 0:
+        return np.zeros((len(words), 0), np.uint32)
     return np.array(words, f"<U{length}").view("<u4").reshape(len(words), length)
 
 
@@ -177,6 +179,8 @@ def _marks(letters: np.ndarray) -> np.ndarray:
 def one_edit(shorter: np.ndarray, longer: np.ndarray) -> np.ndarray:
     """Which rows differ by one replaced letter, or one letter that only ``longer`` has."""
     length = shorter.shape[1]
+    if length == 0:
+        return np.full(len(shorter), longer.shape[1] == 1)
     differ = shorter != longer[:, :length]
     if longer.shape[1] == length:
         return differ.sum(axis=1) == 1
@@ -199,7 +203,7 @@ def search(
     found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for leaf, rows in tree.reach(letter_counts(queries), 1, down):
         inside = tree.leaves[leaf]
-        step = max(1, _PAIRS // (len(inside) * points.shape[1]))
+        step = max(1, _PAIRS // (len(inside) * max(1, points.shape[1])))
         for start in range(0, len(rows), step):
             part = rows[start : start + step]
             near = np.bitwise_count(own[part][:, None] ^ theirs[inside][None, :]) <= 2

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -220,3 +222,120 @@ def without_lines_by_length(rows, run=3, least_chars=20):
 def as_tuples(df, columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
+
+
+TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def lowered(text):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+
+
+def contaminated(rows, items, size=10):
+    """Words in windows of items, by comparing every window of every text."""
+    windows = {}
+    for item, text in items:
+        w = TOKEN.findall(lowered(text))
+        n = min(size, len(w))
+        for i in range(len(w) - n + 1 if w else 0):
+            windows.setdefault(tuple(w[i : i + n]), set()).add("" if item is None else str(item))
+    out = []
+    for id_, text in rows:
+        w, hit, found = TOKEN.findall(lowered(text)), set(), set()
+        for n in {len(x) for x in windows}:
+            for i in range(len(w) - n + 1):
+                held = windows.get(tuple(w[i : i + n]))
+                if held:
+                    hit |= set(range(i, i + n))
+                    found |= held
+        names = ",".join(sorted(found))
+        out.append((id_, len(w), len(hit), len(found), sha(names), bool(hit)))
+    return out
+
+
+def near_places(rows, items, within):
+    """Places of words of an item that have all its other words at hand, as sets by document."""
+    out = []
+    for id_, text in rows:
+        w = TOKEN.findall(lowered(text))
+        for item, wanted in items:
+            words_ = set(TOKEN.findall(lowered(wanted)))
+            for i, x in enumerate(w):
+                around = w[max(0, i - within) : i + within + 1]
+                if words_ and x in words_ and words_ <= set(around):
+                    out.append((id_, item, x, i))
+    return out
+
+
+def near(a, b):
+    """One inserted, deleted or replaced character."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(counts, times=5):
+    """word, form, root, n, n_near, form_n by comparing all pairs of words."""
+    form, out = {}, {}
+    for a, n in counts.items():
+        beside = [b for b in counts if near(a, b)]
+        best = min(beside, key=lambda b: (-counts[b], b), default=None)
+        form[a] = best if best is not None and counts[best] >= times * n else None
+        out[a] = len(beside)
+    rows = []
+    for a, n in counts.items():
+        root = a
+        while form[root] is not None:
+            root = form[root]
+        rows.append((a, form[a], root, n, out[a], counts.get(form[a])))
+    return rows
+
+
+def spelled(rows):
+    """Words with the letters that a check sum leaves out, and their counts."""
+    counts = Counter()
+    for id_, text in rows:
+        for run in RUN.findall(text or ""):
+            low = lowered(run)
+            h = zlib.crc32(f"{'' if id_ is None else id_}:{low}".encode())
+            if h % 199 == 0:
+                low = low[: h % len(low)] + low[h % len(low) + 1 :]
+            counts[low] += 1
+    return counts
+
+
+def importance(rows, target, percent=25, least=20):
+    """n_features, weight, score and rank by plain sums."""
+
+    def features(text):
+        w = TOKEN.findall(lowered(text))
+        return len(w), w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+
+    def buckets(found):
+        return Counter(zlib.crc32(f.encode()) % 10000 for f in found)
+
+    made = [(id_, *features(text)) for id_, text in rows]
+    s, t = Counter(), Counter()
+    for _, _, found in made:
+        s += buckets(found)
+    for text in target:
+        t += buckets(features(text)[1])
+    all_s, all_t = sum(s.values()) + 10000, sum(t.values()) + 10000
+    scored = []
+    for id_, n, found in made:
+        total = sum(
+            c * math.floor(1000 * math.log((t[b] + 1) * all_s / ((s[b] + 1) * all_t)))
+            for b, c in buckets(found).items()
+        )
+        weight = total // len(found) if found else 0
+        h = int(sha(f"7:{'' if id_ is None else id_}")[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))
+        scored.append([id_, len(found), weight, score, n >= least])
+    wanted = [x for x in scored if x[4]]
+    wanted.sort(key=lambda x: (-x[3], x[0] is None, x[0] or 0, x[1], x[2]))
+    drawn = len(wanted) * percent // 100
+    ranked = [(*x[:4], i + 1 if i < drawn else None) for i, x in enumerate(wanted)]
+    return ranked + [(*x[:4], None) for x in scored if not x[4]]
