@@ -2,20 +2,25 @@
 
 Lines with a word are hashed. Of the lines of every least run (``RUN`` consecutive ones, or
 fewer that hold ``least_chars`` characters) the smallest hash is a fingerprint, so two such runs
-cannot agree without sharing one. Runs whose fingerprint occurs twice are grouped by hashes of
-all their lines; a longer match is the union of the least runs in it. Everything is DataFrame
-and SQL functions.
+cannot agree without sharing one. Neighbouring runs mostly share their smallest line, and only
+the distinct ones are posted, with their position and the hashes around it: about half of the
+lines for runs of three. Positions that meet are extended both ways to the least runs around
+them, whose hashes must all agree; overlapping ones make up longer matches. Everything is
+DataFrame and SQL functions.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.quality_rules import BLANKS
-from lakemart.llm.tables import computed_once, staged
+from lakemart.llm.tables import Scratch, computed_once
 
 RUN = 3
+SALTS = 16  # parts of the rows of one fingerprint
 LEAST_CHARS = 20  # characters other than blanks from which on fewer lines are a run
 
 
@@ -53,20 +58,13 @@ def line_hashes(documents: DataFrame) -> DataFrame:
     )
 
 
-def _windows(lines: int, run: int, least_chars: int | None) -> str:
-    """Least runs of ``lines`` lines: their line, marks and keys, as an array.
+def _least_runs(lines: int, run: int, least_chars: int | None) -> str:
+    """First lines of the least runs of ``lines`` lines, in order, as an array.
 
     A run is a least one if it loses its first or its last line and is then none any more. Each
     line of a repeated run is in a least run within it, which begins or ends there or covers it
     from the run's begin.
     """
-    own = [f"get(hashes, i + {k})" for k in range(lines)]
-    made = (
-        f"struct(i AS line, {lines} AS lines, "
-        f"{f'least({", ".join(own)})' if lines > 1 else own[0]} AS mark, "
-        f"xxhash64({', '.join(own)}) AS first_key, "
-        f"xxhash64('run', {', '.join(reversed(own))}) AS second_key)"
-    )
     places = f"sequence(0, size(hashes) - {lines})"
     if least_chars is not None:
 
@@ -81,27 +79,89 @@ def _windows(lines: int, run: int, least_chars: int | None) -> str:
             tests.append(f"{shorter} < {least_chars}")
         if tests:
             places = f"filter({places}, i -> {' AND '.join(tests)})"
-    return (
-        f"CASE WHEN size(hashes) >= {lines} THEN transform({places}, i -> {made}) "
-        f"ELSE transform(slice(sequence(0, 0), 1, 0), i -> {made}) END"
+    none = "CAST(array() AS array<int>)"
+    return f"CASE WHEN size(hashes) >= {lines} THEN {places} ELSE {none} END"
+
+
+def _posted(hashed: DataFrame, lines: int, run: int, least_chars: int | None) -> DataFrame:
+    """Distinct fingerprints of the least runs of ``lines`` lines, with the runs they stand for.
+
+    Output: ``doc_id, text_hash, lines, mark``, ``starts`` (first lines of the runs), ``low``
+    and ``around`` (hashes of all their lines from line ``low`` on).
+    """
+    own = [f"get(hashes, i + {k})" for k in range(lines)]
+    least = f"least({', '.join(own)})" if lines > 1 else own[0]
+    # the first of the smallest lines of a run; it never moves back from one run to the next
+    at = "CASE " + " ".join(f"WHEN {h} = {least} THEN i + {k}" for k, h in enumerate(own)) + " END"
+    rows = hashed.filter(F.size("hashes") >= lines)
+    rows = rows.withColumn("runs", F.expr(_least_runs(lines, run, least_chars)))
+    rows = computed_once(rows, ["runs"]).filter(F.size("runs") > 0)
+    rows = rows.withColumn("at", F.expr(f"transform(runs, i -> CAST({at} AS int))"))
+    # numbers of the runs that begin a fingerprint of their own
+    fresh = F.expr(
+        "filter(sequence(0, size(at) - 1), j -> j = 0 OR get(at, j) <> get(at, j - 1))"
+    )
+    rows = computed_once(rows, ["runs", "at"]).withColumn("fresh", fresh)
+    made = (
+        "transform(fresh, (j, n) -> struct(get(hashes, get(at, j)) AS mark, "
+        "slice(runs, j + 1, coalesce(get(fresh, n + 1), size(at)) - j) AS starts))"
+    )
+    posted = computed_once(rows, ["runs", "at", "fresh"]).select(
+        "doc_id", "text_hash", "hashes", F.inline(F.expr(made))
+    )
+    last = F.element_at("starts", -1) + lines
+    return posted.select(
+        "doc_id",
+        "text_hash",
+        F.lit(lines).alias("lines"),
+        "mark",
+        "starts",
+        F.get("starts", F.lit(0)).alias("low"),
+        F.slice("hashes", F.get("starts", F.lit(0)) + 1, last - F.get("starts", F.lit(0))).alias(
+            "around"
+        ),
+    )
+
+
+def _extended(met: DataFrame, sizes: list[int]) -> DataFrame:
+    """Least runs around positions that met, with two hashes of the lines of each."""
+    first_key = second_key = F.lit(None).cast("bigint")
+    for lines in sizes:
+        own = [f"get(around, line - low + {k})" for k in range(lines)]
+        is_own = F.col("lines") == lines
+        first = F.expr(f"xxhash64({', '.join(own)})")
+        second = F.expr(f"xxhash64('run', {', '.join(reversed(own))})")
+        first_key = F.when(is_own, first).otherwise(first_key)
+        second_key = F.when(is_own, second).otherwise(second_key)
+    runs = met.select(
+        "doc_id", "text_hash", "lines", "low", "around", F.explode("starts").alias("line")
+    )
+    return runs.select(
+        "doc_id",
+        "text_hash",
+        "line",
+        "lines",
+        first_key.alias("first_key"),
+        second_key.alias("second_key"),
     )
 
 
 def candidate_runs(
     hashed: DataFrame, run: int = RUN, least_chars: int | None = None
 ) -> DataFrame:
-    """Least runs whose fingerprint occurs in two of them: their place, lines and two hashes.
+    """Least runs whose fingerprint is posted twice: their place, lines and two hashes.
 
-    A fingerprint that only neighbouring runs of one place share occurs twice as well; such
-    runs are told apart by their own hashes.
+    Fingerprints are counted in each task before they are shuffled; a frequent one is dealt to
+    ``SALTS`` tasks where its positions meet.
     """
-    sizes = [run] if least_chars is None else range(1, run + 1)
-    windows = f"concat({', '.join(_windows(n, run, least_chars) for n in sizes)})"
-    posted = hashed.filter(F.size("hashes") >= min(sizes)).select(
-        "doc_id", "text_hash", F.inline(F.expr(windows))
-    )
-    often = posted.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1")
-    return posted.join(often, "mark", "left_semi").drop("mark")
+    sizes = [run] if least_chars is None else [*range(1, run + 1)]
+    posted = reduce(DataFrame.unionAll, (_posted(hashed, n, run, least_chars) for n in sizes))
+    often = posted.groupBy("lines", "mark").agg(F.count("*").alias("n")).filter("n > 1")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = often.select("lines", "mark", salts.alias("salt"))
+    salt = F.pmod(F.xxhash64("doc_id", "text_hash", "low"), F.lit(SALTS)).cast("int")
+    met = posted.withColumn("salt", salt).join(dealt, ["lines", "mark", "salt"], "left_semi")
+    return _extended(met, sizes)
 
 
 def later_runs(runs: DataFrame) -> DataFrame:
@@ -221,6 +281,8 @@ def remove_repeated_lines(
     clash = working & {c.lower() for c in documents.columns}
     if clash:
         raise ValueError(f"the input already has columns {sorted(clash)}")
-    hashed = staged(line_hashes(documents), "lines")
-    runs = staged(later_runs(candidate_runs(hashed, run, least_chars)), "runs")
+    scratch = Scratch(documents.sparkSession, "lines")
+    hashed = scratch.staged(line_hashes(documents), "hashes")
+    runs = scratch.kept(later_runs(candidate_runs(hashed, run, least_chars)), "runs")
+    scratch.close()
     return remove_lines(documents, runs)
