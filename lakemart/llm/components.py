@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.tables import staged
+from lakemart.llm.tables import Scratch
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,7 +21,8 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = edges.select(
         F.least(a, b).alias("low"), F.greatest(a, b).alias("high")
     ).filter("low < high")
-    pairs = staged(pairs.distinct(), "edges")
+    scratch = Scratch(edges.sparkSession, "components")
+    pairs = scratch.staged(pairs.distinct(), "edges")
     before = None
     while True:
         # large star: link each larger neighbour to the smallest of the neighbourhood
@@ -35,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.col("least").alias("low"), F.col("m").alias("high"))
             .distinct()
         )
-        large = staged(large, "edges")
+        large = scratch.staged(large, "edges")
         # small star: link the smaller neighbours and the node itself to the smallest of them
         least = large.groupBy("high").agg(F.min("low").alias("least"))
         joined = large.join(least, "high")
@@ -45,7 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
             .filter("low < high")
             .distinct()
         )
-        pairs = staged(pairs, "edges")
+        pairs = scratch.staged(pairs, "edges")
         # a star forest, once reached, is changed by neither step
         state = pairs.agg(
             F.count("*").alias("n"),
@@ -55,6 +56,8 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
+    scratch.keep_last()
+    scratch.close()
     return pairs.select(F.col("high").alias("node"), F.col("low").alias("component")).unionByName(
         pairs.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct()
     )

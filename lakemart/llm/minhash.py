@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.components import components
-from lakemart.llm.tables import staged
+from lakemart.llm.tables import Scratch
 from lakemart.llm.words import Words, mix, phrase_hashes, slices, text_array
 
 SHINGLE_WORDS = 5
@@ -34,6 +34,9 @@ SIMILARITY = 75  # percent
 # Shingles of the members that meet in one group, from inside and outside its main component.
 INNER_SHINGLES = 1 << 21
 OUTER_SHINGLES = 1 << 20
+# Classes that cannot be called by their id get numbers from the largest one down.
+LARGEST = (1 << 63) - 1
+MOST_CLASSES = 1 << 62
 
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -70,8 +73,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, n_shingles, digest`` (of the set; null if empty) ``, signature`` per document."""
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    """``doc_id, text_hash, n_shingles, digest`` (of the set; null if empty) ``, signature`` of
+    each row."""
+    rows = documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -87,16 +93,16 @@ def signatures(documents: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(signs, pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "n_shingles", "digest", "signature"],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "signature"],
             )
 
-    return rows.mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, digest binary, signature array<int>"
-    )
+    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, signature array<int>"
+    return rows.mapInArrow(run, schema)
 
 
 def full_sets(documents: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -124,15 +130,35 @@ def equal_coordinates(a: str, b: str) -> Column:
     )
 
 
+def numbered(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Add ``node``: the id of the class, or a number above all ids where that is taken or null.
+
+    One class of each id keeps it; others are numbered from the largest number down. Most ids
+    have one class, so the table of the others is small.
+    """
+    counted = classes.groupBy("id").agg(F.count("*").alias("n"), F.min("number").alias("first"))
+    taken = scratch.staged(counted.filter("n > 1 OR id IS NULL"), "taken")
+    several = taken.select(F.col("id").alias("taken_id"), "first")
+    same = F.col("id").eqNullSafe(F.col("taken_id"))
+    other = F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("number") != F.col("first")))
+    node = F.when(other, F.lit(LARGEST) - F.col("number")).otherwise(F.col("id"))
+    return classes.join(several, same, "left").withColumn("doc_id", node).drop("taken_id", "first")
+
+
 def sets_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Full sets of the documents with the wanted ids, one per id.
+    """Full sets of the texts of wanted classes (``doc_id``, and ``id, text_hash`` of a row).
 
-    Of unlike texts under one id the smallest counts. The texts are merged with the ids at every size; a broadcast below some size would only
+    The texts are merged with the classes at every size; a broadcast below some size would only
     hide what the join costs.
     """
-    texts = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
-    # dealt by id already: no shuffle
-    return full_sets(texts.groupBy("doc_id").agg(F.min("text").alias("text")))
+    texts = documents.select(
+        F.col("doc_id").cast("bigint").alias("of_id"), "text", F.xxhash64("text").alias("of_hash")
+    )
+    same = F.col("of_id").eqNullSafe(F.col("id")) & (F.col("of_hash") == F.col("text_hash"))
+    met = texts.join(wanted.hint("merge"), same)
+    # dealt by these already: no shuffle; repeated rows are one
+    once = met.groupBy("id", "text_hash", "doc_id").agg(F.min("text").alias("text"))
+    return full_sets(once)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> DataFrame:
@@ -258,6 +284,7 @@ def remaining_links(
     signed: DataFrame,
     labels: DataFrame,
     sets: DataFrame,
+    scratch: Scratch,
     matches: int = MATCHES,
     percent: int = SIMILARITY,
 ) -> DataFrame:
@@ -283,7 +310,7 @@ def remaining_links(
         .join(signed.select("doc_id", "n_shingles"), "doc_id")
         .select("leader", "doc_id", "label", "outer", "n_shingles")
     )
-    members = staged(members, "members")
+    members = scratch.staged(members, "members")
     sizes = (
         members.groupBy("leader")
         .agg(
@@ -312,7 +339,7 @@ def remaining_links(
         .withColumn("h", F.xxhash64("doc_id"))
         .select("leader", "doc_id", "label", "outer", F.inline(units))
     )
-    dealt = staged(dealt, "units")
+    dealt = scratch.staged(dealt, "units")
     held = signed.select("doc_id", "signature")
     return (
         dealt.join(held, "doc_id")
@@ -322,60 +349,96 @@ def remaining_links(
     )
 
 
-def near_duplicates(documents: DataFrame, percent: int = SIMILARITY) -> DataFrame:
-    """Components of near duplicates; one row per input row.
-
-    Input: ``doc_id, text``; other columns are dropped. Output: ``doc_id, n_shingles,
-    component_id`` (smallest id reachable), ``kept`` (``doc_id = component_id``). A null, empty
-    or blank text has no shingles and is linked with nothing. Equal texts are linked, also
-    under one id; such repeated rows are all kept. A row with a null id is linked to others by
-    equal texts only, and has component null if there is no id. Of unlike texts under one id
-    only the smallest is linked by similarity. An empty table gives no rows.
-
-    Links are exact on 64-bit shingle hashes; a pair is missed only if fewer than ``MATCHES``
-    coordinates agree (see above).
-    """
-    signed = staged(signatures(documents), "signatures")
+def _judged(documents: DataFrame, percent: int) -> DataFrame:
+    """Rows of :func:`near_duplicates` with the hash of their text."""
+    scratch = Scratch(documents.sparkSession, "minhash")
+    signed = scratch.kept(signatures(documents), "signatures")
     members = signed.filter("digest IS NOT NULL")
-    classes = staged(
-        members.groupBy("digest").agg(
-            F.min("doc_id").alias("doc_id"),
-            F.first("n_shingles").alias("n_shingles"),
-            F.first("signature").alias("signature"),
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+    grouped = members.groupBy("digest").agg(
+        first.alias("row"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("signature").alias("signature"),
+    )
+    classes = scratch.staged(
+        grouped.select(
+            "digest",
+            F.col("row.doc_id").alias("id"),
+            F.col("row.text_hash").alias("text_hash"),
+            "n_shingles",
+            "signature",
+            F.monotonically_increasing_id().alias("number"),
         ),
         "classes",
     )
-    usable = classes.filter("doc_id IS NOT NULL")
-    posted = staged(shared_values(usable), "postings")
-    sets = staged(sets_of(documents, posted.select("doc_id").distinct()), "shingles")
-    links = staged(confirmed(leader_links(posted, usable), sets, percent), "links")
-    labels = staged(components(links), "labels")
-    more = staged(
-        remaining_links(posted, usable, labels, sets, percent=percent), "links"
+    usable = numbered(classes, scratch)
+    posted = scratch.staged(shared_values(usable), "postings")
+    wanted = usable.select("doc_id", "id", "text_hash").join(
+        posted.select("doc_id").distinct(), "doc_id", "left_semi"
+    )
+    sets = scratch.staged(sets_of(documents, wanted), "shingles")
+    links = scratch.staged(confirmed(leader_links(posted, usable), sets, percent), "links")
+    labels = scratch.staged(components(links), "labels")
+    more = remaining_links(posted, usable, labels, sets, scratch, percent=percent)
+    more = scratch.staged(more, "links")
+    labels = scratch.staged(components(links.unionByName(more)), "components")
+    # ids of classes numbered apart; where they are linked, the component may have a smaller one
+    apart = usable.filter(F.col("doc_id") > LARGEST - MOST_CLASSES).select("doc_id", "id")
+    apart = apart.join(labels, F.col("doc_id") == F.col("node"))
+    smallest = apart.groupBy("component").agg(F.min("id").alias("apart_id"))
+    smallest = scratch.staged(smallest.withColumnRenamed("component", "of"), "apart")
+    plain = F.when(F.col("component") <= LARGEST - MOST_CLASSES, F.col("component"))
+    named = labels.join(smallest, F.col("component") == F.col("of"), "left").select(
+        "node", F.least(plain, F.col("apart_id")).alias("component_id")
     )
-    labels = components(links.unionByName(more))
-    component = F.coalesce("component", "class_id")
-    by_class = classes.select("digest", F.col("doc_id").alias("class_id")).join(
-        labels, F.col("class_id") == F.col("node"), "left"
-    ).select("digest", component.alias("component_id"))
-    found = signed.select("doc_id", "n_shingles", "digest").join(by_class, "digest", "left")
+    own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    by_class = scratch.kept(
+        usable.select("digest", "doc_id", "id")
+        .join(named, F.col("doc_id") == F.col("node"), "left")
+        .select("digest", own.alias("component_id")),
+        "labels",
+    )
+    scratch.close()
+    found = signed.select("doc_id", "text_hash", "n_shingles", "digest")
+    found = found.join(by_class, "digest", "left")
     component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(
         F.col("component_id")
     )
     return found.select(
         "doc_id",
+        "text_hash",
         "n_shingles",
         component_id.alias("component_id"),
         F.col("doc_id").eqNullSafe(component_id).alias("kept"),
     )
 
 
+def near_duplicates(documents: DataFrame, percent: int = SIMILARITY) -> DataFrame:
+    """Components of near duplicates; one row per input row.
+
+    Input: ``doc_id, text``; other columns are dropped. Output: ``doc_id, n_shingles,
+    component_id`` (smallest id reachable), ``kept`` (``doc_id = component_id``). A null, empty
+    or blank text has no shingles and is linked with nothing. Equal texts are linked, also
+    under one id; such repeated rows are all kept. Unlike texts under one id, and rows without
+    an id, are linked each for itself; a component without any id has component null, and its
+    rows are all kept. An empty table gives no rows.
+
+    Links are exact on 64-bit shingle hashes; a pair is missed only if fewer than ``MATCHES``
+    coordinates agree (see above).
+    """
+    return _judged(documents, percent).drop("text_hash")
+
+
 def drop_duplicates(documents: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """The rows of ``documents`` that :func:`near_duplicates` keeps, with all their columns.
 
-    Only rows that go are looked up, by id: a row goes if its id belongs to a component with a
-    smaller one. Rows with a null id stay.
+    Only rows that go are looked up, by id and text: another text under the same id stays.
+    Rows with a null id stay.
     """
-    judged = near_duplicates(documents, percent)
-    gone = judged.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    judged = _judged(documents, percent).filter("NOT kept AND doc_id IS NOT NULL")
+    gone = judged.select("doc_id", "text_hash").distinct()
+    rows = documents.select("*", F.xxhash64("text").alias("q_text_hash"))
+    same = (rows["doc_id"].cast("bigint") == gone["doc_id"]) & (
+        rows["q_text_hash"] == gone["text_hash"]
+    )
+    return rows.join(gone, same, "left_anti").select(*(rows[c] for c in documents.columns))

@@ -27,7 +27,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 class Scratch:
     """Tables written between the jobs of one run, in a folder of their own.
 
-    ``close`` removes those that nothing returned still reads; pass the others to ``keep``.
+    ``close`` removes those that nothing returned still reads.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -44,9 +44,13 @@ class Scratch:
     def kept(self, df: DataFrame, label: str) -> DataFrame:
         """As ``staged``, for a table that the result of the run reads."""
         out = self.staged(df, label)
-        self._paths.pop()
+        self.keep_last()
         return out
 
+    def keep_last(self) -> None:
+        """The result reads the table that was staged last."""
+        self._paths.pop()
+
     def close(self) -> None:
         for path in self._paths:
             remove_dir(self.spark, path)
