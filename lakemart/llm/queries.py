@@ -109,6 +109,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *counts,
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
     )
 
 

@@ -155,7 +155,8 @@ def classify(documents: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
     ``posterior`` is the chance of being good from the votes, ``score`` that of the linear
     scorer; a document is kept if its score is at least ``keep_from``. Where there is no
     scorer, the posterior stands for the score. A null or empty text has the shape of an empty
-    word. Repeated rows get the same result each. An empty table gives no rows.
+    word. Repeated rows get the same result each. Rows without an id are scored but never
+    fitted on. An empty table gives no rows.
     """
     names = [f"vote_{name}" for name in LABELLERS]
     whole = voted(documents, whole=True)

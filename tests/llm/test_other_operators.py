@@ -211,6 +211,62 @@ def test_accuracies_are_recovered(spark):
     assert all(abs(found.right[n] - c) < 0.05 for n, c in chance.items())
 
 
+def plain_accuracies(votes, rounds=weak_labels.ROUNDS):
+    """Expectation-maximisation document by document; None is no vote."""
+    names = len(votes[0])
+    good, right = 0.8, [0.9] * names
+
+    def chance(row):
+        sides = []
+        for truth in (0, 1):
+            p = good if truth else 1 - good
+            for k, vote in enumerate(row):
+                if vote is not None:
+                    p *= right[k] if vote == truth else 1 - right[k]
+            sides.append(p)
+        return sides[1] / sum(sides)
+
+    for _ in range(rounds):
+        share = [chance(row) for row in votes]
+        good = (sum(share) + 8) / (len(votes) + 10)
+        fresh = []
+        for k in range(names):
+            cast = [(row[k], p) for row, p in zip(votes, share) if row[k] is not None]
+            agreed = sum(p if vote else 1 - p for vote, p in cast)
+            fresh.append(min(max((agreed + 9) / (len(cast) + 10), 0.5), 0.999))
+        right = fresh
+    return good, right, [chance(row) for row in votes]
+
+
+def plain_scorer(features, posterior, rounds=400):
+    """Logistic regression by gradient descent on soft labels; its scores."""
+    x = np.hstack([features, np.ones((len(features), 1))])
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= 4 * (x.T @ (p - posterior)) / len(x)
+    return 1 / (1 + np.exp(-x @ w))
+
+
+def test_weak_labels_equal_a_plain_fit(spark):
+    docs = table(spark, SMALL, "documents")
+    names = [f"vote_{n}" for n in weak_labels.LABELLERS]
+    votes = weak_labels.voted(docs).select("doc_id", *names).collect()
+    good, right, chances = plain_accuracies([tuple(r)[1:] for r in votes])
+    found = weak_labels.estimate(weak_labels.voted(docs))
+    assert found.good == pytest.approx(good, rel=1e-6)
+    assert [*found.right.values()] == pytest.approx(right, rel=1e-6)
+    judged = {r.doc_id: r for r in weak_labels.classify(docs).collect()}
+    for row, chance in zip(votes, chances):
+        assert judged[row.doc_id].posterior == pytest.approx(chance, rel=1e-5)
+    hashed = weak_labels.hashed(docs.select("doc_id", "text")).collect()
+    features = np.array([r.features.toArray() for r in hashed])
+    posterior = np.array([judged[r.doc_id].posterior for r in hashed])
+    plain = plain_scorer(features, posterior) >= 0.5
+    agree = sum(judged[r.doc_id].kept == k for r, k in zip(hashed, plain))
+    assert agree >= 0.98 * len(hashed)
+
+
 def test_trees_are_compiled(spark):
     tree = ["If (feature 0 <= 1.5)", " Predict: -1.0", "Else (feature 0 > 1.5)"]
     tree += [" If (feature 1 <= 0.0)", "  Predict: 0.25", " Else (feature 1 > 0.0)", "  Predict: 2"]
