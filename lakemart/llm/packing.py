@@ -8,29 +8,26 @@ the tightest room, which a segment tree over remaining capacities finds.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.llm.words import slices, text_array
+from lakemart.llm.words import Words, slices, text_array
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 WINDOW = 4096
 GROUP_DOCUMENTS = 4096
 
-_SPLIT = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-_CACHED = 400_000
+_CACHED = 800_000
 _JOINED = 1000
-_SLICE_BYTES = 16 << 20
+_SLICE_BYTES = 8 << 20
 
 # Letters, marks, digits, case, blanks and special tokens: what may tell a text from its words.
 _PROBE = (
@@ -39,6 +36,68 @@ _PROBE = (
 )
 
 
+def _byte_classes() -> np.ndarray:
+    """0 blank, 1 letter, 2 punctuation but the apostrophe, 3 any other byte."""
+    out = np.full(256, 3, np.uint8)
+    for byte in range(33, 127):
+        if not chr(byte).isdigit() and byte != ord("'"):
+            out[byte] = 1 if chr(byte).isalpha() else 2
+    out[[9, 10, 11, 12, 13, 32]] = 0
+    return out
+
+
+_CLASSES = _byte_classes()
+_LEAD, _TIMES, _DIVIDED = 0xC3, 0x97, 0xB7  # lead byte of U+00C0 to U+00FF; two are no letters
+
+
+class Units:
+    """Parts of texts that are encoded on their own, lower-cased where they are Latin letters.
+
+    A word of Latin letters and then punctuation is two parts, any other word is one.
+    ``distinct`` holds the parts, ``letters`` tells which are letters only, ``at`` their order in
+    all texts, ``first`` the first part of each text.
+    """
+
+    def __init__(self, texts: pa.Array):
+        words = Words(texts)
+        data, starts = words.data, words.starts
+        kind = _CLASSES[data]
+        lead = np.flatnonzero(data[:-1] == _LEAD) if len(data) else np.empty(0, np.int64)
+        follow = data[lead + 1]
+        latin = lead[(follow != _TIMES) & (follow != _DIVIDED)]
+        kind[latin] = kind[latin + 1] = 1
+        low = np.where((data >= 65) & (data <= 90), data | 32, data)
+        large = lead[(follow >= 0x80) & (follow <= 0x9E) & (follow != _TIMES)]
+        low[large + 1] += 0x20
+
+        inner = np.ones(len(data), bool)
+        inner[starts] = False
+        before = np.concatenate((np.zeros(1, np.uint8), kind[:-1])) if len(data) else kind
+        spoilt = (kind == 3) | (inner & (before == 2) & (kind == 1))
+        seen = np.concatenate(([0], np.cumsum(spoilt, dtype=np.int32)))
+        plain = (seen[words.ends] == seen[starts]) & (kind[starts] == 1)
+        cuts = np.flatnonzero(inner & (before == 1) & (kind == 2))
+        cuts = cuts[plain[np.searchsorted(starts, cuts, "right") - 1]] if len(cuts) else cuts
+        begins = np.sort(np.concatenate((starts, cuts)))
+        own = plain[np.searchsorted(starts, begins, "right") - 1] if len(starts) else plain
+        is_letters = own & (kind[begins] == 1)
+
+        filled = kind != 0
+        place = np.concatenate(([0], np.cumsum(filled, dtype=np.int32)))
+        offsets = np.append(place[begins], place[-1]).astype(np.int64)
+        coded = pa.Array.from_buffers(
+            pa.large_string(),
+            len(begins),
+            [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(low[filled].tobytes())],
+        ).dictionary_encode()
+        self.distinct: list[str] = coded.dictionary.to_pylist()
+        self.at = coded.indices.to_numpy(False)
+        self.letters = np.zeros(len(self.distinct), bool)
+        self.letters[self.at] = is_letters
+        bounds = np.append(starts, len(data))[words.first]
+        self.first = np.searchsorted(begins, bounds)
+
+
 class WordEncoder:
     """Encodes words, each distinct one once as long as it is remembered.
 
@@ -59,8 +118,7 @@ class WordEncoder:
         for token, number in self.tokenizer.get_vocab().items():
             if number < size:
                 self.ends[number] = token.endswith("</w>")
-        self.known: dict[str, bytes] = {"": b""}
-        self.whole: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.by_words = True
         probe = [_PROBE, _PROBE.upper(), " " + _PROBE, "word", ""]
         ids, counts = self.texts(pa.array(probe, pa.large_string()))
@@ -74,9 +132,7 @@ class WordEncoder:
         return [np.array(e.ids, "<u4") for e in found]
 
     def _learn(self, letters: set[str], others: set[str]) -> None:
-        if len(self.known) > _CACHED:
-            self.known = {"": b""}
-        words = sorted(letters - self.known.keys())
+        words = sorted(letters)
         for start in range(0, len(words), _JOINED):
             part = words[start : start + _JOINED]
             (ids,) = self._encode([" ".join(part)])
@@ -87,40 +143,20 @@ class WordEncoder:
             cuts = [0, *(stops * 4).tolist()]
             packed = ids.tobytes()
             self.known.update(zip(part, (packed[a:b] for a, b in zip(cuts, cuts[1:]))))
-        rest = sorted(others - self.known.keys())
+        rest = sorted(others)
         self.known.update(zip(rest, (ids.tobytes() for ids in self._encode(rest))))
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """Packed ids of each word."""
-        whole = self.whole
-        unseen = [w for w in words if w not in whole]
-        if unseen:
-            if len(whole) + len(unseen) > _CACHED:
-                whole.clear()
-                unseen = words
-            whole.update(zip(unseen, self._taken_apart(unseen)))
-        return [whole[w] for w in words]
-
-    def _taken_apart(self, words: list[str]) -> list[bytes]:
-        """Packed ids of words that are not remembered."""
-        parts: list[tuple[str, str]] = []
-        letters: set[str] = set()
-        others: set[str] = set()
-        for word in words:
-            found = _SPLIT.fullmatch(word)
-            if found:
-                pair = found[1].lower(), found[2]
-                letters.add(pair[0])
-                others.add(pair[1])
-            else:
-                pair = word, ""
-                others.add(word)
-            parts.append(pair)
-        if len(self.known) + len(letters) + len(others) > _CACHED:
-            self.known = {"": b""}
-        self._learn(letters, others)
+    def parts(self, distinct: list[str], letters: np.ndarray) -> list[bytes]:
+        """Packed ids of each part; those of letters only are encoded many at once."""
         known = self.known
-        return [known[a] + known[b] for a, b in parts]
+        unseen = [k for k, part in enumerate(distinct) if part not in known]
+        if len(known) + len(unseen) > _CACHED:
+            known.clear()
+            unseen = [*range(len(distinct))]
+        if unseen:
+            fresh = {distinct[k] for k in unseen if letters[k]}
+            self._learn(fresh, {distinct[k] for k in unseen if not letters[k]})
+        return [known[part] for part in distinct]
 
     def texts(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, each followed by ``end``, and the number of ids of each."""
@@ -129,21 +165,19 @@ class WordEncoder:
             found = [ids.tobytes() + last for ids in self._encode(texts.to_pylist())]
             counts = np.array([len(f) // 4 for f in found], np.int64)
             return np.frombuffer(b"".join(found), "<u4"), counts
-        lists = pc.ascii_split_whitespace(texts)
-        coded = lists.flatten().dictionary_encode()
-        packed = self.words(coded.dictionary.to_pylist())
+        units = Units(texts)
+        packed = self.parts(units.distinct, units.letters)
         packed.append(last)
         sizes = np.array([len(p) // 4 for p in packed], np.int64)
         ids = np.frombuffer(b"".join(packed), "<u4")
         begins = np.cumsum(sizes) - sizes
-        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        words = np.insert(coded.indices.to_numpy(False), bounds[1:], len(packed) - 1)
-        lengths = sizes[words]
+        parts = np.insert(units.at, units.first[1:], len(packed) - 1)
+        lengths = sizes[parts]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(begins[words] - (ends - lengths), lengths)
+        at = np.repeat(begins[parts] - (ends - lengths), lengths)
         at += np.arange(total)
-        held = np.concatenate(([0], ends))[bounds + np.arange(len(bounds))]
+        held = np.concatenate(([0], ends))[units.first + np.arange(len(units.first))]
         return ids[at], np.diff(held)
 
 

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -128,6 +129,28 @@ def test_blocks_of_long_lists(spark, monkeypatch):
     assert cases.as_tuples(got, ["doc_id", "n_shingles", "component_id", "kept"]) == want
 
 
+def test_unlike_texts_under_one_id_keep_their_links(spark):
+    a, b, c = (cases.prose(s, 60).split() for s in (31, 32, 33))
+
+    def near(words, at):
+        return " ".join([*words[:at], "other", *words[at + 1 :]])
+
+    rows = [(1, " ".join(a)), (2, near(a, 20)), (2, " ".join(b))]
+    rows += [(3, near(b, 9)), (1, near(c, 5)), (4, " ".join(c)), (4, near(c, 50))]
+    rows += [(None, near(a, 40)), (None, "no id, and like no other text at all"), (None, "same " * 9)]
+    rows += [(9, "x y z"), (9, "x y z"), (9, "p q r"), (8, near(b, 55)), (5, "same " * 9)]
+    want = cases.near_groups(rows)
+    documents = cases.documents(spark, rows, "text_hash q_text id node").repartition(4)
+    got = minhash.near_duplicates(documents)
+    columns = ["doc_id", "n_shingles", "component_id", "kept"]
+    assert cases.as_tuples(got, columns) == sorted(want, key=repr)
+    assert [w[2] for w in want[:7]] == [1, 1, 2, 2, 1, 1, 1]
+    left = [(r.doc_id, r.text) for r in minhash.drop_duplicates(documents).collect()]
+    stay = [row for row, w in zip(rows, want) if w[3] or row[0] is None]
+    assert sorted(left, key=repr) == sorted(stay, key=repr)
+    assert (2, " ".join(b)) in left and (2, near(a, 20)) not in left
+
+
 def test_near_duplicates_dropped(spark, awkward, empty):
     left = minhash.drop_duplicates(awkward)
     assert left.columns == awkward.columns
@@ -290,6 +313,31 @@ def test_packing(spark, empty):
     assert packing.pack(packing.tokenize(empty), 0).count() == 0
 
 
+ODD_WORDS = (
+    "A!b x!!y É!È ×a÷ a× don't! O'Neil's …a a… Ünï!code? Å! ÅNGSTRÖM!! İstanbul! ſ! ΣΑΣ! a\x00b "
+    "a\u00a0b! <|endoftext|> !!!a a-b-c A1! 1a! a!1 ß! ẞ! \u200ba! 日本! ça!va? Ç 'a a' ÿ!ÿ word.. "
+    "(word) word) e\u0301! 😀! a😀!"
+).split(" ")
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_those_of_the_library(name):
+    """Also of a tokenizer whose words cannot be encoded apart."""
+    path = public_tokenizers.path(name)
+    encoder = packing.WordEncoder(path)
+    assert encoder.by_words == (name == "word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    texts = [t or "" for _, t in cases.awkward() if len(t or "") < 200_000] + ODD_WORDS
+    texts += [" ".join(ODD_WORDS), "".join(ODD_WORDS), "\n\t".join(ODD_WORDS * 3), "", " "]
+    for _ in range(2):  # the second time from memory
+        ids, counts = encoder.texts(pa.array(texts, pa.large_string()), 7)
+        ends = np.cumsum(counts)
+        for k, text in enumerate(texts):
+            wanted = plain.encode(text, add_special_tokens=False).ids + [7]
+            assert ids[ends[k] - counts[k] : ends[k]].tolist() == wanted, text[:50]
+
+
 def check_packed(rows, pieces, window):
     tokenizer = Tokenizer.from_file(packing.TOKENIZER)
     tokenizer.encode_special_tokens = True
