@@ -1,8 +1,10 @@
 """Exact interpolated percentiles whose state stays bounded at any row count.
 
-The built-in ``percentile`` keeps one counter per distinct value in one final task. Here the
-position is found by narrowing a value prefix: each pass counts rows per next group of bits,
-so a task never holds more than ``2 ** BITS`` counters per wanted position, whatever the skew.
+The built-in ``percentile`` keeps one counter per distinct value in one final task. Here one
+pass counts rows per value without its low ``BITS`` bits. The wanted positions are narrowed on
+these counters by groups of bits, never with more than ``2 ** BITS`` rows per position at once,
+and one more pass looks at the rows around each position. The counters add up, so they can be
+kept and merged with those of new rows.
 """
 
 from __future__ import annotations
@@ -16,18 +18,33 @@ BITS = 15
 PASSES = 4
 
 
-def exact_percentiles(df: DataFrame, value: Column, fractions: Sequence[float]) -> DataFrame:
+def value_counters(df: DataFrame, value: Column) -> DataFrame:
+    """``low, n``: rows per whole-number ``value`` without its low bits; nulls don't count."""
+    low = F.shiftright(value.cast("bigint"), BITS).alias("low")
+    return df.where(value.isNotNull()).groupBy(low).agg(F.count("*").alias("n"))
+
+
+def exact_percentiles(
+    df: DataFrame,
+    value: Column,
+    fractions: Sequence[float],
+    counters: DataFrame | None = None,
+) -> DataFrame:
     """One row with ``percentiles array<double>`` for a whole-number ``value``.
 
-    Nulls don't count; without any value the array is null.
+    Nulls don't count; without any value the array is null. ``counters``, those of
+    :func:`value_counters` for the same rows, spare the first of two passes; several rows for
+    one ``low`` add up.
     """
     values = df.select(value.cast("bigint").alias("value")).where(F.col("value").isNotNull())
+    if counters is None:
+        counters = value_counters(values, F.col("value"))
     running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
     everything = running.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
-    shift = BITS * (PASSES - 1)
-    counts = values.groupBy(F.shiftright("value", shift).alias("prefix")).agg(
-        F.count("*").alias("n")
+    shift = BITS * (PASSES - 2)  # of a value without its low bits
+    counts = counters.groupBy(F.shiftright("low", shift).alias("prefix")).agg(
+        F.sum("n").alias("n")
     )
     counts = counts.select(
         "prefix",
@@ -51,18 +68,10 @@ def exact_percentiles(df: DataFrame, value: Column, fractions: Sequence[float])
             )
     found = _hit(counts.select("*", F.inline(F.array(*positions))))
 
-    for level in range(PASSES - 2, -1, -1):
+    for level in range(PASSES - 3, -1, -1):
         outer, shift = shift, BITS * level
-        # two rows per fraction by construction, so the broadcast is bounded
-        counts = (
-            values.join(F.broadcast(found), F.shiftright("value", outer) == F.col("prefix"))
-            .groupBy("slot", "side", "rank", "weight", F.shiftright("value", shift).alias("next"))
-            .agg(F.count("*").alias("n"))
-            .withColumnRenamed("next", "prefix")
-        )
-        per_slot = Window.partitionBy("slot", "side").orderBy("prefix")
-        per_slot = per_slot.rowsBetween(Window.unboundedPreceding, 0)
-        found = _hit(counts.withColumn("upto", F.sum("n").over(per_slot)))
+        found = _narrowed(counters, "low", outer, F.shiftright("low", shift), F.sum("n"), found)
+    found = _narrowed(values, "value", BITS, F.col("value"), F.count("*"), found)
 
     ends = found.groupBy("slot").agg(
         F.max(F.when(F.col("side") == 0, F.col("prefix"))).alias("low"),
@@ -75,6 +84,22 @@ def exact_percentiles(df: DataFrame, value: Column, fractions: Sequence[float])
     return ends.agg(found.alias("percentiles"))
 
 
+def _narrowed(
+    rows: DataFrame, value: str, outer: int, prefix: Column, count: Column, found: DataFrame
+) -> DataFrame:
+    """The next, longer prefix of each position, among the rows that have the one found."""
+    # two rows per fraction by construction, so the broadcast is bounded
+    counts = (
+        rows.join(F.broadcast(found), F.shiftright(value, outer) == F.col("prefix"))
+        .groupBy("slot", "side", "rank", "weight", prefix.alias("next"))
+        .agg(count.alias("n"))
+        .withColumnRenamed("next", "prefix")
+    )
+    per_slot = Window.partitionBy("slot", "side").orderBy("prefix")
+    per_slot = per_slot.rowsBetween(Window.unboundedPreceding, 0)
+    return _hit(counts.withColumn("upto", F.sum("n").over(per_slot)))
+
+
 def _hit(counts: DataFrame) -> DataFrame:
     """The prefix holding each wanted rank, with the rank counted from its first row."""
     before = F.col("upto") - F.col("n")

@@ -1,12 +1,15 @@
 """Column profile of any result: what each column is good for in a chart.
 
-One aggregate pass with bounded state per column, whatever the size of the result; the
-state of all tasks is merged in two rounds.
+One aggregate pass with bounded state per column, whatever the size of the result. Its parts,
+counts and sketches by column, add up: over the tasks of a pass, over several results at once,
+and over loads whose parts were kept, so that a profile of all of them reads no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,18 +49,13 @@ def _declared_class(kind: T.DataType) -> str:
     return TEXT
 
 
-def profile(df: DataFrame, result: str = "result") -> DataFrame:
-    """One row per column of ``df``.
+STRING = "string"
+PART_KEY = ["result_id", "position", "column_name", "dtype", "declared", "num_cols"]
 
-    ``result_id, position, column_name, dtype, column_class, num_rows, num_cols,
-    label_length``. A string column is a date if most values parse, a category if it has
-    fewer than 50 values and fewer than half as many as rows, else text. An empty result
-    has no classes and no columns to offer. The rows are written as SQL text: a result may
-    have hundreds of columns, and one expression each would be slow to build.
-    """
+
+def _parts_of(df: DataFrame, result: str) -> DataFrame:
     strings = [i for i, field in enumerate(df.schema) if _is_string(field.dataType)]
     facts = [F.expr("count(*) AS num_rows")]
-    merged = ["coalesce(sum(num_rows), 0) AS num_rows"]
     for i in strings:
         name = "`" + df.columns[i].replace("`", "``") + "`"
         facts += [
@@ -66,34 +64,98 @@ def profile(df: DataFrame, result: str = "result") -> DataFrame:
             F.expr(f"count({name}) AS values{i}"),
             F.expr(f"max(length({name})) AS longest{i}"),
         ]
-        merged += [
-            f"theta_sketch_estimate(theta_union_agg(sketch{i}, {SKETCH_BITS})) AS distinct{i}",
-            f"sum(dates{i}) / nullif(sum(values{i}), 0) AS dates{i}",
-            f"max(longest{i}) AS longest{i}",
-        ]
     # without text columns there are no sketches to merge
-    grouped = df.groupBy(spread()) if strings else df
-    measured = grouped.agg(*facts).selectExpr(*merged)
-
-    entries = []
-    for i, field in enumerate(df.schema):
-        if i in strings:
-            kind = (
-                f"CASE WHEN dates{i} > {DATE_SHARE} THEN '{DATETIME}' "
-                f"WHEN distinct{i} < num_rows * {CATEGORY_SHARE} AND distinct{i} < {VALUE_LIMIT} "
-                f"THEN '{CATEGORICAL}' ELSE '{TEXT}' END"
+    measured = (df.groupBy(spread()) if strings else df).agg(*facts)
+
+    def entries(num_rows: str, measured_too: bool) -> str:
+        made = []
+        for i, field in enumerate(df.schema):
+            own = i in strings and measured_too
+            kind = STRING if i in strings else _declared_class(field.dataType)
+            made.append(
+                f"struct({_literal(result)} AS result_id, {i} AS position, "
+                f"{_literal(field.name)} AS column_name, "
+                f"{_literal(field.dataType.simpleString())} AS dtype, "
+                f"'{kind}' AS declared, {len(df.columns)} AS num_cols, "
+                f"{num_rows} AS num_rows, "
+                f"CAST({f'dates{i}' if own else 'NULL'} AS bigint) AS num_dates, "
+                f"CAST({f'values{i}' if own else 'NULL'} AS bigint) AS num_values, "
+                f"CAST({f'longest{i}' if own else 'NULL'} AS int) AS longest, "
+                f"CAST({f'sketch{i}' if own else 'NULL'} AS binary) AS sketch)"
             )
-            longest = f"longest{i}"
-        else:
-            kind, longest = f"'{_declared_class(field.dataType)}'", "CAST(NULL AS INT)"
-        entries.append(
-            f"struct({_literal(result)} AS result_id, {i} AS position, "
-            f"{_literal(field.name)} AS column_name, "
-            f"{_literal(field.dataType.simpleString())} AS dtype, "
-            f"IF(num_rows > 0, {kind}, NULL) AS column_class, num_rows, "
-            f"IF(num_rows > 0, {len(df.columns)}, 0) AS num_cols, {longest} AS label_length)"
-        )
-    return measured.selectExpr(f"inline(array({', '.join(entries)}))")
+        return f"inline(array({', '.join(made)}))"
+
+    parts = measured.selectExpr(entries("num_rows", True))
+    # a result without rows has columns, too
+    return parts.unionAll(df.sparkSession.sql(f"SELECT {entries('0L', False)}"))
+
+
+def _merged(parts: DataFrame, sketch: str) -> DataFrame:
+    return parts.groupBy(*PART_KEY).agg(
+        *(F.sum(c).alias(c) for c in ("num_rows", "num_dates", "num_values")),
+        F.max("longest").alias("longest"),
+        F.expr(sketch),
+    )
+
+
+def profile_parts(df: DataFrame, result: str = "result") -> DataFrame:
+    """What adds up to the profile of ``df``: one row per column, with a sketch of its values.
+
+    The rows are written as SQL text: a result may have hundreds of columns, and one
+    expression each would be slow to build.
+    """
+    return _merged(_parts_of(df, result), f"theta_union_agg(sketch, {SKETCH_BITS}) AS sketch")
+
+
+def profile_of(parts: DataFrame) -> DataFrame:
+    """One row per result and column from the parts of some results or loads.
+
+    ``result_id, position, column_name, dtype, column_class, num_rows, num_cols,
+    label_length``. A string column is a date if most values parse, a category if it has
+    fewer than 50 values and fewer than half as many as rows, else text. An empty result
+    has no classes and no columns to offer.
+    """
+    union = f"theta_sketch_estimate(theta_union_agg(sketch, {SKETCH_BITS})) AS different"
+    kind = (
+        f"CASE WHEN declared <> '{STRING}' THEN declared "
+        f"WHEN num_dates / nullif(num_values, 0) > {DATE_SHARE} THEN '{DATETIME}' "
+        f"WHEN different < num_rows * {CATEGORY_SHARE} AND different < {VALUE_LIMIT} "
+        f"THEN '{CATEGORICAL}' ELSE '{TEXT}' END"
+    )
+    return _merged(parts, union).selectExpr(
+        "result_id",
+        "position",
+        "column_name",
+        "dtype",
+        f"IF(num_rows > 0, {kind}, NULL) AS column_class",
+        "num_rows",
+        "IF(num_rows > 0, num_cols, 0) AS num_cols",
+        "longest AS label_length",
+    )
+
+
+def profile(df: DataFrame, result: str = "result") -> DataFrame:
+    """The profile of one result; see :func:`profile_of`."""
+    return profiles({result: df})
+
+
+def profiles(results: dict[str, DataFrame]) -> DataFrame:
+    """The profiles of several results, merged in one aggregate."""
+    return profile_of(reduce(DataFrame.unionAll, (_parts_of(df, r) for r, df in results.items())))
+
+
+def keep_profile(df: DataFrame, result: str, target: str, load: str) -> None:
+    """Keep the parts of a load of rows; a load of the same name is replaced."""
+    parts = profile_parts(df, result)
+    parts.drop("result_id").write.mode("overwrite").parquet(
+        f"{target}/result_id={result}/load={load}"
+    )
+
+
+def kept_profile(spark: SparkSession, target: str) -> DataFrame:
+    """The profile of all kept loads, from their parts alone."""
+    parts = spark.read.option("basePath", target).parquet(f"{target}/result_id=*/load=*")
+    return profile_of(parts.withColumn("result_id", F.col("result_id").cast("string")))
 
 
 def result_flags(profiles: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemart.operators.keyfilter import key_filter, may_hold
+
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """The first row of each key in a stated order.
@@ -19,14 +21,30 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[str | Column]) -
 
 
 def absent_rows(
-    target: DataFrame, incoming: DataFrame, keys: list[str], order: list[str | Column]
+    target: DataFrame,
+    incoming: DataFrame,
+    keys: list[str],
+    order: list[str | Column],
+    prefilter: bool = False,
 ) -> DataFrame:
-    """Incoming rows to insert: one per key, and only for keys the target does not have."""
-    return first_per_key(incoming, keys, order).join(target.select(*keys), keys, "left_anti")
+    """Incoming rows to insert: one per key, and only for keys the target does not have.
+
+    With ``prefilter`` the target's keys first pass a bounded filter over the incoming ones, so
+    that few of a large target's rows are shuffled; the incoming keys are read twice.
+    """
+    held = target.select(*keys)
+    if prefilter:
+        held = may_hold(held, keys, key_filter(incoming, keys))
+    return first_per_key(incoming, keys, order).join(held, keys, "left_anti")
 
 
 def insert_absent(
-    target: DataFrame, incoming: DataFrame, keys: list[str], order: list[str | Column]
+    target: DataFrame,
+    incoming: DataFrame,
+    keys: list[str],
+    order: list[str | Column],
+    prefilter: bool = False,
 ) -> DataFrame:
     """The target after the insert; existing rows are never changed."""
-    return target.unionByName(absent_rows(target, incoming, keys, order).select(*target.columns))
+    absent = absent_rows(target, incoming, keys, order, prefilter)
+    return target.unionByName(absent.select(*target.columns))

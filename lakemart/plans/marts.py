@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakemart.functions.calendar import day
 from lakemart.functions.money import TOTAL, exact_sum, half_up_average, price, units
 from lakemart.operators.percentiles import exact_percentiles
-from lakemart.session import new_dir, remove_dir
+from lakemart.session import remove_dir
 from lakemart.sources.tables import read_table
 
 VIP_FRACTION = 0.80
@@ -43,6 +43,11 @@ def customer_totals(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.min("o_orderdate").cast("date").alias("first_order_date"),
         F.max("o_orderdate").cast("date").alias("last_order_date"),
     )
+    return described_customers(totals, customer)
+
+
+def described_customers(totals: DataFrame, customer: DataFrame) -> DataFrame:
+    """Totals by ``o_custkey`` with the columns of the mart."""
     key = F.col("c_custkey")
     return totals.join(customer, totals.o_custkey == customer.c_custkey).select(
         key.alias("customer_id"),
@@ -56,14 +61,23 @@ def customer_totals(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-def with_segment(totals: DataFrame) -> DataFrame:
-    """VIP from the 80th percentile of lifetime value, Regular from the 24th, else New."""
-    in_cents = (F.col("lifetime_value") * 100).cast("bigint")
-    cuts = exact_percentiles(totals, in_cents, [VIP_FRACTION, REGULAR_FRACTION])
-    value = in_cents.cast("double")
+
+def in_cents() -> Column:
+    return (F.col("lifetime_value") * 100).cast("bigint")
+
+
+def with_segment(totals: DataFrame, counters: DataFrame | None = None) -> DataFrame:
+    """VIP from the 80th percentile of lifetime value, Regular from the 24th, else New.
+
+    The cuts read nothing but the values; their two passes share one shuffle of the totals.
+    ``counters``, where they are kept, spare the first pass.
+    """
+    fractions = [VIP_FRACTION, REGULAR_FRACTION]
+    cuts = exact_percentiles(totals, in_cents(), fractions, counters).scalar()
+    value = in_cents().cast("double")
     segment = (
-        F.when(value >= cuts.select(F.col("percentiles")[0]).scalar(), F.lit("VIP"))
-        .when(value >= cuts.select(F.col("percentiles")[1]).scalar(), F.lit("Regular"))
+        F.when(value >= cuts[0], F.lit("VIP"))
+        .when(value >= cuts[1], F.lit("Regular"))
         .otherwise(F.lit("New"))
     )
     return totals.withColumn("customer_segment", segment)
@@ -87,6 +101,11 @@ def product_performance(lineitem: DataFrame, orders: DataFrame, part: DataFrame)
         .groupBy(F.col("l_partkey").alias("dated_part"))
         .agg(F.max("o_orderdate").cast("date").alias("last_sale_date"))
     )
+    return described_products(sold, dated, part)
+
+
+def described_products(sold: DataFrame, dated: DataFrame, part: DataFrame) -> DataFrame:
+    """Sums by ``sold_part`` and last days by ``dated_part`` with the columns of the mart."""
     parts = part.join(sold, F.col("p_partkey") == F.col("sold_part"), "left")
     return parts.join(dated, F.col("p_partkey") == F.col("dated_part"), "left").select(
         F.col("p_partkey").alias("product_id"),
@@ -127,10 +146,7 @@ class Marts:
 
     @cached_property
     def customers(self) -> DataFrame:
-        """Totals are read several times to place the segments, so they are written first."""
-        staged = new_dir(self.spark, "customer-totals")
-        self.customer_totals.write.parquet(staged)
-        return with_segment(self.spark.read.parquet(staged))
+        return with_segment(self.customer_totals)
 
     @cached_property
     def products(self) -> DataFrame:

@@ -341,6 +341,8 @@ def _source_sql() -> dict[str, str]:
         "s01_csv_ingest": "SELECT * FROM orders",
         "s03_change_detection": "SELECT 1 AS load_number, count(*) AS row_count FROM customer "
         "UNION ALL SELECT 2, 0",
+        "s03_stream_changes": "SELECT c_custkey, c_acctbal + c_custkey % 2 AS c_acctbal "
+        "FROM customer",
         "s04_lineage": "SELECT 'customer' AS dataset, 'bronze' AS layer, 'csv' AS format, "
         "'local_upload' AS source, count(*) AS row_count, count(*) AS traced_rows FROM customer",
         "s02_file_hashes": _hash_sql(),
@@ -375,6 +377,9 @@ FROM spine LEFT JOIN daily USING (sale_date)""",
             "FROM lineitem WHERE CAST(l_shipdate AS DATE) NOT IN "
             "(SELECT sale_date FROM sales_summary) GROUP BY 1"
         ),
+        "s16_prefiltered_insert": "SELECT o_orderkey AS l_orderkey, 3 AS l_linenumber FROM orders "
+        "WHERE o_orderpriority = '1-URGENT' AND NOT EXISTS (SELECT 1 FROM lineitem "
+        "WHERE l_orderkey = o_orderkey AND l_linenumber = 3)",
         "s17_row_counts": _all_counts(),
         "s18_sample": "SELECT * FROM customer ORDER BY c_custkey LIMIT 5",
         "s19_bound_sql": "SELECT o_orderstatus, count(*) AS order_count FROM orders "
@@ -429,6 +434,12 @@ def _check_sql() -> dict[str, str]:
         "c06_synonym_tags": "SELECT doc_id, terms FROM ("
         + _synonyms("documents", "text", DOCUMENT_SYNONYMS)
         + ")",
+        "c06_many_tags": """
+SELECT doc_id, coalesce(string_agg(DISTINCT term, '|' ORDER BY term), '') AS terms
+FROM documents LEFT JOIN (
+  SELECT CAST(item_id AS VARCHAR) AS term, lower(array_to_string(string_split(text, ' ')[:2], ' '))
+    AS phrase FROM benchmark) ON contains(lower(documents.text), phrase)
+GROUP BY doc_id""",
         "c06_question_tags": "SELECT terms, count(*) AS questions FROM ("
         + _synonyms(f"({query_log_sql()})", "question", SYNONYMS)
         + ") GROUP BY terms",
@@ -454,6 +465,7 @@ def _chart_queries() -> dict[str, str]:
     )
     return {
         "v01_column_profile": with_marts("SELECT * FROM profiles", *profiles),
+        "v01_kept_profile": f"SELECT * FROM ({tables})",
         "v02_column_class": f"SELECT * EXCLUDE (label_length) FROM ({tables})",
         "v03_date_share": """
 SELECT count(TRY_CAST(all_dates AS TIMESTAMP))::DOUBLE / count(all_dates) AS all_dates,
@@ -554,13 +566,20 @@ FROM conversations, (SELECT unnest({words["expected"]}) AS expected) WHERE role
         ),
         "t01_suite_statistics": f"SELECT {STATISTICS} FROM ({query_log_sql()})",
         "t02_difficulty_statistics": _difficulty(),
-        "t03_session_counters": "SELECT user_id, count(*) AS total_queries, "
+        "t03_session_counters": _session_sql(),
+        "t03_followed_sessions": _session_sql(),
+    }
+
+
+def _session_sql() -> str:
+    return (
+        "SELECT user_id, count(*) AS total_queries, "
         "count(*) FILTER (success) AS successful_queries, "
         "count(*) FILTER (NOT success) AS failed_queries, "
         "CAST(sum(CAST(execution_time AS DECIMAL(18,6))) AS DOUBLE) AS total_time, "
         "CAST(sum(CAST(execution_time AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS avg_time "
-        f"FROM ({query_log_sql()}) GROUP BY user_id",
-    }
+        f"FROM ({query_log_sql()}) GROUP BY user_id"
+    )
 
 
 def _scalar_sql() -> dict[str, str]:
@@ -607,6 +626,9 @@ def all_sql() -> dict[str, str]:
         "a02_customer_stats": with_marts("SELECT * FROM customer_stats"),
         "a03_product_performance": with_marts("SELECT * FROM product_performance"),
         "a04_as_of": with_marts("SELECT as_of FROM anchor"),
+        "a01_kept_sales": with_marts("SELECT * FROM sales_summary"),
+        "a02_kept_customers": with_marts("SELECT * FROM customer_stats"),
+        "a03_kept_products": with_marts("SELECT * FROM product_performance"),
     }
     for part in (
         question_sql(),

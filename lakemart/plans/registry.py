@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,18 +12,28 @@ from lakemart.functions.calendar import day, month_start
 from lakemart.functions.money import exact_sum, half_up_average, price, units
 from lakemart.operators import charts, checks, stats
 from lakemart.operators.lattice import lattice_count
-from lakemart.operators.profile import date_share, profile, result_flags
+from lakemart.operators.phrases import with_terms
+from lakemart.operators.profile import (
+    date_share,
+    keep_profile,
+    kept_profile,
+    profiles,
+    result_flags,
+)
 from lakemart.operators.steps import SQL_TOOL, last_query
-from lakemart.operators.upsert import insert_absent
+from lakemart.operators.upsert import absent_rows, insert_absent
 from lakemart.plans.corpus import QUESTIONS, Question
+from lakemart.plans.kept_marts import KeptMarts
 from lakemart.plans.marts import Marts
 from lakemart.plans.querylog import query_log
-from lakemart.session import new_dir
+from lakemart.session import move_files, new_dir
 from lakemart.sources import bronze, series
 from lakemart.sources.federated import query_sources
 from lakemart.sources.results import save_results, write_counted
 from lakemart.sources.tables import read_table, row_counts, run_sql, sample_rows
 from lakemart.sources.versioned import VersionedTable
+from lakemart.streaming.bronze_stream import follow_changes, load_changes
+from lakemart.streaming.session_stream import follow_sessions, followed_counters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +69,15 @@ PROFILED = [
     "q44_all_sales",
 ]
 
+# Base tables whose profile is registered, and their keys.
+PROFILED_TABLES = {
+    "orders": "o_orderkey",
+    "customer": "c_custkey",
+    "documents": "doc_id",
+    "events": "event_id",
+    "part": "p_partkey",
+}
+
 # Synonyms registered on the test documents, which are not in the language of the shipped ones.
 DOCUMENT_SYNONYMS = {
     "license": ["license", "copyright"],
@@ -96,6 +114,20 @@ def _question(question: Question) -> Query:
     return lambda spark, sf_dir: question.run(Marts(spark, sf_dir))
 
 
+# marts kept up by loads
+
+
+def _kept(spark: SparkSession, sf_dir: str) -> KeptMarts:
+    """Facts in three loads, lines with their order, before or after it; one load comes twice."""
+    marts = KeptMarts(spark, new_dir(spark, "kept-marts"), sf_dir)
+    orders, lines = (read_table(spark, sf_dir, name) for name in ("orders", "lineitem"))
+    for number in (0, 1, 2, 0):
+        own = orders.where(F.col("o_orderkey") % 3 == number)
+        sold = lines.where((F.col("l_orderkey") + F.col("l_linenumber") % 2) % 3 == number)
+        marts.add(own, sold, f"load-{number}")
+    return marts
+
+
 # bronze load
 
 
@@ -154,6 +186,30 @@ def change_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(first, 1).unionByName(loaded(second, 2))
 
 
+def _land(spark: SparkSession, rows: DataFrame, data_dir: str, prefix: str) -> None:
+    """Rows as CSV files of stated names, in place of those that had the names before."""
+    written = new_dir(spark, "landing")
+    rows.write.option("header", True).csv(written)
+    move_files(spark, written, f"{data_dir}/raw", prefix, ".csv")
+
+
+def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers followed as files: those of odd keys change, and a batch is repeated."""
+    data_dir, target = new_dir(spark, "data-followed"), new_dir(spark, "bronze")
+    checkpoint = new_dir(spark, "followed")
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    datasets = {"customer": ("*.csv", customers.schema)}
+    odd = customers.where("c_custkey % 2 = 1")
+    _land(spark, customers.where("c_custkey % 2 = 0"), data_dir, "even")
+    _land(spark, odd, data_dir, "odd")
+    follow_changes(spark, data_dir, target, checkpoint, datasets).awaitTermination()
+    _land(spark, odd.withColumn("c_acctbal", F.col("c_acctbal") + 1), data_dir, "odd")
+    query = follow_changes(spark, data_dir, target, checkpoint, datasets)
+    query.awaitTermination()
+    load_changes(spark, data_dir, target, query.id, 1, datasets)
+    return bronze.read_bronze(spark, target, "customer").select("c_custkey", "c_acctbal")
+
+
 def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_dir(spark, "bronze")
     _ingest(spark, sf_dir, "customer", target, _raw_copy(spark, sf_dir, "customer"))
@@ -328,6 +384,18 @@ def inserted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insert_absent(target, incoming, ["sale_date"], [F.desc("total_amount")])
 
 
+def inserted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third line for each urgent order without one; few keys of all lines are shuffled."""
+    target = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    urgent = read_table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    incoming = urgent.select(
+        F.col("o_orderkey").alias("l_orderkey"), F.lit(3).cast("int").alias("l_linenumber")
+    )
+    keys = ["l_orderkey", "l_linenumber"]
+    incoming = incoming.select(*[F.col(k).cast(dict(target.dtypes)[k]).alias(k) for k in keys])
+    return absent_rows(target, incoming, keys, keys, prefilter=True)
+
+
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts({name: read_table(spark, sf_dir, name) for name in TABLES})
 
@@ -395,6 +463,18 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def many_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by the openings of all benchmark items, two words each, as tags."""
+    opening = F.lower(F.substring_index("text", " ", 2))
+    phrases = read_table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").cast("string").alias("term"), opening.alias("phrase")
+    )
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_terms(documents, "doc_id", "text", phrases).select(
+        "doc_id", F.array_join("terms", "|").alias("terms")
+    )
+
+
 def question_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.array_join(text.synonym_tags(F.col("question")), "|")
     return query_log(spark, sf_dir).groupBy(found.alias("terms")).agg(
@@ -406,10 +486,9 @@ def question_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles of nine results, all read from marts that are computed and stored once."""
-    marts = Marts(spark, sf_dir).save(new_dir(spark, "marts"))
-    frames = [profile(TESTED[key].run(marts), key) for key in PROFILED]
-    return reduce(DataFrame.unionByName, frames)
+    """Profiles of nine results over one set of marts, in one aggregate."""
+    marts = Marts(spark, sf_dir)
+    return profiles({key: TESTED[key].run(marts) for key in PROFILED})
 
 
 def _chart_log(spark: SparkSession) -> DataFrame:
@@ -420,9 +499,20 @@ def _chart_log(spark: SparkSession) -> DataFrame:
 
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same profile on whole base tables."""
-    tables = ["orders", "customer", "documents", "events", "part"]
-    frames = [profile(read_table(spark, sf_dir, name), name) for name in tables]
-    return reduce(DataFrame.unionByName, frames).drop("label_length")
+    tables = {name: read_table(spark, sf_dir, name) for name in PROFILED_TABLES}
+    return profiles(tables).drop("label_length")
+
+
+def profile_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base tables whose parts were kept in two loads each, one of which came twice."""
+    target = new_dir(spark, "profiles")
+    for name, key in PROFILED_TABLES.items():
+        rows = read_table(spark, sf_dir, name)
+        odd = F.pmod(F.xxhash64(key), F.lit(2)) == 1
+        for load, part in (("odd", odd), ("even", ~odd)):
+            keep_profile(rows.where(part), name, target, load)
+    keep_profile(rows.where(odd), name, target, "odd")
+    return kept_profile(spark, target)
 
 
 def date_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -445,7 +535,7 @@ def distribution_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem")
     shares = lines.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("line_count"))
     segments = TESTED["q20_segment_distribution"].run(Marts(spark, sf_dir))
-    flags = result_flags(profile(shares, "shares").unionByName(profile(segments, "segments")))
+    flags = result_flags(profiles({"shares": shares, "segments": segments}))
     asked = [("shares", "Доля строк по статусам", ""), ("segments", "распределение", "")]
     log = spark.createDataFrame(asked, "result_id string, question string, sql string")
     return charts.recommend_charts(flags, log)
@@ -512,6 +602,32 @@ def expected_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# sessions as a stream
+
+
+def followed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of users after their events came in two parts, by time, and one batch again."""
+    folder, target = new_dir(spark, "events"), new_dir(spark, "sessions")
+    checkpoint = new_dir(spark, "sessions-state")
+    events = read_table(spark, sf_dir, "events").select(
+        "ts",
+        "user_id",
+        (F.col("event_type") != "error").alias("success"),
+        F.col("value").alias("execution_time"),
+    )
+    middle = events.agg(F.expr("min(ts) + (max(ts) - min(ts)) / 2")).scalar()
+    for part in (F.col("ts") <= middle, F.col("ts") > middle):
+        events.where(part).write.mode("append").parquet(folder)
+        query = follow_sessions(
+            spark.readStream.schema(events.schema).parquet(folder),
+            "user_id",
+            target,
+            checkpoint,
+        )
+        query.awaitTermination()
+    return followed_counters(spark, target, "user_id")
+
+
 # scalar expressions
 
 
@@ -614,6 +730,9 @@ def all_queries() -> dict[str, Query]:
         "a02_customer_stats": lambda s, d: Marts(s, d).customers,
         "a03_product_performance": lambda s, d: Marts(s, d).products,
         "a04_as_of": lambda s, d: Marts(s, d).as_of,
+        "a01_kept_sales": lambda s, d: _kept(s, d).sales,
+        "a02_kept_customers": lambda s, d: _kept(s, d).customers,
+        "a03_kept_products": lambda s, d: _kept(s, d).products,
     }
     queries.update({key: _question(question) for key, question in TESTED.items()})
     queries.update(
@@ -621,6 +740,7 @@ def all_queries() -> dict[str, Query]:
             "s01_csv_ingest": csv_ingest,
             "s02_file_hashes": file_hashes,
             "s03_change_detection": change_detection,
+            "s03_stream_changes": stream_changes,
             "s04_lineage": lineage,
             "s05_manifest": manifest,
             "s06_load_check": load_check,
@@ -634,6 +754,7 @@ def all_queries() -> dict[str, Query]:
             "s14_integer_series": integer_rows,
             "s15_daily_spine": spine,
             "s16_insert_if_absent": inserted_days,
+            "s16_prefiltered_insert": inserted_lines,
             "s17_row_counts": table_counts,
             "s18_sample": lambda s, d: sample_rows(read_table(s, d, "customer"), ["c_custkey"]),
             "s19_bound_sql": bound_sql,
@@ -658,8 +779,10 @@ def all_queries() -> dict[str, Query]:
                 Marts(s, d).sales, ["sale_date", "total_amount", "order_count"]
             ),
             "c06_synonym_tags": tags,
+            "c06_many_tags": many_tags,
             "c06_question_tags": question_tags,
             "v01_column_profile": _profiles,
+            "v01_kept_profile": profile_of_loads,
             "v02_column_class": table_profile,
             "v03_date_share": date_shares,
             "v04_result_flags": lambda s, d: result_flags(_profiles(s, d)),
@@ -712,6 +835,7 @@ def all_queries() -> dict[str, Query]:
             "t03_session_counters": lambda s, d: stats.session_counters(
                 query_log(s, d), "user_id"
             ),
+            "t03_followed_sessions": followed_sessions,
             "n01_lattice_count": lambda s, d: lattice_count(
                 read_table(s, d, "orders").select((F.col("o_orderkey") + 1).alias("id"))
             ),

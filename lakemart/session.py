@@ -112,6 +112,27 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def move_files(spark: SparkSession, source: str, target: str, prefix: str, suffix: str) -> None:
+    """Rename what one write left in ``source`` to ``<target>/<prefix>-<number><suffix>``.
+
+    Files of these names are replaced.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(target))
+    names = [f.getPath().getName() for f in system.listStatus(path(source))]
+    for number, name in enumerate(sorted(n for n in names if n.endswith(suffix))):
+        place = path(f"{target}/{prefix}-{number}{suffix}")
+        system.delete(place, False)
+        system.rename(path(f"{source}/{name}"), place)
+    system.delete(path(source), True)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder that this job wrote, on whatever file system it is."""
     jvm = spark._jvm

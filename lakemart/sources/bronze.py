@@ -2,7 +2,8 @@
 
 Layout below the bronze folder::
 
-    raw/<table>/load=<id>/original_filename=<file>/   the parsed rows of one load
+    raw/load=<id>/group=<n>/table_key=<md5 of the name>/original_filename=<file>/
+                                                      the parsed rows of one load
     files/                                            one row per loaded file and load
     loads/load=<id>/                                  every file that load found, with its status
     manifest/                                         JSON: header, file entries, documents
@@ -14,21 +15,24 @@ never seen, and the next run loads an unfinished file again.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping
 from fnmatch import translate
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakemart.session import path_exists
 from lakemart.sources.tables import path_missing
 
 DOCUMENT_FILES = 10_000
 # Two primes below 2^31: products of a line hash and a line number stay below 2^62.
 PRIMES = (2_147_483_647, 2_147_483_629)
 BAD_LINE = "_bad_line"
+DATASET, HEADER = "dataset:", "header:"
 
 # Descriptive metadata every file entry carries unless the caller overrides it.
 METADATA = {
@@ -164,8 +168,8 @@ def hashes_since(
     return same.unionByName(content_hashes(spark, touched, pattern)) if touched else same
 
 
-def loaded_files(spark: SparkSession, bronze: str) -> DataFrame:
-    """The current entry of each loaded file (the latest one of its name)."""
+def loaded_files(spark: SparkSession, bronze: str, load: str | None = None) -> DataFrame:
+    """The current entry of each loaded file (the latest one of its name), or those of a load."""
     try:
         entries = spark.read.schema(FILES_SCHEMA).parquet(f"{bronze}/files")
     except AnalysisException as error:
@@ -173,6 +177,8 @@ def loaded_files(spark: SparkSession, bronze: str) -> DataFrame:
             raise
         return spark.createDataFrame([], FILES_SCHEMA)
     columns = entries.columns
+    if load is not None:
+        entries = entries.where(F.col("load") == load)
     return (
         entries.groupBy("original_filename")
         .agg(F.max_by(F.struct(*columns), "upload_timestamp").alias("entry"))
@@ -225,24 +231,107 @@ def ingest_csv(
     metadata: Mapping[str, str] | None = None,
     csv_options: Mapping[str, str] | None = None,
     hash_all: bool = True,
+    load: str | None = None,
+    record_skipped: bool = True,
 ) -> DataFrame:
     """Load the new and changed ``raw/*.csv`` files of ``data_dir``; returns the batch.
 
     ``datasets`` maps a table name to a file pattern and a schema and is read in one job; a
     file no pattern matches becomes a table of its own with string columns named by its
-    header. The batch has one row per file found, with its status: ``new``, ``changed``,
+    header, and files of one header are read in one job, whatever their tables. The batch has one row per file found, with its status: ``new``, ``changed``,
     ``skip``, or ``failed`` for a file with a line or a header that doesn't fit its schema.
     Failed files are not recorded and tried again by the next load; the others are loaded.
     Loaded files are readable with :func:`read_bronze`. Without ``hash_all`` files are read only
     if their size or time changed since they were loaded.
+
+    ``load`` names the load, else it gets a random name. A named load that is repeated goes on
+    where it ended: its comparison stands as it was first written, rows of an attempt that died
+    are written again, and what is recorded already is not recorded twice. Without
+    ``record_skipped`` unchanged files are left out of the batch, which may then be empty.
     """
     datasets = datasets or {}
     raw = f"{data_dir.rstrip('/')}/raw"
-    load = f"load-{uuid.uuid4().hex}"
+    load = load or f"load-{uuid.uuid4().hex}"
     loaded = loaded_files(spark, bronze)
+    # The files may change while they load: the comparison is settled in a written table, which
+    # stays as the record of the load.
+    settled = f"{bronze}/loads/load={load}"
+    if not path_exists(spark, f"{settled}/_SUCCESS"):
+        entries = _compared(spark, raw, load, loaded, datasets, metadata, hash_all)
+        entries = entries if record_skipped else entries.where("status <> 'skip'")
+        entries.drop("load").write.mode("overwrite").parquet(settled)
+    batch = spark.read.parquet(settled).withColumn("load", F.lit(load))
+    if record_skipped and batch.isEmpty():
+        raise IngestError(f"no CSV files in {raw}")
+
+    schemas = {name: _schema(schema) for name, (_, schema) in datasets.items()}
     first_load = loaded.isEmpty()
+    to_load = batch.where("status IN ('new', 'changed')")
+    filled = to_load.where("size_bytes > 0").withColumn("form", _form(datasets))
+    forms = sorted(row.form for row in filled.select("form").distinct().collect())
+    folders = [f"{bronze}/raw/load={load}/group={n}" for n in range(len(forms))]
+    # entries follow the rows of all files: with one of them there, no row is missing
+    recorded = loaded_files(spark, bronze, load).select("original_filename")
+    if recorded.isEmpty():
+        for form, folder in zip(forms, folders):
+            own = filled.where(F.col("form") == form)
+            dataset = form.removeprefix(DATASET) if form.startswith(DATASET) else None
+            if first_load and dataset:  # the pattern names the files
+                glob, source = datasets[dataset][0], raw
+            else:
+                glob, source = "*", [row.path for row in own.select("path").collect()]
+            reader = spark.read.option("header", True).option("pathGlobFilter", glob)
+            reader = reader.options(**(csv_options or {}))
+            schema = schemas[dataset] if dataset else reader.csv(source).schema
+            _write_rows(reader, source, schema, own, folder)
+    for folder in folders:
+        batch = _with_status(batch, _bad_files(spark, folder))
+    done = batch.where("status IN ('new', 'changed')").drop("path", "header")
+    done = done.join(recorded, "original_filename", "left_anti")
+    if not done.isEmpty():
+        done.write.mode("append").parquet(f"{bronze}/files")
+    return batch.drop("path", "header", "load")
+
+
+def _form(datasets: Mapping[str, tuple[str, StructType | str]]) -> Column:
+    """What one job can read together: the files of a dataset, or all files of one header."""
+    name = F.col("table_name")
+    known = name.isin(list(datasets)) if datasets else F.lit(False)
+    header = F.concat(F.lit(HEADER), F.coalesce("header", F.lit("")))
+    return F.when(known, F.concat(F.lit(DATASET), name)).otherwise(header)
+
+
+def _write_rows(
+    reader: DataFrameReader, source: str | list[str], schema: StructType, own: DataFrame, folder: str
+) -> None:
+    """Parse the files of ``own``, of any number of tables with one schema, in one job."""
+    parsed = StructType([*schema.fields, StructField(BAD_LINE, StringType())])
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+    rows = reader.schema(parsed).csv(source)
+    traced = rows.select(
+        *rows.columns,
+        F.col("_metadata.file_size").alias("file_size_bytes"),
+        F.current_timestamp().alias("upload_timestamp"),
+        plain_name().alias("original_filename"),
+    )
+    wanted = own.select("original_filename", F.md5("table_name").alias("table_key"))
+    traced.join(wanted, "original_filename").write.mode("overwrite").partitionBy(
+        "table_key", "original_filename"
+    ).parquet(folder)
+
+
+def _compared(
+    spark: SparkSession,
+    raw: str,
+    load: str,
+    loaded: DataFrame,
+    datasets: Mapping[str, tuple[str, StructType | str]],
+    metadata: Mapping[str, str] | None,
+    hash_all: bool,
+) -> DataFrame:
+    """Entries of every file of the raw folder, with their status against what is loaded."""
     try:
-        whole = hash_all or first_load
+        whole = hash_all or loaded.isEmpty()
         listing = content_hashes(spark, raw) if whole else hashes_since(spark, raw, loaded)
     except AnalysisException as error:
         if path_missing(error):
@@ -263,7 +352,7 @@ def ingest_csv(
     fits = F.lit(True)
     for name, schema in schemas.items():
         fits = F.when(F.col("table_name") == name, _header_fits(schema)).otherwise(fits)
-    entries = (
+    return (
         compare_files(listing, loaded)
         .withColumn("table_name", _table_name(datasets))
         .withColumn("fits", fits | (F.col("status") == "skip"))
@@ -279,48 +368,9 @@ def ingest_csv(
             F.create_map(*described).alias("metadata"),
             F.lit(load).alias("load"),
             "path",
+            "header",
         )
     )
-    # The files may change while they load: the comparison is settled in a written table, which
-    # stays as the record of the load.
-    settled = f"{bronze}/loads/load={load}"
-    entries.drop("load").write.parquet(settled)
-    batch = spark.read.parquet(settled).withColumn("load", F.lit(load))
-    if batch.isEmpty():
-        raise IngestError(f"no CSV files in {raw}")
-
-    to_load = batch.where("status IN ('new', 'changed')")
-    filled = to_load.where("size_bytes > 0")
-    names = [row.table_name for row in filled.select("table_name").distinct().collect()]
-    for table in names:
-        own = filled.where(F.col("table_name") == table)
-        if first_load and table in datasets:  # the pattern names the files
-            glob, source = datasets[table][0], raw
-        else:
-            glob, source = "*", [row.path for row in own.select("path").collect()]
-        reader = spark.read.option("header", True).option("pathGlobFilter", glob)
-        reader = reader.options(**(csv_options or {}))
-        schema = schemas.get(table) or reader.csv(source).schema
-        parsed = StructType([*schema.fields, StructField(BAD_LINE, StringType())])
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
-        rows = reader.schema(parsed).csv(source)
-        traced = rows.select(
-            *rows.columns,
-            F.col("_metadata.file_size").alias("file_size_bytes"),
-            F.current_timestamp().alias("upload_timestamp"),
-            plain_name().alias("original_filename"),
-        )
-        wanted = own.select("original_filename")
-        traced.join(wanted, "original_filename", "left_semi").write.partitionBy(
-            "original_filename"
-        ).parquet(f"{bronze}/raw/{table}/load={load}")
-    failed = [_bad_files(spark, f"{bronze}/raw/{table}/load={load}") for table in names]
-    for bad in failed:
-        batch = _with_status(batch, bad)
-    done = batch.where("status IN ('new', 'changed')").drop("path")
-    if not done.isEmpty():
-        done.write.mode("append").parquet(f"{bronze}/files")
-    return batch.drop("path", "load")
 
 
 def _schema(schema: StructType | str) -> StructType:
@@ -339,11 +389,13 @@ def _bad_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_bronze(spark: SparkSession, bronze: str, table: str) -> DataFrame:
     """Rows of the current version of each loaded file of a table."""
-    rows = spark.read.option("mergeSchema", True).parquet(f"{bronze}/raw/{table}")
+    key = hashlib.md5(table.encode()).hexdigest()
+    rows = spark.read.option("mergeSchema", True).option("basePath", f"{bronze}/raw")
+    rows = rows.parquet(f"{bronze}/raw/load=*/group=*/table_key={key}")
     rows = rows.withColumn("original_filename", F.col("original_filename").cast("string"))
     current = loaded_files(spark, bronze).where(F.col("table_name") == table)
     current = current.select("original_filename", "load")
-    columns = [c for c in rows.columns if c not in (BAD_LINE, "load")]
+    columns = [c for c in rows.columns if c not in (BAD_LINE, "load", "group", "table_key")]
     return rows.join(current, ["original_filename", "load"], "left_semi").select(*columns)
 
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakemart.operators.percentiles import exact_percentiles
+from lakemart.operators.percentiles import exact_percentiles, value_counters
 
 FRACTIONS = [0.8, 0.24, 0.5, 0.0, 1.0]
 
@@ -37,3 +37,15 @@ def test_no_values_give_null(spark):
     df = spark.createDataFrame([(None,)], "v bigint")
     assert exact_percentiles(df, F.col("v"), [0.5]).first().percentiles is None
     assert exact_percentiles(df.limit(0), F.col("v"), [0.5]).first().percentiles is None
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_kept_counters_spare_a_pass(spark, name):
+    values = CASES[name]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    counters = value_counters(df.limit(0), F.col("v"))
+    for part in (values[::2], values[1::2]):
+        rows = spark.createDataFrame([(v,) for v in part], "v bigint")
+        counters = counters.unionByName(value_counters(rows, F.col("v")))
+    found = exact_percentiles(df, F.col("v"), FRACTIONS, counters).first().percentiles
+    assert found == exact_percentiles(df, F.col("v"), FRACTIONS).first().percentiles

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart.operators import charts
-from lakemart.operators.profile import profile, result_flags
+from lakemart.operators.profile import keep_profile, kept_profile, profile, result_flags
 
 
 def classes(df):
@@ -218,3 +218,21 @@ def test_dispatch(spark):
         x = "v" if kind in ("line", "scatter") else "k"
         assert charts.chart_frame(df, kind, x, "v", ["v"]).count() == 3
     assert charts.chart_frame(df, "table", None, None, []) is None
+
+
+def test_kept_loads_profile_like_all_rows(spark, tmp_path):
+    df = labels(spark, 40, 5000).withColumn("n", F.col("label").substr(2, 9).cast("int"))
+    df = df.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("n")).cast("string"))
+    df = df.withColumn("long", F.repeat("label", F.col("n") + 1)).drop("n").withColumn("n", F.lit(1))
+    target = str(tmp_path)
+    for load, part in (("a", "< 7"), ("b", "between 7 and 30"), ("c", "> 30"), ("d", "> 99")):
+        own = df.where(f"CAST(substr(label, 2) AS int) {part}")
+        keep_profile(own, "all", target, load)
+    keep_profile(df.where("CAST(substr(label, 2) AS int) < 7"), "all", target, "a")  # again
+    keep_profile(df.limit(0), "none", target, "a")
+    wanted = profile(df, "all").unionAll(profile(df.limit(0), "none"))
+    assert sorted(map(repr, kept_profile(spark, target).collect())) == sorted(
+        map(repr, wanted.collect())
+    )
+    parts = spark.read.parquet(target)
+    assert parts.count() == 4 * 4 + 4  # a row per column and load, whatever the rows

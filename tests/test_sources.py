@@ -16,7 +16,7 @@ from lakemart.sources.jdbc import jdbc_options
 from lakemart.sources.results import save_results, write_counted
 from lakemart.sources.tables import row_counts, run_sql, sample_rows
 from lakemart.sources.versioned import VersionedTable
-from lakemart.streaming.bronze_stream import load_new_files
+from lakemart.streaming.bronze_stream import follow_changes, load_changes, load_new_files
 
 ITEMS = "id bigint, name string, price double"
 
@@ -206,6 +206,33 @@ def test_bad_file_is_reported_and_tried_again(spark, data_dir, text):
     assert bronze.read_bronze(spark, target, "items").count() == 3
 
 
+def test_many_tables_are_few_jobs(spark, tmp_path):
+    raw, target = tmp_path / "raw", str(tmp_path / "bronze")
+    raw.mkdir()
+    headers = ["id,name", "who,what,when", "a"]
+    for n in range(90):
+        header = headers[n % 3]
+        fields = len(header.split(","))
+        line = ",".join(f"{n}-{k}" for k in range(fields))
+        (raw / f"table {n}.csv").write_text(f"{header}\n{line}\n{line}\n")
+    (raw / "table 4.csv").write_text("id,name\n1,2,3\n")  # a line that does not fit
+    context = spark.sparkContext
+    context.setJobGroup("many tables", "")
+    batch = bronze.ingest_csv(spark, str(tmp_path), target)
+    jobs = len(context.statusTracker().getJobIdsForGroup("many tables"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 45
+    found = statuses(batch)
+    assert found.pop("table 4.csv") == "failed" and set(found.values()) == {"new"}
+    rows = bronze.read_bronze(spark, target, "table 1").collect()
+    assert [(r.who, r.what, r.when) for r in rows] == [("1-0", "1-1", "1-2")] * 2
+    assert bronze.read_bronze(spark, target, "table 4").isEmpty()
+    (raw / "table 1.csv").write_text("id,name\n5,6\n")  # another header now
+    bronze.ingest_csv(spark, str(tmp_path), target)
+    (row,) = bronze.read_bronze(spark, target, "table 1").collect()
+    assert (row.id, row.name) == ("5", "6")
+
+
 def test_stream_takes_each_file_once(spark, data_dir, tmp_path):
     raw, target = str(data_dir / "raw"), str(tmp_path / "landed")
     (data_dir / "raw" / "notes.csv").write_text("id,name,price\n7,seven,7\n")
@@ -222,6 +249,70 @@ def test_stream_takes_each_file_once(spark, data_dir, tmp_path):
     assert names == {"items_a.csv", "items_b.csv", "items_d.csv", "notes.csv"}
 
 
+def test_stream_takes_changed_files(spark, data_dir, tmp_path):
+    target, state = str(tmp_path / "bronze"), str(tmp_path / "state")
+    first = data_dir / "raw" / "items_a.csv"
+
+    def run():
+        query = follow_changes(spark, str(data_dir), target, state, DATASETS)
+        query.awaitTermination()
+        rows = bronze.read_bronze(spark, target, "items").collect()
+        return query.id, sorted((r.id, r.name) for r in rows)
+
+    stream, rows = run()
+    assert rows == [(1, "bolt"), (2, "nut"), (3, "a, b")]
+    first.write_text("id,name,price\n1,Bolt,1.5\n5,screw,2.5\n")
+    assert run() == (stream, [(1, "Bolt"), (3, "a, b"), (5, "screw")])
+    (data_dir / "raw" / "items_d.csv").write_text("id,name,price\n4,four,4\n")
+    changed = run()
+    assert changed == (stream, [(1, "Bolt"), (3, "a, b"), (4, "four"), (5, "screw")])
+    assert run() == changed  # nothing new
+    entries = spark.read.parquet(f"{target}/files")
+    loads = {(r.original_filename, r.load.rsplit("-", 1)[1]) for r in entries.collect()}
+    names = ["items_a.csv", "items_b.csv", "notes.csv"]
+    wanted = {(name, "0") for name in names} | {("items_a.csv", "1"), ("items_d.csv", "2")}
+    assert loads == wanted and entries.count() == len(wanted)
+    for batch_id in range(4):  # batches that a restart repeats
+        load_changes(spark, str(data_dir), target, stream, batch_id, DATASETS)
+    assert spark.read.parquet(f"{target}/files").count() == len(wanted)
+    assert bronze.read_bronze(spark, target, "items").count() == 4
+
+
+def test_repeated_batch_ends_what_a_dead_one_began(spark, data_dir, tmp_path, monkeypatch):
+    target = str(tmp_path / "bronze")
+
+    def load(batch_id):
+        load_changes(spark, str(data_dir), target, "s", batch_id, DATASETS)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(bronze, "_bad_files", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            load(0)
+    assert bronze.loaded_files(spark, target).isEmpty()
+    load(0)
+    load(0)
+    assert sorted(r.id for r in bronze.read_bronze(spark, target, "items").collect()) == [1, 2, 3]
+    assert spark.read.parquet(f"{target}/files").count() == 3
+    # entries of which only some were recorded
+    (data_dir / "raw" / "items_e.csv").write_text("id,name,price\n8,eight,8\n")
+    (data_dir / "raw" / "items_f.csv").write_text("id,name,price\n9,nine,9\n")
+    load(1)
+    entries = spark.read.parquet(f"{target}/files").where("original_filename <> 'items_f.csv'")
+    kept = entries.collect()
+    partial = spark.createDataFrame(kept, entries.schema).coalesce(1)
+    partial.write.mode("overwrite").parquet(f"{target}/files")
+    load(1)
+    assert sorted(r.id for r in bronze.read_bronze(spark, target, "items").collect()) == [1, 2, 3, 8, 9]
+
+
+def test_stream_waits_for_a_folder(spark, tmp_path):
+    target = str(tmp_path / "bronze")
+    load_changes(spark, str(tmp_path), target, "s", 0)
+    (tmp_path / "raw").mkdir()
+    load_changes(spark, str(tmp_path), target, "s", 1)
+    assert bronze.loaded_files(spark, target).isEmpty()
+
+
 SALES = "id bigint, product string, amount double, date date"
 # The published rows of the sales table.
 KNOWN = [

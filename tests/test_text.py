@@ -1,7 +1,11 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from lakemart.functions import text
+from lakemart.operators.phrases import with_terms
 from lakemart.operators.steps import last_query
 
 
@@ -145,3 +149,36 @@ def test_expressions_need_no_shuffle_and_no_python(spark, build):
     df = spark.createDataFrame([("a",)], "t string").select(build(F.col("t")).alias("x"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_many_phrases(spark):
+    made = random.Random(1)
+    texts = [(n, "".join(made.choice("abcdé 日") for _ in range(made.randrange(0, 60)))) for n in range(150)]
+    texts += [(200, None), (201, ""), (202, "ABC 😀 x" * 300), (203, "аБв")]
+    phrases = [(f"t{n % 900}", "".join(made.choice("abcdé ") for _ in range(made.randrange(1, 8)))) for n in range(2000)]
+    phrases += [("short", "日"), ("smile", "😀"), ("none", "zzzz"), ("upper", "ABC"), ("cyr", "абв"), ("x", None), (None, "a")]
+    given = spark.createDataFrame(texts, "k int, body string")
+
+    def expected(catalogue):
+        out = []
+        for k, body in texts:
+            terms = {t for t, p in catalogue if t and p and body is not None and p in body.lower()}
+            out.append((k, sorted(terms)))
+        return out
+
+    for extra in ([], [("all", "")]):
+        catalogue = spark.createDataFrame(phrases + extra, "term string, phrase string")
+        found = with_terms(given, "k", "body", catalogue).select("k", "terms")
+        assert sorted((r.k, r.terms) for r in found.collect()) == expected(phrases + extra)
+
+
+def test_the_plan_does_not_grow_with_the_phrases(spark):
+    texts = spark.createDataFrame([(1, "x")], "k int, body string")
+
+    def size(n):
+        rows = [(f"t{i}", f"phrase {i}") for i in range(n)]
+        df = with_terms(texts, "k", "body", spark.createDataFrame(rows, "term string, phrase string"))
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return len(re.sub("#[0-9L]+", "", plan))
+
+    assert size(10_000) <= size(10) * 1.05
