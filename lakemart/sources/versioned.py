@@ -4,7 +4,8 @@ Layout: ``data/snapshot_id=<n>/<partition>=<value>/``, ``log/`` with one row per
 committed snapshot, ``meta/`` with the schema. An append writes its data first and its
 log row last, and readers see only snapshots in the log, so an unfinished append stays
 invisible. Snapshot ids are random and their order is that of commitment, so writers that
-append at the same time don't meet.
+append at the same time don't meet. A commit is dated after the newest one that its writer can
+see, so a slow clock does not put it into the past.
 """
 
 from __future__ import annotations
@@ -69,9 +70,12 @@ class VersionedTable:
         rows.to(self.schema).hint("rebalance", self.partition_column).write.partitionBy(
             self.partition_column
         ).parquet(f"{self.path}/data/snapshot_id={snapshot}")
+        # after the newest commit, even if this writer's clock is behind
+        newest = self._log().agg(F.max("committed_at")).scalar()
+        after = newest + F.expr("INTERVAL 0.000001 SECOND")
         committed = self.spark.range(1).select(
             F.lit(snapshot).cast("bigint").alias("snapshot_id"),
-            F.current_timestamp().alias("committed_at"),
+            F.greatest(F.current_timestamp(), after).alias("committed_at"),
             F.lit("append").alias("operation"),
         )
         committed.write.mode("append").parquet(f"{self.path}/log")

@@ -322,6 +322,25 @@ KNOWN = [
 ]
 
 
+def test_a_slow_clock_does_not_change_the_past(spark):
+    path = new_dir(spark, "sales")
+    table = VersionedTable.create_if_absent(spark, path, SALES, "date")
+    first = table.append(spark.createDataFrame(KNOWN[:1], SALES))
+    # another writer, whose clock is a day ahead
+    ahead = spark.range(1).select(
+        F.lit(7).cast("bigint").alias("snapshot_id"),
+        (F.current_timestamp() + F.expr("INTERVAL 1 DAY")).alias("committed_at"),
+        F.lit("append").alias("operation"),
+    )
+    spark.createDataFrame(KNOWN[1:2], SALES).write.partitionBy("date").parquet(
+        f"{path}/data/snapshot_id=7"
+    )
+    ahead.write.mode("append").parquet(f"{path}/log")
+    last = table.append(spark.createDataFrame(KNOWN[2:], SALES))
+    assert [r.snapshot_id for r in table.snapshots().collect()] == [first, 7, last]
+    assert table.as_of(7).count() == 2 and table.as_of(last).count() == 3
+
+
 def test_snapshots(spark):
     path = new_dir(spark, "sales")
     table = VersionedTable.create_if_absent(spark, path, SALES, "date")
