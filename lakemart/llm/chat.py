@@ -19,7 +19,7 @@ Turn = tuple[str, str]  # role, text
 Template = Callable[[list[Turn], str | None], str]
 
 BLOCK_TURNS = 16
-
+CHECK_CHARS = 8 << 20  # of a conversation, up to which a declared template is held to it
 
 
 def context_free(template: Template) -> Template:
@@ -68,7 +68,9 @@ class Prefixes:
 
     With ``block``, for templates declared :func:`context_free`, rendering starts anew after so
     many turns, from the last turn on, so that neither work nor memory grow. The shared turn
-    must get the same span in both blocks, else it is reported like rewritten history.
+    must get the same span in both blocks, else it is reported like rewritten history. So is a
+    declaration that is not true: at doubling lengths, while the turns so far are short enough
+    to be kept, all of them are rendered and compared with the spans, at a linear cost.
     """
 
     def __init__(self, template: Template, block: int | None = None):
@@ -77,6 +79,25 @@ class Prefixes:
         self.before = template([], None)
         self.prefix = self.before
         self.last: str | None = None
+        self.all: list[Turn] | None = None if block is None else []
+        self.kept_chars = 0
+        self.check_at = 2 * (block or 1)
+        self.written = hashlib.sha256(self.before.encode())
+
+    def _declared_rightly(self, role: str, text: str, span: str | None) -> bool:
+        """Compare a rendering of all turns with the spans where its length has doubled."""
+        if self.all is None or span is None:
+            return True
+        self.all.append((role, text))
+        self.written.update(span.encode())
+        self.kept_chars += len(role) + len(text)
+        if self.kept_chars > CHECK_CHARS:
+            self.all = None
+        elif len(self.all) == self.check_at:
+            self.check_at *= 2
+            whole = hashlib.sha256(self.template(self.all, None).encode())
+            return whole.digest() == self.written.digest()
+        return True
 
     def add(self, role: str, text: str) -> tuple[str | None, int, int]:
         """The turn's span, and start and length of its text in it; no span if rewritten."""
@@ -95,6 +116,8 @@ class Prefixes:
         start = len(opened) - len(self.before)
         length = len(after) - len(empty)
         self.before, self.last = after, span
+        if not self._declared_rightly(role, text, span):
+            span = None
         return span, start, length
 
 
@@ -122,8 +145,9 @@ def format_turns(
     from the turn at which it did. An empty table gives no rows.
 
     Rows of a conversation are sorted by Spark and streamed through a task. With a template
-    declared :func:`context_free` no conversation is held whole, however long it is; any other
-    template is given each prefix whole.
+    declared :func:`context_free` no more than ``CHECK_CHARS`` of a conversation are held,
+    however long it is, to hold the template to that; any other template is given each prefix
+    whole.
     """
     block = BLOCK_TURNS if getattr(template, "context_free", False) else None
     rows = conversations.select(

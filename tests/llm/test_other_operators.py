@@ -73,6 +73,19 @@ def numbered(said, opening=None):
     return "".join(lines)
 
 
+@chat.context_free
+def wrongly_declared(said, opening=None):
+    return last_twenty(said, opening)
+
+
+def test_a_wrong_declaration_is_reported(spark, monkeypatch):
+    rows = [(1, n, "user" if n % 2 == 0 else "assistant", f"t{n}") for n in range(70)]
+    found = chat.format_turns(turns(spark, rows), wrongly_declared).collect()
+    broken = sorted(r.turn for r in found if r.rewritten)
+    assert broken == [*range(31, 70)]  # seen when 32 turns are rendered
+    assert not any(r.rewritten for r in chat.format_turns(turns(spark, rows)).collect())
+
+
 def test_long_conversations_are_rendered_whole(spark):
     rows = [(1, n, "user" if n % 2 == 0 else "assistant", f"t{n}") for n in range(40)]
     said = [(role, text) for _, _, role, text in rows]
