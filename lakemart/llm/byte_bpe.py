@@ -24,9 +24,14 @@ from lakemart.llm.words import slices, text_array
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LONG_TEXT = 1 << 16
 
-# A letter followed by a space. The pattern's matches take a space only at their start or
-# together with other white space, so one always ends after the letter.
-_SAFE_CUT = re.compile(r"(?<=[A-Za-z]) ")
+# Before white space that follows anything else, in any script, and between a Chinese, Japanese
+# or Korean letter and a full stop or comma. The given pattern's matches take white space only
+# at their start or together with more of it, and letters only with letters, so one always ends
+# there. Other patterns are not known to, and their texts are not cut.
+_SAFE_CUT = re.compile(
+    r"(?<=\S)(?=[ \t\r\n])"
+    "|(?<=[\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3])(?=[\u3001\u3002\uff0c\uff01\uff1f.,!?])"
+)
 
 
 @cache
@@ -50,11 +55,11 @@ def safe_pieces(text: str, size: int = LONG_TEXT) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-def encode_text(bpe: tiktoken.Encoding, text: str) -> bytes:
+def encode_text(bpe: tiktoken.Encoding, text: str, cut: bool = True) -> bytes:
     """Ids of a text, packed; no string counts as a special token."""
     pieces = (
         bpe.encode_to_numpy(piece, disallowed_special=()).astype("<u4").tobytes()
-        for piece in safe_pieces(text)
+        for piece in (safe_pieces(text) if cut else [text])
     )
     return b"".join(pieces)
 
@@ -93,12 +98,12 @@ def encode(
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoding(ranks_path, pattern)
+        bpe, cut = encoding(ranks_path, pattern), pattern == public_tokenizers.PATTERN
         for batch in batches:
             for start, end in slices(text_array(batch.column(at))):
                 part = batch.slice(start, end - start)
                 texts = part.column(at).to_pylist()
-                packed = [encode_text(bpe, text) if text else b"" for text in texts]
+                packed = [encode_text(bpe, text, cut) if text else b"" for text in texts]
                 counts = np.array([len(p) // 4 for p in packed], np.int64)
                 yield _append(
                     part, [ids, n_tokens], [pa.array(packed, pa.binary()), pa.array(counts)]

@@ -59,6 +59,28 @@ def test_safe_pieces():
     assert len(pieces) > 50 and "".join(pieces) == text
     assert [i for p in pieces for i in plain.encode_ordinary(p)] == plain.encode_ordinary(text)
     assert list(byte_bpe.safe_pieces("", 10)) == [""]
+    for sample in (
+        "привет, мир\t 12 раз\u00a0и\x1c ещё \r\n 's it's x ' s ",
+        "日本語の文章、です。한국어, 中文。２３ ",
+        "a\u2003b 1 2, ~~ 3 ... ' ' \x1f x",
+    ):
+        text = sample * 60
+        for size in (7, 50):
+            pieces = list(byte_bpe.safe_pieces(text, size))
+            assert len(pieces) > 20 and "".join(pieces) == text
+            assert [i for p in pieces for i in plain.encode_ordinary(p)] == plain.encode_ordinary(text)
+
+
+def test_texts_of_other_patterns_are_not_cut(spark):
+    text = "one two " * 20_000
+    rows = cases.documents(spark, [(1, text)])
+    (row,) = byte_bpe.encode(rows, pattern=r"[\s\S]{1,3}").collect()
+    lines = open(byte_bpe.RANKS, "rb").read().splitlines()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    plain = tiktoken.Encoding(
+        "other", pat_str=r"[\s\S]{1,3}", mergeable_ranks=ranks, special_tokens={}
+    )
+    assert np.frombuffer(row.ids, "<u4").tolist() == plain.encode_ordinary(text)
     assert list(byte_bpe.safe_pieces("x" * 50, 10)) == ["x" * 50]
 
 
