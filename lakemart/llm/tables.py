@@ -51,6 +51,13 @@ class Scratch:
         """The result reads the table that was staged last."""
         self._paths.pop()
 
+    def drop_earlier(self) -> None:
+        """Remove all but the table that was staged last, which is read on."""
+        *earlier, last = self._paths
+        for path in earlier:
+            remove_dir(self.spark, path)
+        self._paths = [last]
+
     def close(self) -> None:
         for path in self._paths:
             remove_dir(self.spark, path)
