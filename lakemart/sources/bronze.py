@@ -238,9 +238,9 @@ def ingest_csv(
 
     ``datasets`` maps a table name to a file pattern and a schema and is read in one job; a
     file no pattern matches becomes a table of its own with string columns named by its
-    header, and files of one header are read in one job, whatever their tables. The batch has one row per file found, with its status: ``new``, ``changed``,
-    ``skip``, or ``failed`` for a file with a line or a header that doesn't fit its schema.
-    Failed files are not recorded and tried again by the next load; the others are loaded.
+    header, and files of one header are read in one job, whatever their tables. The batch has
+    one row per file found, with its status: ``new``, ``changed``, ``skip``, or ``failed`` for
+    a file with a line or a header that doesn't fit its schema. Failed files are not recorded and tried again by the next load; the others are loaded.
     Loaded files are readable with :func:`read_bronze`. Without ``hash_all`` files are read only
     if their size or time changed since they were loaded.
 
