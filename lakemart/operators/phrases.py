@@ -44,7 +44,9 @@ def phrase_hits(
         F.min(F.struct("n", "run")).alias("rare")
     )
     anchors = rarest.select("term", "phrase", F.col("rare.run").alias("run"))
+    # dealt by key once: the runs are grouped and the texts looked up where they are
     lowered = texts.select(key, F.lower(text).alias("lowered")).dropna(subset=["lowered"])
+    lowered = lowered.repartition(key)
     own = F.concat(*[_runs("lowered", width) for width in widths])
     met = lowered.select(key, F.explode(own).alias("run")).join(anchors, "run")
     maybe = met.groupBy(key).agg(F.collect_set(F.struct("term", "phrase")).alias("maybe"))
