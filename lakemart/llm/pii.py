@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from math import isqrt
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.tables import computed_once, staged
@@ -63,11 +64,11 @@ NUMBER_WORDS = "ssn|iban|account|card|phone|tel|mobile|fax|call"
 DIGESTS = "checksum|digest|md5|sha[0-9_-]|commit|hash|uuid|guid|etag|revision"
 CONTEXT = 24
 
-SAMPLE_ROWS = 20_000  # candidates that the trees are fitted on; all else covers all data
 TREES = 10
 DEPTH = 3
 PRECISION = 0.95
 LEVELS = 20
+BINS = 512  # more than any feature has values
 
 KINDS = [*BASE, *GENERATORS]
 _BLOCK = 64  # matches whose lengths are added up at once
@@ -82,17 +83,24 @@ _VALID = {
     "card": f"length({_DIGITS}) BETWEEN 16 AND 19 AND luhn_check({_DIGITS})",
     "phone": f"length({_DIGITS}) BETWEEN 8 AND 15",
 }
+
+
+def _steps(count: str) -> str:
+    """A count in steps of 4 %, from 22 on: at most 496 values, so that many rows are equal."""
+    return f"floor(16 * log2(1 + {count}))"
+
+
 FEATURES = [
-    "length(c.value)",
-    f"length({_DIGITS}) / length(c.value)",
-    "size(array_distinct(split(c.value, '')))",
-    "length(c.value) - length(translate(c.value, ' ().-/', ''))",
+    _steps("length(c.value)"),
+    f"floor(32 * length({_DIGITS}) / length(c.value))",
+    _steps("size(array_distinct(split(c.value, '')))"),
+    _steps("length(c.value) - length(translate(c.value, ' ().-/', ''))"),
     f"if(lower(c.before) RLIKE '{WORDS}', 1, 0)",
     f"if(lower(c.value) RLIKE '{WORDS}', 1, 0)",
     "if(substring(c.before, -1) IN ('\"', '''') OR instr(c.value, '\"') > 0, 1, 0)",
     f"if(length({_DIGITS}) BETWEEN 12 AND 19 AND luhn_check({_DIGITS}), 1, 0)",
-    f"length({_DIGITS})",
-    "length(regexp_extract(c.value, '[0-9A-Fa-f]{16,}', 0))",
+    _steps(f"length({_DIGITS})"),
+    _steps("length(regexp_extract(c.value, '[0-9A-Fa-f]{16,}', 0))"),
     *(f"if(c.kind = '{kind}', 1, 0)" for kind in GENERATORS),
 ]
 
@@ -241,68 +249,70 @@ def compile_tree(lines: list[str]) -> str:
     return f"if(c.f[{number}] <= {float(threshold)!r}D, {low}, {high})"
 
 
-def labelled(found: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """At most ``rows`` proposed candidates, by a hash, with weak labels.
+def labelled(found: DataFrame) -> DataFrame:
+    """All proposed candidates that have a weak label.
 
     A proposal is personal data if it overlaps a validated span or meets the ``SURE`` rule of
     its kind: name and shape of a secret, a number beside a word for one, a masked address. It
     is none if it meets ``SURELY_NOT``. Any other is uncertain and left out, so that the trees
-    are not taught to leave it; there can be fewer rows than drawn.
+    are not taught to leave it.
     """
-    kinds = ", ".join(_sql(k) for k in GENERATORS)
-    proposed = found.select(
-        "doc_id", F.explode(F.expr(f"filter(candidates, c -> c.kind IN ({kinds}))")).alias("c")
-    ).select("doc_id", "c")
     rule = F.expr(f"CASE WHEN {_ANY_SURE} THEN 1D WHEN {_ANY_NOT} THEN 0D END")
-    order = F.xxhash64("doc_id", "kind", "start")
-    drawn = proposed.orderBy(
-        F.xxhash64("doc_id", "c.kind", "c.start"), "doc_id", "c.kind", "c.start"
-    ).limit(rows)
-    sample = drawn.select("doc_id", "c.kind", "c.start", "c.end", "c.f", rule.alias("rule"))
-    validated = found.select(
-        F.col("doc_id").alias("of_doc"),
-        F.explode(F.expr("filter(candidates, c -> c.base)")).alias("b"),
-    )
-    overlap = (
-        F.col("doc_id").eqNullSafe(F.col("of_doc"))
-        & (F.col("b.start") < F.col("end"))
-        & (F.col("start") < F.col("b.end"))
+    spans = found.select(
+        "doc_id", F.xxhash64("candidates").alias("row"), F.explode("candidates").alias("c")
+    ).select("doc_id", "row", "c.kind", "c.start", "c.end", "c.base", "c.f", rule.alias("rule"))
+    # A proposal overlaps a validated span if, of those that start before its end, the one that
+    # reaches farthest reaches beyond its start.
+    before = (
+        Window.partitionBy("doc_id", "row")
+        .orderBy(F.expr("if(base, start, end)"), "base")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    place = ["doc_id", "start", "end"]
-    near = (
-        F.broadcast(sample.select(*place).distinct())  # at most ``rows``
-        .join(validated, overlap)
-        .select(*(F.col(c).alias(f"near_{c}") for c in place))
-        .distinct()
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"near_{c}")) for c in place]
-    label = F.when(F.col("near_end").isNotNull(), F.lit(1.0)).otherwise(F.col("rule"))
-    held_out = F.pmod(order, F.lit(3)) == 0
+    reach = F.max(F.expr("if(base, end, NULL)")).over(before)
+    label = F.when(F.col("reach") > F.col("start"), F.lit(1.0)).otherwise(F.col("rule"))
+    held_out = F.pmod(F.xxhash64("doc_id", "kind", "start"), F.lit(3)) == 0
+    kinds = ", ".join(_sql(k) for k in GENERATORS)
     return (
-        sample.join(near, same, "left")
+        spans.withColumn("reach", reach)
+        .filter(f"kind IN ({kinds})")
         .select("kind", "f", label.alias("label"), held_out.alias("held_out"))
         .filter("label IS NOT NULL")
     )
 
 
-def train(found: DataFrame, rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> Model:
+def train(found: DataFrame, precision: float = PRECISION) -> Model:
     """Boosted trees on two thirds of the labelled proposals, thresholds on the rest.
 
+    Proposals of equal features and label are counted, and their number is their weight. There
+    are as many bins as the trees need to look at each row when they choose where to split.
+
     A kind gets the lowest of ``LEVELS`` scores from which on at least ``precision`` of its
     held-out proposals are personal data; if there is none, it selects nothing. With one class
     only there is nothing to learn: what is surely personal data is selected.
     """
-    sample = staged(labelled(found, rows), "proposals")
+    alike = labelled(found).groupBy("kind", "f", "label", "held_out")
+    sample = staged(alike.agg(F.count("*").alias("n")), "proposals")
     classes = {
-        (r.kind, r.label): r["n"]
-        for r in sample.groupBy("kind", "label").agg(F.count("*").alias("n")).collect()
+        (r.kind, r.label, r.held_out): r["rows"]
+        for r in sample.groupBy("kind", "label", "held_out")
+        .agg(F.count("*").alias("rows"))
+        .collect()
     }
-    kinds = {kind for kind, _ in classes}
-    if len({label for _, label in classes}) < 2:
-        sure = {k: 0.5 for k in sorted(kinds) if (k, 1.0) in classes}
+    kinds = {kind for kind, _, _ in classes}
+    rows = sum(n for (_, _, held_out), n in classes.items() if not held_out)
+    if len({label for _, label, _ in classes}) < 2 or not rows:
+        sure = {kind: 0.5 for kind, label, _ in sorted(classes) if label == 1.0}
         return Model(f"if({_ANY_SURE}, 1D, 0D)", sure)
     vectors = sample.withColumn("features", array_to_vector("f"))
-    trainer = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3)
+    # the trainer draws max(10,000, bins * bins) rows to find splits, or takes all if fewer
+    trainer = GBTClassifier(
+        maxIter=TREES,
+        maxDepth=DEPTH,
+        maxBins=max(BINS, isqrt(rows) + 1),
+        seed=7,
+        stepSize=0.3,
+        weightCol="n",
+    )
     fitted = trainer.fit(vectors.filter("NOT held_out"))
     sides = []
     for tree, weight in zip(fitted.trees, fitted.treeWeights):
@@ -311,9 +321,9 @@ def train(found: DataFrame, rows: int = SAMPLE_ROWS, precision: float = PRECISIO
     level = F.floor(F.expr(score) * LEVELS)
     counts = (
         sample.filter("held_out")
-        .select("kind", "label", F.struct("f").alias("c"))
+        .select("kind", "label", "n", F.struct("f").alias("c"))
         .groupBy("kind", level.alias("level"))
-        .agg(F.sum("label").alias("good"), F.count("*").alias("n"))
+        .agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n"))
         .collect()
     )
     thresholds = {}

@@ -310,6 +310,21 @@ def test_uncertain_proposals_are_not_labelled(spark):
     assert pii.labelled(proposed.filter("doc_id >= 10")).count() == 0
 
 
+def test_every_proposal_is_labelled(spark):
+    numbers = "phone 555 010 9999, " * 70
+    dates = "version 2019-10-11 " * 70
+    rows = [(i, numbers) for i in range(300)] + [(i, dates) for i in range(300, 330)]
+    # alike ids: only the row with a card in it has a number that overlaps one
+    rows += [(7, "see 4111 1111 1111 1111"), (7, "see 4111 1111 1111 1112 at 1.2.3.4")]
+    proposed = pii.candidates(cases.documents(spark, rows)).cache()
+    counts = pii.labelled(proposed).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in counts} == {1.0: 21_001, 0.0: 2_101}
+    model = pii.train(proposed)
+    spans = pii.select_spans(proposed, model).filter("doc_id <> 7")
+    chosen = spans.groupBy(F.col("doc_id") < 300).agg(F.sum(F.size("spans"))).collect()
+    assert sorted(map(tuple, chosen)) == [(False, 0), (True, 20_930)]
+
+
 def test_redaction(spark):
     rows = pii.redact(cases.documents(spark, private(), "label")).collect()
     by_id = {r.doc_id: r for r in rows if r.doc_id != 4}
