@@ -172,6 +172,44 @@ def test_many_phrases(spark):
         assert sorted((r.k, r.terms) for r in found.collect()) == expected(phrases + extra)
 
 
+def test_phrases_of_any_length_at_any_place(spark):
+    said = "needles in hay, é"
+    texts = [(1, "x" * ((1 << 20) - 3) + said), (2, "nee"), (3, "dles in hay"), (4, ""), (5, None)]
+    texts += [(6, said * 3), (7, "needles\0in hay"), (8, "n"), (9, said[:9])]
+    phrases = [(f"t{n}", said[:n]) for n in range(1, len(said) + 1)]
+    phrases += [("end", said[-6:]), ("zero", "\0in"), ("none", "\0\0\0\0\0")]
+    given = spark.createDataFrame(texts, "k int, body string")
+    catalogue = spark.createDataFrame(phrases, "term string, phrase string")
+    found = with_terms(given, "k", "body", catalogue).select("k", "terms")
+    expected = [(k, sorted(t for t, p in phrases if p in (body or ""))) for k, body in texts]
+    assert sorted((r.k, r.terms) for r in found.collect()) == expected
+    for no_texts, no_phrases in ((given.where("k < 0"), catalogue), (given, catalogue.where("term = ''"))):
+        left = with_terms(no_texts, "k", "body", no_phrases)
+        assert left.where("size(terms) > 0").count() == 0 and left.count() == no_texts.count()
+
+
+def test_runs_of_no_phrase_are_not_sent(spark):
+    made = random.Random(2)
+    texts = [(n, "".join(made.choice("abcdefgh ") for _ in range(1000))) for n in range(200)]
+    given = spark.createDataFrame([*texts, (200, "at wxyz uvw")], "k int, body string")
+    catalogue = spark.createDataFrame([("t", "wxyz uvw")], "term string, phrase string")
+    found = with_terms(given, "k", "body", catalogue)
+    assert [r.k for r in found.collect() if r.terms] == [200]
+
+    counted = {"ShuffleExchangeExec": "shuffleRecordsWritten", "BroadcastExchangeExec": "numOutputRows"}
+
+    def sent(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return sent(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return sent(node.plan())
+        own = node.metrics().apply(counted[kind]).value() if kind in counted else 0
+        return own + sum(sent(node.children().apply(i)) for i in range(node.children().size()))
+
+    assert 0 < sent(found._jdf.queryExecution().executedPlan()) < 2000
+
+
 def test_the_plan_does_not_grow_with_the_phrases(spark):
     texts = spark.createDataFrame([(1, "x")], "k int, body string")
 
